@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy kernel call handles; a longer single text is handled alone.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 SLICE_DOCS = 512
 
 
@@ -53,7 +53,16 @@ def fold(doc_id: str, n: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % n, F.lit(0)).cast("int")
 
 
+def bound_batches(spark: SparkSession, rows: int = 1000, size: str = "8m") -> None:
+    """Arrow batches of at most so many rows and bytes: texts are long, and a batch stands in the JVM and in Python at once."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is not None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
