@@ -9,10 +9,11 @@ rank per coordinate is the signature.  Coordinates agree with the probability of
 
 Equal texts are one class at once and only one of them goes on.  Signatures are cut into bands; texts that share
 a band are candidates, and candidates are linked when the exact Jaccard similarity of their shingle sets is 0.8
-or more.  A bucket is not expanded into all its pairs: each member meets the bucket's hub.  Buckets whose members
-are not yet one component then meet further hubs, and in those that remain all pairs across components
-are compared (large ones after a second common band, which linked texts share with a probability over 0.999).
-So components are those of all candidate links, while pairs stay linear in copies.
+or more.  A bucket is not expanded into all its pairs: each member meets the bucket's hub, the
+member that shares most buckets with most others (an original among its copies).  Buckets whose members
+are not yet one component then meet further hubs, and what these leave is compared pair by pair across
+components: sketches of the shingle sets (least hashes of 256 bins) within the join, and those that agree in full.
+So components are those of all candidate links, while the pairs that come out of joins stay linear in copies.
 
 Null texts are classes of their own; texts without words are alike only if equal.  Repeated rows fall into their
 text's class.  An empty table gives no rows; other columns are not read.
@@ -35,8 +36,14 @@ from .common import buffers, drop_materialized, materialize, mix, prefix_hash, r
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
-#: Rounds of hubs, and the bucket size up to which all pairs across components are compared without a second band.
-HUBS, SMALL_BUCKET = 4, 64
+#: Rounds after the first; the last compares all that the others left.
+HUBS = 3
+#: Binary logarithms of the bins of the coarse and the fine sketch, and the shares of bins that must agree before two
+#: sets are compared in full.  Pairs of similarity 0.8 agree in 0.8 of the bins, with standard deviations below 0.025 and
+#: 0.0125, so both shares lie at least three and four of these below.  Sets of up to as many shingles as the fine sketch
+#: has bins are held whole instead, so that the join itself compares them.
+SKETCHES = ((8, 0.72), (10, 0.75))
+WHOLE = 1 << SKETCHES[1][0]
 FIRST_RANK = 1 / 16
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -151,17 +158,26 @@ def signature_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, digest binary, bands array<long>, shingles long")
 
 
+def sketch(sorted_hashes: np.ndarray, bits: int) -> np.ndarray:
+    """The least hash of each of 2**bits equal ranges, its first 31 bits; empty ranges are left out."""
+    edges = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+    at = np.searchsorted(sorted_hashes, edges)
+    full = at < np.append(at[1:], len(sorted_hashes))
+    return (sorted_hashes[at[full]] >> np.uint64(33)).astype(np.int32)
+
+
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """id and sorted shingle hashes (uint64 bytes) of each text."""
+    """id, sorted shingle hashes (uint64 bytes) and their coarse and fine sketch, of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 doc, g, _ = shingles(*buffers(part.column(1)))
                 at = np.searchsorted(doc, np.arange(part.num_rows + 1))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([g[a:b].tobytes() for a, b in zip(at, at[1:])], pa.binary())], ["id", "set"])
+                sets = [g[a:b] for a, b in zip(at, at[1:])]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x.tobytes() for x in sets], pa.binary()), pa.array([sketch(x, SKETCHES[0][0]) for x in sets], pa.list_(pa.int32())), pa.array([(x >> np.uint64(33)).astype(np.int32) if len(x) <= WHOLE else sketch(x, SKETCHES[1][0]) for x in sets], pa.list_(pa.int32()))], ["id", "set", "sketch", "fine"])
 
-    return docs.mapInArrow(run, "id long, set binary")
+    return docs.mapInArrow(run, "id long, set binary, sketch array<int>, fine array<int>")
 
 
 def verify(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -216,9 +232,12 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     alone = table.where("digest is null")
     groups = materialize(table.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("shingles").alias("n")), "exact")
     banded = groups.where("rep is not null").select("rep", "n", F.explode("bands").alias("key"))
-    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct(F.xxhash64("rep").alias("h"), "rep", "n")).alias("hub")).where("size > 1")
-    rows_ = materialize(banded.join(shared, "key").select("key", "rep", "n", "size", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n")), "buckets")
-    first = materialize(_pairs(rows_.select("rep", "hub", F.col("n").alias("n1"), F.col("hub_n").alias("n2")), "rep", "hub", similarity), "pairs")
+    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    found = materialize(banded.join(shared, "key").select("key", "rep", "n", "size"), "found")
+    central = found.groupBy("rep").agg(F.sum("size").alias("central"))
+    rows_ = materialize(found.join(central, "rep").select("key", "rep", "n", "size", F.struct("central", F.xxhash64("rep").alias("h"), "rep", "n").alias("rank")), "buckets")
+    hubs = rows_.groupBy("key").agg(F.max("rank").alias("hub"))
+    first = materialize(_pairs(rows_.join(hubs, "key").select("rep", F.col("hub.rep").alias("hub"), F.col("n").alias("n1"), F.col("hub.n").alias("n2")), "rep", "hub", similarity), "pairs")
     ends = rows_.select(F.col("rep").alias("id")).distinct()
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("text is not null").join(ends, "id", "left_semi").dropDuplicates(["id"])
     sets = materialize(shingle_sets(texts), "sets")
@@ -228,23 +247,31 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
 
     def mixed() -> DataFrame:
         """Rows of buckets that lie in several components."""
-        known = rows_.select("key", "rep", "n", "size").join(labels.select(F.col("id").alias("rep"), "label"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+        known = rows_.select("key", "rep", "n", "size", "rank").join(labels.select(F.col("id").alias("rep"), "label"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
         torn = known.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
         return materialize(known.join(torn, "key", "left_semi"), "mixed")
 
     for seed in range(1, HUBS + 1):
         left = mixed()
         if seed == HUBS:
-            small = left.where(F.col("size") <= SMALL_BUCKET)
-            large = left.where(F.col("size") > SMALL_BUCKET)
-            twice = large.join(rows_.select("rep", F.col("key").alias("key2")), "rep").where("key2 <> key").select(F.xxhash64("key", "key2").alias("key"), "rep", "n", "label")
-            todo = small.select("key", "rep", "n", "label").unionByName(twice)
-            x, y = (todo.select("key", F.col("rep").alias(f"rep{i}"), F.col("n").alias(f"n{i}"), F.col("label").alias(f"label{i}")) for i in (1, 2))
-            cand = x.join(y, "key").where("rep1 < rep2 and label1 <> label2")
+            # pairs across components whose sketches agree, each at the least key that both have
+            known = sets.select(F.col("id").alias("rep"), "sketch", "fine").join(groups.select("rep", "bands"), "rep")
+            todo = left.join(known, "rep")
+            x, y = (todo.select("key", *[F.col(c).alias(f"{c}{i}") for c in ("rep", "n", "label", "bands", "sketch", "fine")]) for i in (1, 2))
+            sizes_fit = F.least("n1", "n2") >= similarity * F.greatest("n1", "n2")
+            least_key = F.array_min(F.array_intersect("bands1", "bands2")) == F.col("key")
+            both, small = (F.size(F.array_intersect(f"{c}1", f"{c}2")) for c in ("fine", "sketch"))
+            coarse = small >= SKETCHES[0][1] * F.greatest(F.size("sketch1"), F.size("sketch2"))
+            whole = F.col("n1") <= WHOLE, F.col("n2") <= WHOLE
+            fine = F.when(whole[0] & whole[1], both + 2 >= similarity / (1 + similarity) * (F.col("n1") + F.col("n2"))).when(whole[0] | whole[1], True).otherwise(both >= SKETCHES[1][1] * F.greatest(F.size("fine1"), F.size("fine2")))
+            cand = x.join(y, "key").where((F.col("rep1") < F.col("rep2")) & (F.col("label1") != F.col("label2")) & sizes_fit & least_key & coarse & fine)
             pairs = _pairs(cand, "rep1", "rep2", similarity)
         else:
-            hubs = left.groupBy("key").agg(F.min(F.struct(F.xxhash64("rep", F.lit(seed)).alias("h"), "rep", "n", "label")).alias("hub"))
-            cand = left.join(hubs, "key").where("hub.label <> label").select("rep", F.col("hub.rep").alias("hub_rep"), F.col("n").alias("n1"), F.col("hub.n").alias("n2"))
+            first_hub = left.groupBy("key").agg(F.max_by("label", "rank").alias("first_label"))
+            rest = left.join(first_hub, "key")
+            order = F.struct(F.lit(0).cast("long").alias("central"), F.xxhash64("rep", F.lit(seed)).alias("h"), "rep", "n") if seed > 1 else F.col("rank")
+            hubs = rest.where("label <> first_label").groupBy("key").agg(F.max(F.struct(order.alias("o"), "label")).alias("hub"))
+            cand = left.join(hubs, "key").where("hub.label <> label").select("rep", F.col("hub.o.rep").alias("hub_rep"), F.col("n").alias("n1"), F.col("hub.o.n").alias("n2"))
             pairs = _pairs(cand, "rep", "hub_rep", similarity)
         pairs = materialize(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
         more = materialize(verify(pairs, sets, similarity), "links")
