@@ -254,6 +254,8 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     for seed in range(1, HUBS + 1):
         left = mixed()
         if seed == HUBS:
+            # up to three members: the hubs have met all across components
+            left = left.where("size > 3")
             # pairs across components whose sketches agree, each at the least key that both have
             known = sets.select(F.col("id").alias("rep"), "sketch", "fine").join(groups.select("rep", "bands"), "rep")
             todo = left.join(known, "rep")
