@@ -44,6 +44,8 @@ HUBS = 3
 #: has bins are held whole instead, so that the join itself compares them.
 SKETCHES = ((8, 0.72), (10, 0.75))
 WHOLE = 1 << SKETCHES[1][0]
+#: Up to so many ids of candidates (16 bytes each) are sent to the texts; more meet them by a shuffle.
+MOST_BROADCAST_IDS = 1_000_000
 FIRST_RANK = 1 / 16
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -238,7 +240,8 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     rows_ = materialize(found.join(central, "rep").select("key", "rep", "n", "size", F.struct("central", F.xxhash64("rep").alias("h"), "rep", "n").alias("rank")), "buckets")
     hubs = rows_.groupBy("key").agg(F.max("rank").alias("hub"))
     first = materialize(_pairs(rows_.join(hubs, "key").select("rep", F.col("hub.rep").alias("hub"), F.col("n").alias("n1"), F.col("hub.n").alias("n2")), "rep", "hub", similarity), "pairs")
-    ends = rows_.select(F.col("rep").alias("id")).distinct()
+    ends = materialize(rows_.select(F.col("rep").alias("id")).distinct(), "ends")
+    ends = F.broadcast(ends) if ends.count() <= MOST_BROADCAST_IDS else ends
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("text is not null").join(ends, "id", "left_semi").dropDuplicates(["id"])
     sets = materialize(shingle_sets(texts), "sets")
     done, links = first, materialize(verify(first, sets, similarity), "links")
