@@ -1,10 +1,429 @@
-"""Registered queries over the curation and classification operators, and their oracles."""
+"""Registered queries over the curation and classification operators, and their oracles in DuckDB SQL."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from sievewright.functions import text as T
+from sievewright.operators import classification as C
+from sievewright.operators import language as L
+from sievewright.operators import neighbours as N
+from sievewright.operators import records as R
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+# --- adapters ------------------------------------------------------------------------------------
+
+_TYPE = "CASE WHEN quality = 1 AND toxic = 0 THEN 'Request' WHEN quality = 1 THEN 'Incident' WHEN toxic = 0 THEN 'Problem' WHEN quality = 0 THEN 'Change' END"
+_SOURCE = f"SELECT d.doc_id AS record_index, d.text AS body, {_TYPE} AS type, d.source AS queue, CASE WHEN quality = 1 THEN 'high' WHEN quality = 0 THEN 'urgent' END AS priority, d.lang AS language, '1' AS version FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"
+_LABELLED = f"SELECT doc_id, text, lang, source, quality, toxic, {_TYPE} AS label FROM documents JOIN labels USING (doc_id)"
+#: Stand-ins for the outputs of two models: deterministic functions of the id.
+_PRED = f"""SELECT doc_id, actual, CASE WHEN doc_id % 7 = 0 THEN (CASE WHEN actual = 'Request' THEN 'Problem' ELSE 'Request' END) ELSE actual END AS predicted,
+ CASE WHEN doc_id % 11 = 3 THEN (CASE WHEN actual = 'Incident' THEN 'Change' ELSE 'Incident' END) ELSE actual END AS predicted_b, (doc_id * 37 % 101) / 101.0E0 AS confidence FROM (SELECT doc_id, label AS actual FROM ({_LABELLED}))"""
+
+
+def source_records(spark: SparkSession, d: str) -> DataFrame:
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    kind = F.expr(_TYPE)
+    return docs.join(labels, "doc_id", "left").select(
+        F.col("doc_id").alias("record_index"), F.col("text").alias("body"), kind.alias("type"), F.col("source").alias("queue"),
+        F.expr("CASE WHEN quality = 1 THEN 'high' WHEN quality = 0 THEN 'urgent' END").alias("priority"), F.col("lang").alias("language"), F.lit("1").alias("version"),
+    )
+
+
+def labelled(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id").select("doc_id", "text", "lang", "source", "quality", "toxic", F.expr(_TYPE).alias("label"))
+
+
+def predictions(spark: SparkSession, d: str) -> DataFrame:
+    p = labelled(spark, d).select("doc_id", F.col("label").alias("actual"))
+    return p.select(
+        "doc_id", "actual", F.expr("CASE WHEN doc_id % 7 = 0 THEN (CASE WHEN actual = 'Request' THEN 'Problem' ELSE 'Request' END) ELSE actual END").alias("predicted"),
+        F.expr("CASE WHEN doc_id % 11 = 3 THEN (CASE WHEN actual = 'Incident' THEN 'Change' ELSE 'Incident' END) ELSE actual END").alias("predicted_b"), (F.expr("doc_id * 37 % 101") / F.lit(101.0)).alias("confidence"),
+    )
+
+
+def confident(spark: SparkSession, d: str) -> DataFrame:
+    return predictions(spark, d).select("doc_id", "confidence", (F.col("actual") == F.col("predicted")).alias("correct"))
+
+
+# --- scans, mapping, validation --------------------------------------------------------------------
+
+
+@query("SELECT doc_id, lang, source, CAST(length(text) AS BIGINT) AS characters FROM documents")
+def scan_documents(spark, d):
+    return table(spark, d, "documents").select("doc_id", "lang", "source", F.length("text").cast("long").alias("characters"))
+
+
+@query(f"SELECT record_index, CAST(NULL AS VARCHAR) AS subject, md5(body) AS message_md5, type AS ticket_type, queue, priority, language, version AS source_version, 0 AS n_tags FROM ({_SOURCE})")
+def map_ticket(spark, d):
+    m = R.map_records(source_records(spark, d))
+    return m.select("record_index", "subject", F.md5("message").alias("message_md5"), "ticket_type", "queue", "priority", "language", "source_version", F.size("tags").alias("n_tags"))
+
+
+_ERRORS = f"SELECT record_index, array_to_string(list_filter([CASE WHEN type IS NULL THEN 'ticket_type:string_type' END, CASE WHEN priority IS NULL OR priority NOT IN ('low','medium','high') THEN 'priority:literal_error' END], lambda x: x IS NOT NULL), ',') AS errors, body FROM ({_SOURCE})"
+
+
+@query(f"SELECT record_index, errors FROM ({_ERRORS})")
+def validate_schema_errors(spark, d):
+    return R.schema_errors(R.map_records(source_records(spark, d))).select("record_index", F.array_join("errors", ",").alias("errors"))
+
+
+_REASON = f"SELECT *, CASE WHEN errors <> '' THEN 'SCHEMA_VALIDATION' WHEN trim(body) = '' THEN 'EMPTY_MESSAGE' ELSE 'ACCEPTED' END AS outcome FROM ({_ERRORS})"
+
+
+@query(f"SELECT outcome, count(*) AS records FROM ({_REASON}) GROUP BY outcome")
+def accept_reject_counts(spark, d):
+    return R.route(R.map_records(source_records(spark, d))).groupBy(F.coalesce("reason", F.lit("ACCEPTED")).alias("outcome")).agg(F.count(F.lit(1)).alias("records"))
+
+
+@query(f"SELECT e AS error, count(*) AS events FROM (SELECT unnest(string_split(errors, ',')) AS e FROM ({_ERRORS}) WHERE errors <> '') GROUP BY e")
+def validation_summary(spark, d):
+    return R.schema_errors(R.map_records(source_records(spark, d))).select(F.explode("errors").alias("error")).groupBy("error").agg(F.count(F.lit(1)).alias("events"))
+
+
+@query(f"SELECT record_index, CASE WHEN priority IS NULL THEN 'language,message,queue,source_version' || CASE WHEN type IS NULL THEN '' ELSE ',ticket_type' END ELSE 'language,message,priority,queue,source_version' || CASE WHEN type IS NULL THEN '' ELSE ',ticket_type' END END AS present, 'SCHEMA_VALIDATION' AS reason, errors FROM ({_ERRORS}) e JOIN (SELECT record_index AS ri, priority, type FROM ({_SOURCE})) s ON e.record_index = s.ri WHERE errors <> ''")
+def reject_privacy_projection(spark, d):
+    v = R.rejected_view(R.route(R.map_records(source_records(spark, d))))
+    return v.select("record_index", F.array_join("present_canonical_fields", ",").alias("present"), "reason", F.array_join("errors", ",").alias("errors"))
+
+
+# --- text ------------------------------------------------------------------------------------------
+
+
+def _text_query(name: str, column, sql: str):
+    def run(spark, d):
+        return table(spark, d, "documents").select("doc_id", F.md5(column(F.col("text"))).alias("text_md5"))
+
+    run.__name__ = name
+    return query(f"SELECT doc_id, md5({sql}) AS text_md5 FROM documents")(run)
+
+
+_text_query("norm_punctuation", T.collapse_punctuation, "regexp_replace(regexp_replace(regexp_replace(text, '!+', '!', 'g'), '[?]+', '?', 'g'), '[.]+', '.', 'g')")
+_text_query("norm_control_chars", T.strip_controls, r"regexp_replace(text, '[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]', '', 'g')")
+_text_query("norm_newlines", T.unify_newlines, "replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10))")
+_text_query("norm_whitespace", T.normalize_whitespace, r"regexp_replace(regexp_replace(array_to_string(list_transform(string_split(regexp_replace(text, '[ \t\f\r]+', ' ', 'g'), chr(10)), lambda x: trim(x)), chr(10)), '\n{3,}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g')")
+_text_query("norm_nfc", T.nfc, "nfc_normalize(text)")
+_text_query("mask_email", T.mask_emails, r"regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+', '<EMAIL>', 'g')")
+_text_query("mask_ipv4", T.mask_ipv4, r"regexp_replace(text, '(^|[^0-9A-Za-z_.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])($|[^0-9A-Za-z_.]|\.(?:$|[^0-9]))', '\1<IP_ADDRESS>\2', 'g')")
+_text_query("mask_phone", T.mask_phones, r"regexp_replace(text, '(^|[^0-9A-Za-z_])\([0-9]{3}\) ?[0-9]{3}[ -][0-9]{4}($|[^0-9A-Za-z_])', '\1<PHONE>\2', 'g')")
+
+
+@query()
+def mask_all(spark, d):
+    """All maskings in order, with counts of each kind."""
+    t = table(spark, d, "documents").select("doc_id", "text", T.mask_pii(F.col("text")).alias("masked"))
+    counts = T.mask_counts(F.col("text"), F.col("masked"))
+    return t.select("doc_id", F.md5("masked").alias("masked_md5"), F.to_json(counts).alias("counts"))
+
+
+@query()
+def pii_summary(spark, d):
+    t = table(spark, d, "documents").select("text", T.mask_pii(F.col("text")).alias("masked")).select(T.mask_counts(F.col("text"), F.col("masked")).alias("c"))
+    return t.select(F.explode("c").alias("kind", "n")).groupBy("kind").agg(F.sum("n").alias("entities"), F.count(F.lit(1)).alias("records"))
+
+
+@query()
+def html_to_text(spark, d):
+    """Markup of pages to text; held against an independent model in the tests."""
+    t = table(spark, d, "pages").select("page_id", T.normalize_native(T.markup_to_text("html")).alias("text"))
+    return t.select("page_id", F.length("text").cast("long").alias("characters"), T.word_count(F.col("text")).cast("long").alias("words"), F.md5("text").alias("text_md5"))
+
+
+@query("SELECT count(*) AS pages, count(*) FILTER (trim(html) = '') AS blank FROM pages")
+def blank_pages(spark, d):
+    return table(spark, d, "pages").agg(F.count(F.lit(1)).alias("pages"), F.count_if(F.trim("html") == "").alias("blank"))
+
+
+# --- identity ----------------------------------------------------------------------------------------
+
+_FP = "SELECT doc_id, source, lang, sha256('0:' || length(text) || ':' || text) AS fingerprint FROM documents"
+
+
+def fingerprinted(spark, d):
+    t = table(spark, d, "documents")
+    return t.select(F.col("doc_id").alias("record_index"), "lang", "source", T.fingerprint(F.lit(None).cast("string"), F.col("text")).alias("fingerprint"))
+
+
+@query(f"SELECT doc_id AS record_index, fingerprint, CASE WHEN first < doc_id THEN first END AS duplicate_of FROM (SELECT *, min(doc_id) OVER (PARTITION BY fingerprint) AS first FROM ({_FP}))")
+def exact_dup_links(spark, d):
+    return R.exact_duplicates(fingerprinted(spark, d)).select("record_index", "fingerprint", "duplicate_of")
+
+
+@query(f"SELECT count(*) AS evaluated, count(*) FILTER (first < doc_id) AS duplicates, count(DISTINCT CASE WHEN first < doc_id THEN first END) AS originals FROM (SELECT *, min(doc_id) OVER (PARTITION BY fingerprint) AS first FROM ({_FP}))")
+def exact_dup_summary(spark, d):
+    t = R.exact_duplicates(fingerprinted(spark, d))
+    return t.agg(F.count(F.lit(1)).alias("evaluated"), F.count("duplicate_of").alias("duplicates"), F.countDistinct("duplicate_of").alias("originals"))
+
+
+@query(f"SELECT doc_id, fingerprint || CASE WHEN r = 1 THEN '' ELSE ':' || (r - 1) END AS record_id FROM (SELECT *, row_number() OVER (PARTITION BY fingerprint ORDER BY doc_id) AS r FROM ({_FP}))")
+def record_ids(spark, d):
+    """Content digests; the n-th repeat gets the suffix :n.  Only ids and digests are shuffled, and the window spills."""
+    t = fingerprinted(spark, d).withColumn("n", F.row_number().over(Window.partitionBy("fingerprint").orderBy("record_index")) - 1)
+    return t.select(F.col("record_index").alias("doc_id"), F.concat("fingerprint", F.when(F.col("n") > 0, F.concat(F.lit(":"), F.col("n"))).otherwise("")).alias("record_id"))
+
+
+@query("SELECT lang, count(*) AS records, count(*) - count(DISTINCT text) AS duplicates, CAST(sum(length(text)) AS BIGINT) AS characters FROM documents GROUP BY lang")
+def duplicates_by_language(spark, d):
+    return fingerprinted(spark, d).groupBy("lang").agg(F.count(F.lit(1)).alias("records"), (F.count(F.lit(1)) - F.countDistinct("fingerprint")).alias("duplicates")).join(table(spark, d, "documents").groupBy("lang").agg(F.sum(F.length("text")).alias("characters")), "lang")
+
+
+def curation_summary(spark, d):
+    """Normalise, mask and fingerprint documents; records, duplicates and masked entities by language."""
+    t = table(spark, d, "documents").select("lang", T.normalize_native(F.col("text")).alias("normal"))
+    t = t.select("lang", "normal", T.mask_pii(F.col("normal")).alias("masked"))
+    t = t.select("lang", T.fingerprint(F.lit(None).cast("string"), F.col("masked")).alias("fp"), F.aggregate(F.map_values(T.mask_counts(F.col("normal"), F.col("masked"))), F.lit(0).cast("long"), lambda a, x: a + x).alias("n"))
+    return t.groupBy("lang").agg(F.count(F.lit(1)).alias("records"), (F.count(F.lit(1)) - F.countDistinct("fp")).alias("duplicates"), F.count_if(F.col("n") > 0).alias("records_with_pii"), F.sum("n").alias("total_masked"))
+
+
+query()(curation_summary)
+
+# --- neighbours ----------------------------------------------------------------------------------------
+
+_KNN = """SELECT i, j, similarity FROM (SELECT a.vec_id AS i, b.vec_id AS j, round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 9) AS similarity FROM embeddings a, embeddings b WHERE a.vec_id <> b.vec_id)
+ QUALIFY row_number() OVER (PARTITION BY i ORDER BY similarity DESC, j) <= 6"""
+
+
+@query(f"SELECT i AS vec_id, arg_max(j, (similarity, -j)) AS neighbour, round(max(similarity), 6) AS similarity, max(similarity) >= 0.85 AS is_candidate FROM ({_KNN}) WHERE j < i GROUP BY i")
+def knn_earlier_neighbour(spark, d):
+    return N.earlier_candidates(N.nearest(table(spark, d, "embeddings"), "vec_id", "embedding", 6))
+
+
+@query(f"SELECT CASE WHEN s >= 0.8 THEN 'near_copy' WHEN s < 0.6 THEN 'novel' ELSE 'intermediate' END AS bucket, count(*) AS records FROM (SELECT i, round(max(similarity), 6) AS s FROM ({_KNN}) GROUP BY i) GROUP BY bucket")
+def near_copy_buckets(spark, d):
+    best = N.nearest(table(spark, d, "embeddings"), "vec_id", "embedding", 6).groupBy("i").agg(F.round(F.max("similarity"), 6).alias("s"))
+    return best.groupBy(F.when(F.col("s") >= 0.8, "near_copy").when(F.col("s") < 0.6, "novel").otherwise("intermediate").alias("bucket")).agg(F.count(F.lit(1)).alias("records"))
+
+
+# --- language and leakage --------------------------------------------------------------------------------
+
+_HITS = ", ".join(f"len(list_filter(tokens, lambda x: x IN ({', '.join(repr(w) for w in ws)}))) AS h{i}" for i, (_, ws) in enumerate(sorted(L.STOP_WORDS.items())))
+_CODES = sorted(L.STOP_WORDS)
+_LANG = f"""SELECT doc_id, CASE WHEN letters < 4 THEN 'uncertain' WHEN total = 0 THEN 'failed' WHEN confidence < 0.8 THEN 'uncertain' ELSE 'detected' END AS status, code, CASE WHEN letters >= 4 AND total > 0 THEN confidence END AS confidence
+ FROM (SELECT *, h0 + h1 + h2 + h3 AS total, round(CAST(greatest(h0, h1, h2, h3) AS DOUBLE) / (h0 + h1 + h2 + h3), 9) AS confidence, CASE greatest(h0, h1, h2, h3) WHEN h0 THEN '{_CODES[0]}' WHEN h1 THEN '{_CODES[1]}' WHEN h2 THEN '{_CODES[2]}' ELSE '{_CODES[3]}' END AS code
+ FROM (SELECT doc_id, length(regexp_replace(text, '[^\\p{{L}}]', '', 'g')) AS letters, {_HITS} FROM (SELECT doc_id, text, string_split_regex(lower(text), '[^a-z]+') AS tokens FROM documents)))"""
+
+
+@query(f"SELECT doc_id, status, CASE WHEN status = 'detected' THEN code END AS language_detected, confidence FROM ({_LANG})")
+def language_policy(spark, d):
+    return L.detect(table(spark, d, "documents"), "text").select("doc_id", "status", "language_detected", "confidence")
+
+
+@query(f"SELECT CASE WHEN status = 'detected' THEN code ELSE 'unknown' END AS language, count(*) AS records FROM ({_LANG}) GROUP BY 1")
+def language_summary(spark, d):
+    return L.detect(table(spark, d, "documents"), "text").groupBy(F.coalesce("language_detected", F.lit("unknown")).alias("language")).agg(F.count(F.lit(1)).alias("records"))
+
+
+@query("SELECT doc_id, CASE WHEN quality IS NULL THEN 'passed' ELSE 'warning' END AS status, CASE WHEN quality IS NULL THEN '' ELSE 'forbidden_field:quality' END AS issues FROM documents LEFT JOIN labels USING (doc_id)")
+def leakage_issues(spark, d):
+    """Populated fields that a model must not see; here the label table's quality stands for a forbidden field."""
+    t = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left")
+    issues = F.filter(F.array(*[F.when(F.col(c).isNotNull(), F.lit(f"forbidden_field:{c}")) for c in ("quality",)]), lambda x: x.isNotNull())
+    return t.select("doc_id", F.when(F.size(issues) > 0, "warning").otherwise("passed").alias("status"), F.array_join(issues, ",").alias("issues"))
+
+
+@query("SELECT CASE WHEN quality IS NULL THEN 'passed' ELSE 'warning' END AS status, count(*) AS records FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1")
+def leakage_summary(spark, d):
+    return leakage_issues(spark, d).groupBy("status").agg(F.count(F.lit(1)).alias("records"))
+
+
+@query("SELECT conv_id AS group_id, count(*) AS turns, count(DISTINCT role) AS roles, min(turn) AS first_turn FROM conversations GROUP BY conv_id")
+def group_links(spark, d):
+    return table(spark, d, "conversations").groupBy(F.col("conv_id").alias("group_id")).agg(F.count(F.lit(1)).alias("turns"), F.countDistinct("role").alias("roles"), F.min("turn").alias("first_turn"))
+
+
+# --- audit ---------------------------------------------------------------------------------------------
+
+_DIST = f"SELECT label, count(*) AS records, round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM ({_LABELLED}) WHERE label IS NOT NULL), 6) AS share FROM ({_LABELLED}) WHERE label IS NOT NULL GROUP BY label"
+
+
+@query(_DIST)
+def class_distribution(spark, d):
+    return C.class_distribution(labelled(spark, d), "label")
+
+
+@query(f"SELECT * FROM ({_DIST}) WHERE records < 10")
+def rare_classes(spark, d):
+    return C.class_distribution(labelled(spark, d), "label").where("records < 10")
+
+
+@query(f"SELECT count(*) AS classes, round(CAST(max(records) AS DOUBLE) / min(records), 6) AS ratio, CASE WHEN count(*) < 2 THEN 'n/a' WHEN CAST(max(records) AS DOUBLE) / min(records) < 2 THEN 'none' WHEN CAST(max(records) AS DOUBLE) / min(records) < 5 THEN 'mild' WHEN CAST(max(records) AS DOUBLE) / min(records) < 20 THEN 'moderate' ELSE 'severe' END AS severity FROM ({_DIST})")
+def class_imbalance(spark, d):
+    return C.imbalance(C.class_distribution(labelled(spark, d), "label"))
+
+
+@query("SELECT CASE WHEN quality IS NULL THEN 'missing' ELSE 'valid' END AS state, count(*) AS records FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1")
+def label_states(spark, d):
+    t = source_records(spark, d).select(F.col("type").alias("label"))
+    state = F.when(F.col("label").isNull(), "missing").when(T.utrim(F.col("label")) == "", "blank").otherwise("valid")
+    return t.groupBy(state.alias("state")).agg(F.count(F.lit(1)).alias("records"))
+
+
+_STATS = ", ".join(f"min({c}) AS {c}_min, round(avg({c}), 6) AS {c}_mean, max({c}) AS {c}_max, " + ", ".join(f"quantile_disc({c}, {p}) AS {c}_p{int(p * 100)}" for p in (0.9, 0.95, 0.99)) for c in ("characters", "words"))
+
+
+@query(f"SELECT {_STATS} FROM (SELECT CAST(length(text) AS BIGINT) AS characters, CAST(len(regexp_extract_all(text, '\\S+')) AS BIGINT) AS words FROM documents)")
+def text_length_stats(spark, d):
+    return C.length_statistics(table(spark, d, "documents"), "text", T.word_count(F.col("text")))
+
+
+@query(f"SELECT text_md5, count(*) AS records, count(DISTINCT label) > 1 AS conflicting FROM (SELECT md5(text) AS text_md5, label FROM ({_LABELLED})) GROUP BY text_md5 HAVING count(*) > 1")
+def duplicate_input_groups(spark, d):
+    t = labelled(spark, d).groupBy(F.md5("text").alias("text_md5")).agg(F.count(F.lit(1)).alias("records"), (F.countDistinct("label") > 1).alias("conflicting"))
+    return t.where("records > 1")
+
+
+# --- splits ---------------------------------------------------------------------------------------------
+
+_SPLIT = f"""SELECT doc_id, label, CASE WHEN r <= floor(n * 0.7) THEN 'train' WHEN r <= floor(n * 0.7) + floor(n * 0.15) THEN 'validation' ELSE 'test' END AS split
+ FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY sha256('42|' || doc_id)) AS r, CAST(count(*) OVER (PARTITION BY label) AS DOUBLE) AS n FROM (SELECT doc_id, label FROM ({_LABELLED})))"""
+
+
+def _split(spark, d):
+    return C.stratified_split(labelled(spark, d).select("doc_id", "label"), "label", "doc_id")
+
+
+@query(_SPLIT)
+def stratified_split(spark, d):
+    return _split(spark, d)
+
+
+@query(f"SELECT split, label, count(*) AS records FROM ({_SPLIT}) GROUP BY ALL")
+def class_counts_by_split(spark, d):
+    return _split(spark, d).groupBy("split", "label").agg(F.count(F.lit(1)).alias("records"))
+
+
+@query(f"SELECT count(*) AS assigned, count(DISTINCT doc_id) AS different, 0 AS missing FROM ({_SPLIT})")
+def split_integrity(spark, d):
+    s = _split(spark, d)
+    missing = labelled(spark, d).select("doc_id").join(s, "doc_id", "left_anti").agg(F.count(F.lit(1)).cast("int").alias("missing"))
+    return s.agg(F.count(F.lit(1)).alias("assigned"), F.countDistinct("doc_id").alias("different")).join(F.broadcast(missing))  # one row
+
+
+# --- features and models -----------------------------------------------------------------------------------
+
+_TF = r"SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(regexp_extract_all(regexp_replace(lower(text), '[^\p{L}\p{M}\p{N}_]+', ' ', 'g'), '[^ ]{2,}')) AS term FROM (" + _LABELLED + ")) GROUP BY ALL"
+_TFIDF = f"""SELECT doc_id, term, tf, df, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY doc_id)) AS weight FROM (SELECT doc_id, term, tf, df, ln((1.0 + (SELECT count(*) FROM ({_LABELLED}))) / (1.0 + df)) + 1 AS idf
+ FROM (SELECT *, count(*) OVER (PARTITION BY term) AS df FROM ({_TF})) WHERE df >= 2)"""
+
+
+def _weights(spark, d):
+    rows = labelled(spark, d)
+    return C.tfidf(C.term_counts(rows, "doc_id", "text"), "doc_id", rows.count())
+
+
+@query(f"SELECT term, df, CAST(sum(tf) AS BIGINT) AS tf, round(sum(weight), 4) AS weight FROM ({_TFIDF}) GROUP BY term, df")
+def tfidf_terms(spark, d):
+    return _weights(spark, d).groupBy("term", "df").agg(F.sum("tf").alias("tf"), F.round(F.sum("weight"), 4).alias("weight"))
+
+
+@query(f"SELECT doc_id, count(*) AS terms, round(max(weight), 6) AS top_weight FROM ({_TFIDF}) GROUP BY doc_id")
+def tfidf_rows(spark, d):
+    return _weights(spark, d).groupBy("doc_id").agg(F.count(F.lit(1)).alias("terms"), F.round(F.max("weight"), 6).alias("top_weight"))
+
+
+@query(f"SELECT label, count(*) AS records, round((SELECT count(*) FROM ({_LABELLED})) / (4.0E0 * count(*)), 6) AS weight FROM ({_LABELLED}) GROUP BY label")
+def class_weights(spark, d):
+    return C.class_weights(labelled(spark, d), "label")
+
+
+# --- evaluation ----------------------------------------------------------------------------------------------
+
+_CM = f"SELECT actual, predicted, count(*) AS records FROM ({_PRED}) GROUP BY ALL"
+
+
+@query(_CM)
+def confusion_matrix(spark, d):
+    return C.confusion(predictions(spark, d))
+
+
+_PRF = f"""SELECT label, CAST(support AS BIGINT) AS support, round(p, 6) AS precision, round(r, 6) AS recall, round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 6) AS f1 FROM (
+ SELECT label, coalesce(support, 0) AS support, CASE WHEN coalesce(called, 0) > 0 THEN CAST(hit AS DOUBLE) / called ELSE 0 END AS p, CASE WHEN coalesce(support, 0) > 0 THEN CAST(hit AS DOUBLE) / support ELSE 0 END AS r
+ FROM (SELECT actual AS label, sum(records) AS support, sum(CASE WHEN actual = predicted THEN records ELSE 0 END) AS hit FROM ({_CM}) GROUP BY 1) FULL JOIN (SELECT predicted AS label, sum(records) AS called FROM ({_CM}) GROUP BY 1) USING (label))"""
+
+
+@query(_PRF)
+def per_class_prf(spark, d):
+    return C.per_class(C.confusion(predictions(spark, d)))
+
+
+@query(f"SELECT round(avg(precision), 5) AS macro_precision, round(avg(recall), 5) AS macro_recall, round(avg(f1), 5) AS macro_f1 FROM ({_PRF})")
+def macro_scores(spark, d):
+    return C.per_class(C.confusion(predictions(spark, d))).agg(*[F.round(F.avg(c), 5).alias(f"macro_{c}") for c in ("precision", "recall", "f1")])
+
+
+@query(f"SELECT actual, predicted, records, round(CAST(records AS DOUBLE) / support, 6) AS share FROM (SELECT *, sum(records) OVER (PARTITION BY actual) AS support FROM ({_CM})) WHERE actual <> predicted")
+def confusion_pairs(spark, d):
+    return C.confusion_pairs(C.confusion(predictions(spark, d)))
+
+
+_CATEGORY = "CASE WHEN actual = predicted THEN 'only_a_right' WHEN actual = predicted_b THEN 'only_b_right' ELSE 'both_wrong' END"
+
+
+@query(f"SELECT doc_id, predicted, predicted_b, {_CATEGORY} AS category FROM ({_PRED}) WHERE predicted <> predicted_b")
+def disagreements(spark, d):
+    return predictions(spark, d).where("predicted <> predicted_b").select("doc_id", "predicted", "predicted_b", F.expr(_CATEGORY).alias("category"))
+
+
+@query(f"SELECT label, records FROM (SELECT label, records, rank() OVER (ORDER BY records) AS r FROM ({_DIST})) WHERE r = 1")
+def minority_classes(spark, d):
+    c = C.class_distribution(labelled(spark, d), "label")
+    return c.join(F.broadcast(c.agg(F.min("records").alias("least"))), F.col("records") == F.col("least")).select("label", "records")  # one row
+
+
+@query(f"SELECT count(*) FILTER (actual = predicted AND actual <> predicted_b) AS only_a, count(*) FILTER (actual <> predicted AND actual = predicted_b) AS only_b FROM ({_PRED})")
+def mcnemar_counts(spark, d):
+    p = predictions(spark, d)
+    return p.agg(F.count_if(F.expr("actual = predicted AND actual <> predicted_b")).alias("only_a"), F.count_if(F.expr("actual <> predicted AND actual = predicted_b")).alias("only_b"))
+
+
+_CONF = f"SELECT doc_id, confidence, actual = predicted AS correct FROM ({_PRED})"
+_BINS = f"SELECT CAST(b AS INTEGER) AS bin, coalesce(records, 0) AS records, mean_confidence, accuracy FROM range(10) t(b) LEFT JOIN (SELECT least(floor(confidence * 10), 9) AS k, count(*) AS records, round(avg(confidence), 6) AS mean_confidence, round(avg(CAST(correct AS DOUBLE)), 6) AS accuracy FROM ({_CONF}) GROUP BY 1) ON b = k"
+
+
+@query(_BINS)
+def reliability_bins(spark, d):
+    return C.reliability_bins(confident(spark, d))
+
+
+@query(f"SELECT round(CAST(sum(records * abs(coalesce(mean_confidence - accuracy, 0))) AS DOUBLE) / sum(records), 5) AS ece FROM ({_BINS})")
+def calibration_error(spark, d):
+    return C.expected_calibration_error(C.reliability_bins(confident(spark, d)))
+
+
+_GRID = [0.0, 0.5, 0.6, 0.7, 0.8, 0.9]
+_SWEEP = f"SELECT threshold, count(*) FILTER (confidence >= threshold) AS accepted, round(CAST(count(*) FILTER (confidence >= threshold) AS DOUBLE) / count(*), 6) AS coverage, CASE WHEN count(*) FILTER (confidence >= threshold) > 0 THEN round(CAST(count(*) FILTER (confidence >= threshold AND correct) AS DOUBLE) / count(*) FILTER (confidence >= threshold), 6) END AS accuracy FROM ({_CONF}), (SELECT unnest([{', '.join(f'{t}E0' for t in _GRID)}]) AS threshold) GROUP BY threshold"
+
+
+@query(_SWEEP)
+def threshold_sweep(spark, d):
+    return C.threshold_sweep(confident(spark, d), _GRID)
+
+
+@query(f"SELECT * FROM ({_SWEEP}) WHERE accuracy >= 0.85 ORDER BY coverage DESC, accuracy DESC, threshold LIMIT 1")
+def threshold_select(spark, d):
+    return C.select_threshold(C.threshold_sweep(confident(spark, d), _GRID), 0.85)
+
+
+@query(f"SELECT doc_id, CASE WHEN confidence >= 0.7 THEN 'accepted' ELSE 'needs_review' END AS decision FROM ({_CONF})")
+def decision(spark, d):
+    return confident(spark, d).select("doc_id", F.when(F.col("confidence") >= 0.7, "accepted").otherwise("needs_review").alias("decision"))
