@@ -128,7 +128,8 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     folder = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
     held = materialize(write_token_files(docs, folder, id_col, text_col), "token-order")
     reports = scan_blocks(folder, token_blocks(spark, folder, held, block_tokens), block_tokens=block_tokens)
-    return held.join(stitch(reports), ["file", "ordinal"]).select("doc_id", "file", "ordinal", "tokens")
+    # merge: both sides have a row for each text; consecutive numbers shrink so much in the file that it would look small enough to broadcast
+    return held.hint("merge").join(stitch(reports), ["file", "ordinal"]).select("doc_id", "file", "ordinal", "tokens")
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
