@@ -68,7 +68,8 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     t = t.withColumn("n_repeat_words", F.expr("aggregate(transform(at, (p, j) -> least(3L, coalesce(get(at, j + 1) - p, 3L))), 0L, (a, x) -> a + x)"))
     t = t.withColumn("base_failed", F.expr("n_words < 50 or 100 * n_repeat_words > 50 * n_words"))
-    return t.select("doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    # written at once: filters pushed into these nested expressions would copy them many times over
+    return materialize(t.select("doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"), "quality")
 
 
 def transformed() -> list[Column]:
@@ -174,6 +175,6 @@ def judge(stats: DataFrame, estimates: DataFrame, cutoff: float = CUTOFF) -> Dat
 
 
 def op4_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = materialize(text_statistics(read_table(spark, sf_dir, "documents")), "quality")
+    stats = text_statistics(read_table(spark, sf_dir, "documents"))
     out = judge(stats, fit_mcd(stats))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance2")
