@@ -17,14 +17,14 @@ LEAST_LETTERS, LEAST_CONFIDENCE = 4, 0.80
 
 def stop_word_backend(text: Column) -> Column:
     """Language and confidence: the language of most stop words (ties: the first by name), and its share of all of them."""
-    tokens = F.split(F.lower(text), r"[^a-z]+")
+    low = F.lower(text)
+    hits = F.array(*[F.struct(F.regexp_count(low, F.lit(f"(?<![a-z])(?:{'|'.join(w)})(?![a-z])")).alias("hits"), F.lit(-i).alias("order"), F.lit(code).alias("code")) for i, (code, w) in enumerate(sorted(STOP_WORDS.items()))])
 
-    def among(words: list[str]):
-        return lambda x: x.isin(*words)
+    def choose(h: Column) -> Column:
+        best, total = F.array_max(h), F.aggregate(h, F.lit(0), lambda a, x: a + x["hits"])
+        return F.when(total > 0, F.struct(best["code"].alias("language"), F.round(best["hits"] / total, 9).alias("confidence")))
 
-    hits = F.array(*[F.struct(F.size(F.filter(tokens, among(w))).alias("hits"), F.lit(-i).alias("order"), F.lit(code).alias("code")) for i, (code, w) in enumerate(sorted(STOP_WORDS.items()))])
-    best, total = F.array_max(hits), F.aggregate(hits, F.lit(0), lambda a, x: a + x["hits"])
-    return F.when(total > 0, F.struct(best["code"].alias("language"), F.round(best["hits"] / total, 9).alias("confidence")))
+    return F.transform(F.array(hits), choose)[0]  # bound to a variable: counted once
 
 
 def detect(records: DataFrame, text: str, backend=stop_word_backend) -> DataFrame:
