@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -308,6 +309,24 @@ def test_language_model(docs, texts, empty):
     assert lm.score_documents(empty).count() == 0
 
 
+def test_language_model_is_a_distribution():
+    rng = np.random.default_rng(5)
+    frequent = {h: 4_000 - 3 * h for h in range(40)}
+    bands = np.where(np.arange(lm.BANDS) < 12, 500.0, 1.0)
+    v = lm.Vocabulary(200_000, 9_000, 300, frequent, bands, 0.8 * bands, 4_000, 1_500)
+    live = np.r_[lm.UNKNOWN, lm.END, 4:15, lm.OWN : lm.OWN + 40]
+    two, three = np.zeros((lm.FINE_SIZE,) * 2, np.float32), np.zeros((lm.COARSE_SIZE,) * 3, np.float32)
+    k = np.unique(lm._dense(v.coarse)[live])
+    two[np.ix_(live, live)] = rng.poisson(0.7, (len(live),) * 2)
+    three[np.ix_(k, k, k)] = rng.poisson(0.4, (len(k),) * 3)
+    two[lm.END] = three[lm.END] = 0  # contexts never seen
+    m = lm.Interpolation(two, three, v)
+    m.weights = rng.dirichlet(np.ones(3), 64)
+    every = np.arange(lm.FINE_SIZE)
+    for f1, f2 in itertools.product(live.tolist()[::3] + [lm.END], repeat=2):
+        assert abs(m.probabilities(every, np.full(len(every), f1), np.full(len(every), f2)).sum() - 1) < 1e-5
+
+
 def test_rows_without_id_and_repeated_rows(spark):
     rng = random.Random(8)
     a, b = prose(rng, 90), prose(rng, 120)
