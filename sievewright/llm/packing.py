@@ -10,7 +10,7 @@ Workers are the tasks that read the documents: nothing is shuffled, each task ho
 (at most capacity/8 + 4 bins), and when it ends it packs the pieces of its open bins together, longest first.
 So a task pads about one sequence, whatever the classes.
 
-Null and empty texts hold one token, the end id.  Equal rows are packed each for itself.  An empty table gives
+Null and empty texts hold one token, the end id.  A special token's name in a text becomes its id, as ``tokenizers`` has it.  Equal rows are packed each for itself.  An empty table gives
 no rows.  Other columns of the input are not read, whatever their names.
 """
 
@@ -84,8 +84,8 @@ def padded(n: int, capacity: int) -> int:
 
 
 @lru_cache(2)
-def _tokenizer(folder: str | None) -> TextTokenizer:
-    return TextTokenizer(folder)
+def _tokenizer(folder: str | None, literal: bool = False) -> TextTokenizer:
+    return TextTokenizer(folder, literal=literal)
 
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, folder: str | None = None, with_ids: bool = False) -> DataFrame:

@@ -48,7 +48,7 @@ def write_token_files(docs: DataFrame, folder: str, id_col: str = "doc_id", text
         fs, path = _filesystem(folder)
         task = TaskContext.get()
         name = f"tokens-{task.partitionId() if task else 0:06d}-{uuid.uuid4().hex}.u16"
-        tokenizer, ordinal, sink = _tokenizer(vocabulary_folder), 0, None
+        tokenizer, ordinal, sink = _tokenizer(vocabulary_folder, literal=True), 0, None
         end = np.array([separator], "<u2").tobytes()
         for batch in batches:
             for part in slices(batch):

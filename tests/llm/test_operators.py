@@ -60,6 +60,14 @@ def by_id(df):
     return {r.doc_id: r for r in df.collect()}
 
 
+def exact_library():
+    """The library as it comes, with nothing set on it."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
+
+
 def test_token_counts_by_brute_force_and_block_size(docs, texts):
     t = TextTokenizer()
     for block in (1 << 20, 7, 64):
@@ -84,6 +92,11 @@ def test_tokens_equal_the_exact_library(texts):
     for _ in range(300):
         x = "".join(rng.choice("ab Z9'éß!?.,  \n\t  漢\x85\x1c#") for _ in range(rng.randint(0, 40)))
         assert t(x).tolist() == t.exact.encode(x, add_special_tokens=False).ids
+    default, special = exact_library(), TextTokenizer(literal=False)
+    for x in [x or "" for _, x in texts] + ["<|endoftext|>", "a<|endoftext|>b c", "<|endoftext", "é<|endoftext|>漢"]:
+        assert special(x).tolist() == default.encode(x, add_special_tokens=False).ids
+        assert 50256 not in t(x)
+    assert 50256 in special("a<|endoftext|>b")
 
 
 def test_language(spark, docs, empty):
@@ -160,7 +173,7 @@ def test_quality_statistics_and_verdicts(spark, docs, texts, empty):
 
 
 def test_packing(docs, texts, empty):
-    t = TextTokenizer()
+    t = exact_library()
     rows = packing.pack_documents(docs, with_ids=True).collect()
     own = collections.defaultdict(list)
     seq = collections.defaultdict(list)
@@ -168,7 +181,7 @@ def test_packing(docs, texts, empty):
         own[r.doc_id].append(r)
         seq[r.sequence_id].append(r)
     for i, x in texts:
-        ids = t(x).tolist() + [0]
+        ids = t.encode(x or "", add_special_tokens=False).ids + [0]
         got = []
         for r in sorted(own[i], key=lambda r: r.start):
             assert r.start == len(got) and r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(r.ids)
