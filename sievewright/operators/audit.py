@@ -1,0 +1,74 @@
+"""Audit of a labelled dataset: task, warnings, readiness, token lengths."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from sievewright.functions.text import ACCOUNT, CARD, EMAIL, IP, PHONE, URL, utrim, word_count
+from sievewright.operators.classification import class_distribution, imbalance
+
+LENGTHS = (64, 128, 256, 512)
+RARE, SHORT_WORDS = 10, 3
+#: What a text may consist of and still say nothing: mask names only.
+PLACEHOLDERS = rf"^(?:\s|{'|'.join((EMAIL, PHONE, CARD, IP, ACCOUNT, URL))})+$"
+
+
+def task_type(records: DataFrame, label: str) -> DataFrame:
+    """One row: two different labels are binary, more multiclass, fewer not supervised."""
+    n = F.countDistinct(label)
+    return records.agg(n.alias("classes"), F.when(n == 2, "binary").when(n > 2, "multiclass").otherwise("not_supervised").alias("task_type"))
+
+
+def length_coverage(lengths: DataFrame, length: str = "tokens", limits: tuple[int, ...] = LENGTHS) -> DataFrame:
+    """max_length, records within it and their share."""
+    each = F.explode(F.array(*[F.lit(n) for n in limits])).alias("max_length")
+    t = lengths.select(each, F.col(length).alias("n")).groupBy("max_length").agg(F.count_if(F.col("n") <= F.col("max_length")).alias("within"), F.count(F.lit(1)).alias("records"))
+    return t.select("max_length", "within", F.round(F.col("within") / F.col("records"), 6).alias("share"))
+
+
+def choose_length(coverage: DataFrame, share: float = 0.95, limits: tuple[int, ...] = LENGTHS[1:]) -> int:
+    """The least limit that covers the share, else the largest."""
+    found = coverage.where(F.col("max_length").isin(*limits) & (F.col("share") >= share)).agg(F.min("max_length")).first()[0]
+    return found if found is not None else max(limits)
+
+
+def linear_percentiles(rows: DataFrame, column: str, shares: tuple[float, ...] = (0.5, 0.9, 0.95, 0.99)) -> DataFrame:
+    """Interpolated percentiles, one column each."""
+    return rows.agg(*[F.round(F.percentile(column, F.lit(p)), 6).alias(f"p{int(round(p * 100))}") for p in shares])
+
+
+def label_state(label: Column) -> Column:
+    return F.when(label.isNull(), "missing").when(utrim(label) == "", "blank").otherwise("valid")
+
+
+def audit(records: DataFrame, label: str, text: str) -> dict:
+    """Counts, distribution, warnings (codes in order) and readiness."""
+    t = records.select(F.col(label).cast("string").alias("label"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("state", label_state(F.col("label")))
+    usable = t.where("state = 'valid'")
+    empty = utrim(F.col("text")) == ""
+    counts = t.agg(
+        F.count(F.lit(1)).alias("records"), *[F.count_if(F.col("state") == s).alias(s) for s in ("missing", "blank", "valid")],
+        F.count_if(empty).alias("empty"), F.count_if(~empty & (word_count(F.col("text")) < SHORT_WORDS)).alias("short"), F.count_if(~empty & F.col("text").rlike(PLACEHOLDERS)).alias("placeholder_only"),
+    ).first().asDict()
+    distribution = class_distribution(usable, "label")
+    classes = [r.asDict() for r in distribution.orderBy(F.desc("records"), "label").collect()]
+    severity = imbalance(distribution).first()
+    alike = usable.groupBy(F.lower(utrim(F.col("label")))).agg(F.countDistinct("label").alias("n")).where("n > 1").count()
+    conflicting = usable.groupBy(F.sha2("text", 256)).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").count()
+    rare = [c["label"] for c in classes if c["records"] < RARE]
+    found = {
+        "missing_labels": counts["missing"], "blank_labels": counts["blank"], "labels_alike": alike, "rare_classes": len(rare), "imbalance": int(severity.severity in ("moderate", "severe")),
+        "empty_inputs": counts["empty"], "short_inputs": counts["short"], "placeholder_only_inputs": counts["placeholder_only"], "conflicting_labels": conflicting,
+    }
+    warnings = sorted(k for k, v in found.items() if v)
+    readiness = "NOT_READY" if len(classes) < 2 else "READY_WITH_WARNINGS" if warnings else "READY"
+    kind = "binary" if len(classes) == 2 else "multiclass" if len(classes) > 2 else "not_supervised"
+    return {"counts": counts, "task_type": kind, "classes": classes, "imbalance": {"ratio": severity.ratio, "severity": severity.severity}, "rare_classes": rare, "warnings": warnings, "readiness": readiness}
+
+
+def audit_markdown(result: dict) -> str:
+    lines = ["# Dataset audit", "", f"Readiness: {result['readiness']}", f"Task: {result['task_type']}", f"Imbalance: {result['imbalance']['severity']}", "", "| class | records | share |", "| --- | --- | --- |"]
+    lines += [f"| {str(c['label']).replace('|', chr(92) + '|')} | {c['records']} | {c['share']:.6f} |" for c in result["classes"]]
+    lines += ["", "Warnings: " + (", ".join(result["warnings"]) or "none"), ""]
+    return "\n".join(lines)

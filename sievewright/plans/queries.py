@@ -8,10 +8,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sievewright.functions import text as T
+from sievewright.operators import audit as A
+from sievewright.operators import calibration as P
 from sievewright.operators import classification as C
+from sievewright.operators import comparison as V
 from sievewright.operators import language as L
+from sievewright.operators import linear as M
+from sievewright.operators import manifests as D
 from sievewright.operators import neighbours as N
 from sievewright.operators import records as R
+from sievewright.plans import curation
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -184,7 +190,9 @@ def record_ids(spark, d):
 
 @query("SELECT lang, count(*) AS records, count(*) - count(DISTINCT text) AS duplicates, CAST(sum(length(text)) AS BIGINT) AS characters FROM documents GROUP BY lang")
 def duplicates_by_language(spark, d):
-    return fingerprinted(spark, d).groupBy("lang").agg(F.count(F.lit(1)).alias("records"), (F.count(F.lit(1)) - F.countDistinct("fingerprint")).alias("duplicates")).join(table(spark, d, "documents").groupBy("lang").agg(F.sum(F.length("text")).alias("characters")), "lang")
+    # one pass: a join of two aggregations would lose the records without a language
+    t = table(spark, d, "documents").select("lang", T.fingerprint(F.lit(None).cast("string"), F.col("text")).alias("fingerprint"), F.length("text").alias("n"))
+    return t.groupBy("lang").agg(F.count(F.lit(1)).alias("records"), (F.count(F.lit(1)) - F.countDistinct("fingerprint")).alias("duplicates"), F.sum("n").alias("characters"))
 
 
 def curation_summary(spark, d):
@@ -427,3 +435,163 @@ def threshold_select(spark, d):
 @query(f"SELECT doc_id, CASE WHEN confidence >= 0.7 THEN 'accepted' ELSE 'needs_review' END AS decision FROM ({_CONF})")
 def decision(spark, d):
     return confident(spark, d).select("doc_id", F.when(F.col("confidence") >= 0.7, "accepted").otherwise("needs_review").alias("decision"))
+
+
+# --- audit, continued ----------------------------------------------------------------------------------------
+
+_WORDS = r"SELECT CAST(len(regexp_extract_all(text, '\S+')) AS BIGINT) AS tokens FROM documents"
+
+
+def _tokens(spark, d):
+    return table(spark, d, "documents").select(T.word_count(F.col("text")).cast("long").alias("tokens"))
+
+
+@query(f"SELECT count(DISTINCT label) AS classes, CASE WHEN count(DISTINCT label) = 2 THEN 'binary' WHEN count(DISTINCT label) > 2 THEN 'multiclass' ELSE 'not_supervised' END AS task_type FROM ({_LABELLED})")
+def task_type(spark, d):
+    return A.task_type(labelled(spark, d), "label")
+
+
+@query(f"SELECT max_length, count(*) FILTER (tokens <= max_length) AS within, round(CAST(count(*) FILTER (tokens <= max_length) AS DOUBLE) / count(*), 6) AS share FROM ({_WORDS}), (SELECT unnest([64, 128, 256, 512]) AS max_length) GROUP BY max_length")
+def token_length_coverage(spark, d):
+    return A.length_coverage(_tokens(spark, d))
+
+
+@query(f"SELECT {', '.join(f'round(quantile_cont(tokens, {p}), 6) AS p{int(round(p * 100))}' for p in (0.5, 0.9, 0.95, 0.99))} FROM ({_WORDS})")
+def token_length_percentiles(spark, d):
+    return A.linear_percentiles(_tokens(spark, d), "tokens")
+
+
+# --- probabilities and calibration -----------------------------------------------------------------------------
+
+_NAMES = ["Change", "Incident", "Problem", "Request"]
+_Y = "CASE actual WHEN 'Change' THEN 0 WHEN 'Incident' THEN 1 WHEN 'Problem' THEN 2 WHEN 'Request' THEN 3 END"
+_PROB = f"SELECT doc_id, actual, confidence, {_Y} AS y, [{', '.join(f'CASE WHEN predicted = {n!r} THEN confidence ELSE (1 - confidence) / 3 END' for n in _NAMES)}] AS p FROM ({_PRED}) WHERE actual IS NOT NULL"
+
+
+def probabilities(spark, d):
+    p = F.array(*[F.when(F.col("predicted") == n, F.col("confidence")).otherwise((1 - F.col("confidence")) / 3) for n in _NAMES])
+    return predictions(spark, d).where("actual is not null").select("doc_id", "actual", "confidence", F.expr(_Y).alias("y"), p.alias("p"))
+
+
+@query(f"SELECT count(*) AS records, round(avg(list_sum(list_transform(p, lambda x, i: power(x - CASE WHEN i = y + 1 THEN 1.0E0 ELSE 0.0E0 END, 2)))), 6) AS brier, round(avg(-ln(greatest(p[y + 1], 2.2250738585072014e-308))), 6) AS log_loss FROM ({_PROB})")
+def probability_scores(spark, d):
+    return P.probability_scores(probabilities(spark, d))
+
+
+@query(f"SELECT doc_id FROM ({_PROB}) WHERE NOT (len(p) = 4 AND abs(list_sum(p) - 1) <= 1e-6 AND list_min(p) >= 0 AND list_max(p) <= 1)")
+def invalid_probabilities(spark, d):
+    return P.invalid_probabilities(probabilities(spark, d), 4).select("doc_id")
+
+
+@query()
+def temperature_scaling(spark, d):
+    """The fitted temperature with losses before and after; the tests hold it against a fine grid."""
+    rows = probabilities(spark, d).select("y", "p", F.transform("p", lambda x: F.log(F.greatest(x, F.lit(1e-12)))).alias("logits"))
+    t = P.fit_temperature(rows.select("y", F.col("logits").alias("p")))
+    scaled = P.probability_scores(rows.select("y", P.softmax(F.col("logits"), t).alias("p"))).select(F.lit("after").alias("stage"), F.lit(round(t, 4)).alias("temperature"), "log_loss", "brier")
+    return P.probability_scores(rows.select("y", "p")).select(F.lit("before").alias("stage"), F.lit(1.0).alias("temperature"), "log_loss", "brier").unionByName(scaled)
+
+
+# --- comparing two models --------------------------------------------------------------------------------------
+
+_PRF_B = _PRF.replace(_PRED, _PRED.replace(" AS predicted,", " AS predicted_a,").replace(" AS predicted_b,", " AS predicted,"))
+
+
+def _two_matrices(spark, d):
+    p = predictions(spark, d)
+    return C.confusion(p), C.confusion(p.select("actual", F.col("predicted_b").alias("predicted")))
+
+
+@query(f"SELECT label, round(coalesce(b.precision, 0) - coalesce(a.precision, 0), 6) AS precision_change, round(coalesce(b.recall, 0) - coalesce(a.recall, 0), 6) AS recall_change, round(coalesce(b.f1, 0) - coalesce(a.f1, 0), 6) AS f1_change FROM ({_PRF}) a FULL JOIN ({_PRF_B}) b USING (label)")
+def per_class_change(spark, d):
+    a, b = _two_matrices(spark, d)
+    return V.per_class_change(C.per_class(a), C.per_class(b))
+
+
+@query(f"SELECT actual, predicted, coalesce(x, 0) AS before, coalesce(y, 0) AS after, coalesce(y, 0) - coalesce(x, 0) AS change FROM (SELECT actual, predicted, count(*) AS x FROM ({_PRED}) WHERE actual <> predicted GROUP BY ALL) FULL JOIN (SELECT actual, predicted_b AS predicted, count(*) AS y FROM ({_PRED}) WHERE actual <> predicted_b GROUP BY ALL) USING (actual, predicted) ORDER BY abs(change) DESC, actual, predicted LIMIT 10")
+def confusion_changes(spark, d):
+    return V.confusion_changes(*_two_matrices(spark, d))
+
+
+_ERR = f"SELECT length(text) AS length, actual = predicted AS correct FROM ({_PRED}) JOIN documents USING (doc_id) WHERE actual IS NOT NULL AND text IS NOT NULL"
+_GROUPS = f"SELECT unnest(list_filter(['all', CASE WHEN length <= p5 THEN 'short' END, CASE WHEN length >= p95 THEN 'long' END], lambda x: x IS NOT NULL)) AS \"group\", correct FROM ({_ERR}), (SELECT quantile_disc(length, 0.05) AS p5, quantile_disc(length, 0.95) AS p95 FROM ({_ERR}))"
+
+
+@query(f"SELECT \"group\", records, errors, round(CAST(errors AS DOUBLE) / records, 6) AS error_rate, \"group\" <> 'all' AND CAST(errors AS DOUBLE) / records > (SELECT CAST(count(*) FILTER (NOT correct) AS DOUBLE) / count(*) FROM ({_ERR})) AS elevated FROM (SELECT \"group\", count(*) AS records, count(*) FILTER (NOT correct) AS errors FROM ({_GROUPS}) GROUP BY 1)")
+def length_group_errors(spark, d):
+    t = predictions(spark, d).join(table(spark, d, "documents").select("doc_id", F.length("text").alias("length")), "doc_id").where("actual is not null and length is not null")
+    return V.length_group_errors(t.select("length", (F.col("actual") == F.col("predicted")).alias("correct")))
+
+
+_BUCKET = "CASE WHEN doc_id % 5 = 0 THEN 'near_copy' WHEN doc_id % 5 < 3 THEN 'intermediate' ELSE 'novel' END"
+_BROWS = f"SELECT unnest(['all', {_BUCKET}]) AS bucket, actual, predicted FROM ({_PRED}) WHERE actual IS NOT NULL"
+
+
+@query(f"""SELECT bucket, CAST(sum(support) AS BIGINT) AS records, round(CAST(sum(hit) AS DOUBLE) / sum(support), 6) AS accuracy, round(avg(2.0E0 * hit / (support + called)), 6) AS macro_f1 FROM (SELECT bucket, label, coalesce(support, 0) AS support, coalesce(hit, 0) AS hit, coalesce(called, 0) AS called
+ FROM (SELECT bucket, actual AS label, count(*) AS support, count(*) FILTER (actual = predicted) AS hit FROM ({_BROWS}) GROUP BY ALL) FULL JOIN (SELECT bucket, predicted AS label, count(*) AS called FROM ({_BROWS}) GROUP BY ALL) USING (bucket, label)) GROUP BY bucket""")
+def similarity_bucket_scores(spark, d):
+    return V.bucket_scores(predictions(spark, d).where("actual is not null").select(F.expr(_BUCKET).alias("bucket"), "actual", "predicted"))
+
+
+@query(f"SELECT doc_id, array_to_string(list_filter([CASE WHEN predicted <> predicted_b THEN 'disagreement' END, CASE WHEN confidence < 0.6 THEN 'low_confidence' END, CASE WHEN predicted = predicted_b AND predicted <> actual THEN 'possible_label_issue' END], lambda x: x IS NOT NULL), ',') AS reasons FROM ({_PRED}) WHERE predicted <> predicted_b OR confidence < 0.6 OR (predicted = predicted_b AND predicted <> actual)")
+def review_candidates(spark, d):
+    return V.review_candidates(predictions(spark, d), F.col("confidence")).select("doc_id", F.array_join("reasons", ",").alias("reasons"))
+
+
+@query()
+def paired_significance(spark, d):
+    """Exact McNemar p-value and the bootstrap interval of the difference in macro F1; one row."""
+    p = predictions(spark, d).where("actual is not null")
+    a, b, value = C.mcnemar(p.select((F.col("actual") == F.col("predicted")).alias("a_correct"), (F.col("actual") == F.col("predicted_b")).alias("b_correct")))
+    gap = V.paired_bootstrap(p, _NAMES)
+    return spark.createDataFrame([(a, b, value, gap["difference"], gap["low"], gap["high"])], "only_a long, only_b long, p_value double, f1_difference double, low double, high double")
+
+
+# --- linear models ------------------------------------------------------------------------------------------------
+
+
+def _fitted(spark, d, loss: str):
+    """Trained on the training part with balanced weights; validation and test rows predicted."""
+    rows = labelled(spark, d).where("label is not null and text is not null")
+    split = C.stratified_split(rows, "label", "doc_id")
+    train = split.where("split = 'train'")
+    weights = C.tfidf(C.term_counts(train, "doc_id", "text"), "doc_id", train.count())
+    terms = M.number_terms(weights)
+    balance = {r.label: r.weight for r in C.class_weights(train, "label").collect()}
+    model = M.fit(M.sparse_rows(weights, train, "doc_id", "label", terms), terms, loss, class_weight=balance)
+    # the vocabulary and its idf are those of training
+    idf = weights.select("term", "idf").distinct()
+    rest = split.where("split <> 'train'")
+    raw = C.term_counts(rest, "doc_id", "text").join(idf, "term").withColumn("raw", F.col("tf") * F.col("idf"))
+    norm = raw.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
+    applied = raw.join(norm, "doc_id").select("doc_id", "term", (F.col("raw") / F.col("norm")).alias("weight"))
+    return M.predict(M.sparse_rows(applied, rest, "doc_id", "label", terms), model, "doc_id").join(rest.select("doc_id", "split"), "doc_id"), model
+
+
+@query()
+def logistic_regression(spark, d):
+    return _fitted(spark, d, M.LOGISTIC)[0].select("doc_id", "split", "label", "predicted", F.round(F.array_max("scores"), 4).alias("confidence"))
+
+
+@query()
+def linear_svm(spark, d):
+    return _fitted(spark, d, M.SQUARED_HINGE)[0].select("doc_id", "split", "label", "predicted", F.round(F.array_max("scores"), 4).alias("decision_score"))
+
+
+# --- versions and the whole curation ---------------------------------------------------------------------------------
+
+_TREE = "SELECT doc_id AS i, sha256(text) AS h, 1 AS n FROM documents"
+for _ in range(D.LEVELS):
+    _TREE = f"SELECT i // {D.FAN} AS i, sha256(string_agg(h, chr(10) ORDER BY i, h)) AS h, sum(n) AS n FROM ({_TREE}) GROUP BY i // {D.FAN}"
+
+
+@query(f"SELECT CAST(sum(n) AS BIGINT) AS records, sha256(string_agg(h, chr(10) ORDER BY i, h)) AS sha256 FROM ({_TREE})")
+def dataset_digest(spark, d):
+    return D.tree_digest(table(spark, d, "documents"), "doc_id", F.sha2("text", 256))
+
+
+@query()
+def curate_tickets(spark, d):
+    """The whole curation of source records, accepted ones; the tests hold it against its parts."""
+    t = curation.annotate(source_records(spark, d)).where("reason is null")
+    return t.select("record_index", F.md5("message_masked").alias("message_md5"), "duplicate_of", F.col("status").alias("language_status"), "language_detected")
