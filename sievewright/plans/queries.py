@@ -592,6 +592,6 @@ def dataset_digest(spark, d):
 
 @query()
 def curate_tickets(spark, d):
-    """The whole curation of source records, accepted ones; the tests hold it against its parts."""
+    """The whole curation of source records, accepted ones; the tests hold the curation of a small file against literal results."""
     t = curation.annotate(source_records(spark, d)).where("reason is null")
     return t.select("record_index", F.md5("message_masked").alias("message_md5"), "duplicate_of", F.col("status").alias("language_status"), "language_detected")
