@@ -150,7 +150,7 @@ def pii_summary(spark, d):
 
 @query()
 def html_to_text(spark, d):
-    """Markup of pages to text; held against an independent model in the tests."""
+    """Markup of pages to text; the tests hold it against literal cases."""
     t = table(spark, d, "pages").select("page_id", T.normalize_native(T.markup_to_text("html")).alias("text"))
     return t.select("page_id", F.length("text").cast("long").alias("characters"), T.word_count(F.col("text")).cast("long").alias("words"), F.md5("text").alias("text_md5"))
 
