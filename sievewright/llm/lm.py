@@ -1,26 +1,26 @@
 """Op 10.  Language-model scores by deleted interpolation.
 
-Tokens are words in lower case and one end per text.  The model mixes maximum-likelihood estimates of orders
-three, two and one: lambda3 P(k | k2 k1) P(f | k) + lambda2 P(f | f1) + lambda1 P(f), times P(word | f).  The
-weights depend on the bucket (binary logarithm) of how often the context k2 k1 was seen, and are learned by
-expectation-maximisation on the n-gram counts of a deleted fold (one learning text in seven) against estimates
-from the others; the scores then use the counts of all learning texts.
+Tokens are words in lower case and one end per text.  The model mixes maximum-likelihood estimates over words,
+mu3 P(word | word2 word1) + mu2 P(word | word1) + mu1 base, with a base over word classes:
+lambda3 P(k | k2 k1) P(f | k) + lambda2 P(f | f1) + lambda1 P(f), times P(word | f).  All weights depend on the
+bucket (binary logarithm) of how often their context was seen, and are learned by expectation-maximisation on a
+deleted fold (one learning text in seven) against estimates from the others; the scores then use the counts of
+all learning texts.
 
 f is the word itself if it makes up a thousandth of the tokens or more, else its frequency band (binary
 logarithm of its count), in which P(word | f) is its share.  Words seen once and never share a class; all words
 never seen count as one type, as in the base score, which has the share that Good and Turing's estimate gives it.
 The same estimate moves mass between bands, as words of new texts were seen less often than those of learning texts.
-k is the same with one in sixty-four.  So the n-gram tables have
-a proven bound (under 1,100 squared and 128 cubed numbers) however large the corpus, while word counts, which
-have none, stay distributed.
+k is the same with one in sixty-four.  So the class tables are bounded (under 1,100 squared and 130 cubed numbers);
+the counts of words, word bigrams and word trigrams are exact, grow with the corpus and stay distributed.
 
-Exact word counts reach the texts without a table of all words anywhere: each task writes its texts in chunks to
-the shared folder and sends each chunk's different words once; they are counted, joined back and dealt to the
-chunk, which then knows its words' counts.
+Exact counts reach the texts without a table of all n-grams anywhere: each task writes its texts in chunks to
+the shared folder; each chunk sends its different n-grams once, cut by ranges of their keys, to be added up, and
+gets back the totals in the same order.
 
 Null and empty texts are one end token.  Repeated rows count as often as they stand there.  Rows without an id
 are learning rows.  With no learning text all counts are zero.  An empty table gives no rows.  Words are told apart by
-64-bit hashes.
+64-bit hashes, n-grams by 56-bit ones.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import buffers, drop_materialized, fold, materialize, prefix_hash, read_table, shared_dir, slices, span_hash, words
+from .common import buffers, drop_materialized, fold, materialize, mix, prefix_hash, read_table, shared_dir, slices, span_hash, words
 from .tokencounts import _filesystem
 
 CHUNK_BYTES = 24_000_000
@@ -46,62 +46,195 @@ FINE_SIZE, COARSE_SIZE = OWN + FINE, 3 + BANDS + COARSE
 GRID, REACH = 0.05, 120
 EM_ROUNDS = 60
 
+#: Hashes of the end and the start of a text, which no word has but by chance.
+END_HASH, START_HASH = np.uint64(0xE7037ED1A0B428DB), np.uint64(0x8EBC6AF09C88C6E3)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def _chunk_words(part: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Different words of a chunk with their counts in learning texts."""
-    hashes, counts = [], []
-    for piece in part.to_batches():
-        for s in slices(piece):
-            data, off = buffers(s.column(1))
-            data = _LOWER[data]
-            begin, end, first = words(data, off)
-            learn = ~s.column(2).to_numpy(zero_copy_only=False)
-            h = span_hash(prefix_hash(data), begin, end) if len(begin) else np.zeros(0, np.uint64)
-            own = np.repeat(learn, np.diff(first))
-            u, back = np.unique(h, return_inverse=True)
-            c = np.bincount(back, own, len(u)).astype(np.int64)
-            hashes.append(u)
-            counts.append(c)
-    if not hashes:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    u, back = np.unique(np.concatenate(hashes), return_inverse=True)
-    return u, np.bincount(back, np.concatenate(counts), len(u)).astype(np.int64)
+def _mixed(*parts: np.ndarray) -> np.ndarray:
+    """56-bit keys of word hashes in a row."""
+    h = np.full(len(parts[0]), len(parts), np.uint64)
+    for x in parts:
+        h = mix(h * _STEP + x)
+    return h >> np.uint64(8)
+
+
+def _pack(x: np.ndarray) -> bytes:
+    """Non-negative numbers in as few bytes each as the largest needs; the first byte says how many."""
+    width = max(1, (int(x.max()).bit_length() + 7) // 8) if len(x) else 1
+    return bytes([width]) + np.ascontiguousarray(x.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _unpack(b: bytes) -> np.ndarray:
+    out = np.zeros(((len(b) - 1) // b[0], 8), np.uint8)
+    out[:, : b[0]] = np.frombuffer(b, np.uint8, offset=1).reshape(-1, b[0])
+    return out.reshape(-1).view("<u8").astype(np.int64)
+
+
+def _distinct(h: np.ndarray, weights: tuple[np.ndarray, ...] = ()) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Different keys in order, the place of each given one among them, and sums of the weights."""
+    order = np.argsort(h)
+    s = h[order]
+    new = np.ones(len(s), bool)
+    new[1:] = s[1:] != s[:-1]
+    back = np.empty(len(h), np.int64)
+    back[order] = np.cumsum(new) - 1
+    u = s[new]
+    return u, back, [np.bincount(back, w, len(u)).astype(np.int64) for w in weights]
+
+
+class Chunk:
+    """Tokens of a chunk's texts, each text closed by END, as word hashes with the keys of their word n-grams."""
+
+    def __init__(self, table: pa.Table):
+        hashes, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for piece in table.to_batches():
+            for s in slices(piece):
+                data, off = buffers(s.column(1))
+                data = _LOWER[data]
+                begin, end, first = words(data, off)
+                if len(begin):
+                    hashes.append(span_hash(prefix_hash(data), begin, end))
+                sizes.append(np.diff(first))
+        self.n = np.concatenate(sizes) + 1
+        self.last = np.cumsum(self.n) - 1
+        self.first = self.last - self.n + 1
+        self.seq = np.full(int(self.n.sum()), END_HASH, np.uint64)
+        inside = np.ones(len(self.seq), bool)
+        inside[self.last] = False
+        self.seq[inside] = np.concatenate(hashes)
+        self.learn = np.repeat(~table.column(2).to_numpy(), self.n)
+        self.deleted = np.repeat(table.column(3).to_numpy(), self.n) & self.learn
+
+    def before(self, x: np.ndarray, start: int | np.ndarray) -> np.ndarray:
+        """What stands one place before, and ``start`` at the first token of each text."""
+        out = np.empty_like(x)
+        out[1:] = x[:-1]
+        out[self.first] = start
+        return out
+
+    def keys(self, order: int) -> np.ndarray:
+        one = self.before(self.seq, START_HASH) if order > 1 else None
+        if order == 1:
+            return _mixed(self.seq)
+        return _mixed(one, self.seq) if order == 2 else _mixed(self.before(one, START_HASH), one, self.seq)
+
+
+def _read_chunk(folder: str, chunk: int) -> pa.Table:
+    fs, path = _filesystem(folder)
+    with fs.open_input_stream(os.path.join(path, f"{chunk:016x}.arrow")) as f, pa.ipc.open_stream(f) as reader:
+        return reader.read_all()
 
 
 def chunk_table(docs: DataFrame, folder: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Writes (doc_id, text, held_out, deleted) in chunks into ``folder``; rows: kind 0, a chunk's word and its learning count; 2, its learning texts."""
+    """Writes (doc_id, text, held_out, deleted) in chunks into ``folder``; rows: each chunk and its learning tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         size = 0
         fs, path = _filesystem(folder)
 
-        def close() -> Iterator[pa.RecordBatch]:
+        def close() -> pa.RecordBatch:
             table = pa.Table.from_batches(held)
-            chunk = uuid.uuid4().int >> 65
+            chunk, tokens = uuid.uuid4().int >> 65, 0
             fs.create_dir(path, recursive=True)
             with fs.open_output_stream(os.path.join(path, f"{chunk:016x}.arrow")) as out, pa.ipc.new_stream(out, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
                 w.write_table(table)
-            u, c = _chunk_words(table)
-            learn = int(np.count_nonzero(~table.column(2).to_numpy()))
-            for kind, a, b in ((0, u.view(np.int64), c), (2, np.array([0]), np.array([learn]))):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int8)), pa.array(np.full(len(a), chunk, np.int64)), pa.array(a), pa.array(b)], ["kind", "chunk", "h", "c"])
+            for part in held:
+                tokens += int((np.diff(words(*buffers(part.column(1)))[2]) + 1)[~part.column(2).to_numpy(zero_copy_only=False)].sum())
+            return pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([tokens])], ["chunk", "tokens"])
 
         for batch in batches:
             for part in slices(batch):
                 held.append(part)
                 size += part.nbytes
                 if size >= chunk_bytes:
-                    yield from close()
+                    yield close()
                     held, size = [], 0
         if held:
-            yield from close()
+            yield close()
 
     named = docs.select(F.col("doc_id"), F.col("text"), F.col("held_out"), F.col("deleted"))
-    return named.mapInArrow(run, "kind byte, chunk long, h long, c long")
+    return named.mapInArrow(run, "chunk long, tokens long")
+
+
+def word_counts(chunks: DataFrame, folder: str, parts: int, tokens: int) -> DataFrame:
+    """Exact counts of word n-grams of orders one to three over all learning texts, and within the deleted fold.
+
+    Each chunk sends its different n-grams, in order of their keys, to the part that owns their range of keys; a part
+    adds up what all chunks sent and sends each chunk its n-grams' totals in the same order.  Rows of order 0
+    hold what :func:`totals` needs of a part's words.
+    """
+    shift = 56 - (parts.bit_length() - 1)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in batch.column(0).to_pylist():
+                c = Chunk(_read_chunk(folder, chunk))
+                for order in (1, 2, 3):
+                    u, _, (n, d) = _distinct(c.keys(order), (c.learn, c.deleted))
+                    cut = np.searchsorted(u, np.arange(parts + 1, dtype=np.uint64) << np.uint64(shift))
+                    full = np.flatnonzero(np.diff(cut))
+                    spans = [(slice(cut[p], cut[p + 1]), p) for p in full.tolist()]
+                    cols = [full, np.full(len(full), chunk), np.full(len(full), order), [_pack(np.diff(u[s], prepend=np.uint64(p << shift))) for s, p in spans], [_pack(n[s]) for s, _ in spans], [_pack(d[s]) for s, _ in spans]]
+                    for at in range(0, len(full), 64):
+                        yield pa.RecordBatch.from_arrays([pa.array(x[at : at + 64], t) for x, t in zip(cols, (pa.int32(), pa.int64(), pa.int8(), pa.binary(), pa.binary(), pa.binary()))], ["part", "chunk", "ord", "keys", "n", "d"])
+
+    def add(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        part, orders, rows = key[0].as_py(), table.column("ord").to_numpy(), []
+        for order in (1, 2, 3):
+            own = table.filter(pa.array(orders == order))
+            if not own.num_rows:
+                continue
+            keys = [np.cumsum(_unpack(k)) + (part << shift) for k in own.column("keys").to_pylist()]
+            u, back, (n, d) = _distinct(np.concatenate(keys), tuple(np.concatenate([_unpack(x) for x in own.column(c).to_pylist()]) for c in ("n", "d")))
+            at = 0
+            for chunk, k in zip(own.column("chunk").to_pylist(), keys):
+                where = back[at : at + len(k)]
+                at += len(k)
+                rows.append((chunk, order, part, _pack(n[where]), _pack(d[where])))
+            if order == 1:
+                rows.append((-1, 0, part, *_word_totals(u, n, d, tokens)))
+        types = (pa.int64(), pa.int8(), pa.int32(), pa.binary(), pa.binary())
+        return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types)], ["chunk", "ord", "part", "n", "d"])
+
+    sent = chunks.select("chunk").mapInArrow(send, "part int, chunk long, ord byte, keys binary, n binary, d binary")
+    return sent.groupBy("part").applyInArrow(add, "chunk long, ord byte, part int, n binary, d binary")
+
+
+def _word_totals(u: np.ndarray, n: np.ndarray, d: np.ndarray, tokens: int) -> tuple[bytes, bytes]:
+    """Of a part's words: types, those seen once and twice, texts and kept texts, sums of the bands; keys, counts of the frequent and their kept counts."""
+    end = u == int(_mixed(np.array([END_HASH]))[0])
+    texts, kept = int(n[end].sum()), int((n - d)[end].sum())
+    u, n, k = u[~end], n[~end], (n - d)[~end]
+    often = (n > 1) & (n * FINE >= tokens)
+    rare = (n > 1) & ~often
+    # band of n for what a band holds, band of n - 1 for what new texts hold of it
+    bands, own = (np.bincount(_band(n[rare]), w[rare], BANDS).astype(np.int64) for w in (n, k))
+    ahead = np.bincount(_band(n[rare] - 1), n[rare], BANDS).astype(np.int64)
+    ones = [int((n > 0).sum()), int((n == 1).sum()), int((n == 2).sum()), texts, kept]
+    return _pack(np.concatenate([ones, bands, own, ahead])), _pack(np.concatenate([u[often].astype(np.int64), n[often]]))
+
+
+def _band(c: np.ndarray) -> np.ndarray:
+    return np.minimum(BANDS - 1, np.log2(np.maximum(c, 1)).astype(np.int64))
+
+
+def totals(counts: DataFrame, tokens: int) -> Vocabulary:
+    sums, frequent = np.zeros(5 + 3 * BANDS, np.int64), {}
+    got = counts.where("ord = 0").select("n", "d").toArrow()  # one row a part; at most FINE words can be frequent
+    for n, d in zip(got.column(0).to_pylist(), got.column(1).to_pylist()):
+        sums += _unpack(n)
+        h, c = _unpack(d).reshape(2, -1)
+        frequent.update(zip(h.tolist(), c.tolist()))
+    types, once, twice, texts, kept = sums[:5].tolist()
+    bands, own, ahead = sums[5:].reshape(3, BANDS)
+    v = Vocabulary(tokens, types + (1 if texts else 0), texts, frequent, np.maximum(bands, 1).astype(float), ahead.astype(float), once, twice)
+    v.kept_texts, v.kept_bands = kept, np.maximum(own, 1).astype(float)
+    return v
 
 
 class Vocabulary:
@@ -127,55 +260,42 @@ class Vocabulary:
             self.coarse[OWN + i] = OWN + i if c * COARSE >= tokens and i < COARSE else 3 + min(BANDS - 1, int(np.log2(c)))
 
     def classes(self, h: np.ndarray, c: np.ndarray) -> np.ndarray:
-        out = np.where(c >= 2, 3 + np.minimum(BANDS - 1, np.log2(np.maximum(c, 1)).astype(np.int64)), UNKNOWN)
+        out = np.where(c >= 2, 3 + _band(c), UNKNOWN)
         if len(self.own):
             at = np.minimum(np.searchsorted(self.own, h), len(self.own) - 1)
             hit = self.own[at] == h
             out[hit] = self.own_class[at[hit]]
         return out
 
+    def emission(self, f: np.ndarray, c: np.ndarray, bands: np.ndarray) -> np.ndarray:
+        """P(word | class) of words seen c times, ``bands`` being the sums of c."""
+        out = np.where(f == UNKNOWN, np.where(c > 0, (1 - self.unseen) / self.once, self.unseen), 1.0)
+        band = (f >= 3) & (f < OWN)
+        out[band] = c[band] / bands[f[band] - 3]
+        return out
+
+
+def _by_place(table: pa.Table, order: int, column: str) -> np.ndarray:
+    """Totals that the parts sent back for a chunk's different n-grams, in order of keys."""
+    own = table.filter(pa.array(table.column("ord").to_numpy() == order))
+    rows = own.column(column).to_pylist()
+    return np.concatenate([_unpack(rows[i]) for i in np.argsort(own.column("part").to_numpy())])
 
-def class_table(dealt: DataFrame, folder: str, vocabulary: Vocabulary) -> DataFrame:
-    """From (chunk, h, n): the texts of each chunk as class sequences, with the sums that need exact counts."""
-    names = "doc_id long, held_out boolean, deleted boolean, n_tokens long, n_known long, base_score double, emitted double, classes binary"
-    shared = dealt.sparkSession.sparkContext.broadcast(vocabulary)  # bounded by FINE words
+
+def class_table(counts: DataFrame, folder: str, vocabulary: Vocabulary) -> DataFrame:
+    """The learning texts of each chunk as class sequences."""
+    shared = counts.sparkSession.sparkContext.broadcast(vocabulary)  # bounded by FINE words
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        v = shared.value
-        fs, path = _filesystem(folder)
-        h_all, n_all = table.column("h").to_numpy(), table.column("n").to_numpy()
-        order = np.argsort(h_all)
-        h_all, n_all = h_all[order], n_all[order]
-        rows: list[pa.RecordBatch] = []
-        chunk = key[0].as_py()
-        with fs.open_input_stream(os.path.join(path, f"{chunk:016x}.arrow")) as f, pa.ipc.open_stream(f) as reader:
-            for piece in reader:
-                for s in slices(piece):
-                    data, off = buffers(s.column(1))
-                    data = _LOWER[data]
-                    begin, end, first = words(data, off)
-                    docs = s.num_rows
-                    if len(begin):
-                        h = span_hash(prefix_hash(data), begin, end).view(np.int64)
-                        c = n_all[np.searchsorted(h_all, h)]
-                        f_class = v.classes(h, c)
-                        band = (f_class >= 3) & (f_class < OWN)
-                        emit = np.where(f_class == UNKNOWN, np.where(c > 0, np.log10((1 - v.unseen) / v.once), np.log10(v.unseen)), 0.0)
-                        emit[band] = np.log10(c[band] / v.bands[f_class[band] - 3])
-                        base = np.log10((c + 1) / (v.tokens + v.types + 1))
-                        sums = [np.concatenate([[0], np.cumsum(x)]) for x in (base, emit, c > 0)]
-                        base_s, emit_s, known = (x[first[1:]] - x[first[:-1]] for x in sums)
-                        classes = f_class.astype("<i2")
-                    else:
-                        base_s, emit_s, known, classes = np.zeros(docs), np.zeros(docs), np.zeros(docs, np.int64), np.zeros(0, "<i2")
-                    n = np.diff(first) + 1
-                    base_s = base_s + np.log10((v.texts + 1) / (v.tokens + v.types + 1))
-                    known = known + (v.texts > 0)
-                    cols = [s.column(0), s.column(2), s.column(3), pa.array(n.astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(base_s), pa.array(emit_s), pa.array([classes[a:b].tobytes() for a, b in zip(first, first[1:])], pa.binary())]
-                    rows.append(pa.RecordBatch.from_arrays(cols, [x.split()[0] for x in names.split(", ")]))
-        return pa.Table.from_batches(rows)
-
-    return dealt.groupBy("chunk").applyInArrow(run, names)
+        v, texts = shared.value, _read_chunk(folder, key[0].as_py())
+        c = Chunk(texts)
+        u, back, _ = _distinct(c.keys(1))
+        f = v.classes(u.astype(np.int64), _by_place(table, 1, "n"))[back].astype("<i2")
+        chosen = np.flatnonzero(~texts.column(2).to_numpy())
+        raw = [f[a:b].tobytes() for a, b in zip(c.first[chosen].tolist(), c.last[chosen].tolist())]
+        return pa.Table.from_arrays([texts.column(2).take(pa.array(chosen)), texts.column(3).take(pa.array(chosen)), pa.array(raw, pa.binary())], ["held_out", "deleted", "classes"])
+
+    return counts.where("ord = 1").groupBy("chunk").applyInArrow(run, "held_out boolean, deleted boolean, classes binary")
 
 
 def _sequences(batch: pa.RecordBatch, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -269,17 +389,26 @@ class Interpolation:
         return (w[:, 0] * p3 + w[:, 1] * p2 + w[:, 2] * p1) * self.gain[f] / mean
 
     def learn(self, bucket: np.ndarray, q3: np.ndarray, q2: np.ndarray, n: np.ndarray, rounds: int = EM_ROUNDS) -> None:
-        """Expectation-maximisation over held-out counts: ratios of the higher orders to order one, on a logarithmic grid."""
-        r = np.stack([np.where(q3 <= -REACH, 0.0, 10.0 ** (GRID * q3)), np.where(q2 <= -REACH, 0.0, 10.0 ** (GRID * q2)), np.ones(len(n))], 1)
-        for b in np.unique(bucket):
-            x, m = r[bucket == b], n[bucket == b].astype(np.float64)
-            w = np.full(3, 1 / 3)
-            for _ in range(rounds):
-                share = x * w
-                share /= share.sum(1, keepdims=True)
-                w = (share * m[:, None]).sum(0) + 1e-3
-                w /= w.sum()
-            self.weights[b] = w
+        _learn(self.weights, bucket, q3, q2, n, rounds)
+
+
+def _learn(weights: np.ndarray, bucket: np.ndarray, q3: np.ndarray, q2: np.ndarray, n: np.ndarray, rounds: int = EM_ROUNDS) -> None:
+    """Expectation-maximisation over held-out counts: ratios of the higher orders to the lowest, on a logarithmic grid."""
+    r = np.stack([np.where(q3 <= -REACH, 0.0, 10.0 ** (GRID * q3)), np.where(q2 <= -REACH, 0.0, 10.0 ** (GRID * q2)), np.ones(len(n))], 1)
+    for b in np.unique(bucket):
+        x, m = r[bucket == b], n[bucket == b].astype(np.float64)
+        w = np.full(3, 1 / 3)
+        for _ in range(rounds):
+            share = x * w
+            share /= share.sum(1, keepdims=True)
+            w = (share * m[:, None]).sum(0) + 1e-3
+            w /= w.sum()
+        weights[b] = w
+
+
+def _codes(bucket: np.ndarray, p3: np.ndarray, p2: np.ndarray, p1: np.ndarray) -> np.ndarray:
+    q = [np.clip(np.round(np.log10(np.maximum(p, 1e-300) / np.maximum(p1, 1e-290)) / GRID), -REACH, REACH).astype(np.int64) + REACH for p in (p3, p2)]
+    return (bucket * (2 * REACH + 1) + q[0]) * (2 * REACH + 1) + q[1]
 
 
 def held_out_ratios(table: DataFrame, model: Interpolation) -> tuple[np.ndarray, ...]:
@@ -287,14 +416,13 @@ def held_out_ratios(table: DataFrame, model: Interpolation) -> tuple[np.ndarray,
     shared = table.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, side = shared.value, 2 * REACH + 1
+        m = shared.value
         total: dict[int, int] = {}
         for whole in batches:
             for begin in range(0, whole.num_rows, 512):
                 seq, f1, f2, _ = _sequences(whole.slice(begin, 512), 0)
                 b, p3, p2, p1 = m.terms(seq, f1, f2)
-                q = [np.clip(np.round(np.log10(np.maximum(p, 1e-300) / p1) / GRID), -REACH, REACH).astype(np.int64) + REACH for p in (p3, p2)]
-                u, n = np.unique((b * side + q[0]) * side + q[1], return_counts=True)
+                u, n = np.unique(_codes(b, p3, p2, p1), return_counts=True)
                 for code, k in zip(u.tolist(), n.tolist()):
                     total[code] = total.get(code, 0) + k
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], ["code", "n"])
@@ -304,21 +432,82 @@ def held_out_ratios(table: DataFrame, model: Interpolation) -> tuple[np.ndarray,
     return code // side // side, code // side % side - REACH, code % side - REACH, n
 
 
-def score_texts(table: DataFrame, model: Interpolation, train_tokens: int) -> DataFrame:
-    shared = table.sparkSession.sparkContext.broadcast(model)
-    names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
+class WordInterpolation:
+    """Word trigrams and bigrams over the class model: shares of what followed a context, weighed by how often it was seen."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        for whole in batches:
-            for begin in range(0, whole.num_rows, 512):
-                batch = whole.slice(begin, 512)
-                seq, f1, f2, text = _sequences(batch, 6)
-                s = np.bincount(text, np.log10(m.probabilities(seq, f1, f2)), batch.num_rows) + batch.column(5).to_numpy()
-                yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(s)], names)
+    def __init__(self, base: Interpolation, vocabulary: Vocabulary):
+        self.base, self.vocabulary = base, vocabulary
+        self.weights = np.tile([0.3, 0.3, 0.4], (64, 1))
 
-    scored = table.select("doc_id", "held_out", "n_tokens", "n_known", "base_score", "emitted", "classes").mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
-    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(train_tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    def settle(self) -> None:
+        """No weight on orders whose context was never seen, so that probabilities sum to one."""
+        self.weights[:32, 0] = 0
+        self.weights[0, 1] = 0
+        self.weights /= self.weights.sum(1, keepdims=True)
+
+    def terms(self, base: np.ndarray, n3: np.ndarray, n2: np.ndarray, t3: np.ndarray, t2: np.ndarray) -> tuple[np.ndarray, ...]:
+        b = np.where(t3 > 0, 32 + np.minimum(31, np.log2(np.maximum(t3, 1)).astype(np.int64)), np.minimum(31, np.log2(t2 + 1).astype(np.int64)))
+        return b, n3 / np.maximum(t3, 1), n2 / np.maximum(t2, 1), base
+
+    def probabilities(self, *counts: np.ndarray) -> np.ndarray:
+        b, p3, p2, p1 = self.terms(*counts)
+        w = self.weights[b]
+        return w[:, 0] * p3 + w[:, 1] * p2 + w[:, 2] * p1
+
+
+def _evidence(c: Chunk, table: pa.Table, m: WordInterpolation, kept: bool, chosen: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Class-model probability, counts of trigram and bigram and of their contexts at the chosen tokens; kept: without the deleted fold."""
+    v, n = m.vocabulary, {}
+    for order in (1, 2, 3):
+        u, back, _ = _distinct(c.keys(order))
+        x = _by_place(table, order, "n")
+        if order == 1:
+            f = v.classes(u.astype(np.int64), x)[back]
+            f[c.last] = END
+        if kept:
+            x = x - _by_place(table, order, "d")
+        n[order] = x[back]
+    texts, bands = (v.kept_texts, v.kept_bands) if kept else (v.texts, v.bands)
+    t3, t2 = c.before(n[2], texts)[chosen], c.before(n[1], texts)[chosen]
+    f1 = c.before(f, START)
+    f2 = c.before(f1, START)
+    f, f1, f2, n1 = f[chosen], f1[chosen], f2[chosen], n[1][chosen]
+    base = np.empty(len(f))
+    for a in range(0, len(f), 200_000):
+        s = slice(a, a + 200_000)
+        base[s] = m.base.probabilities(f[s], f1[s], f2[s]) * v.emission(f[s], n1[s], bands)
+    return base, n[3][chosen], n[2][chosen], t3, t2
+
+
+def word_ratios(counts: DataFrame, folder: str, model: WordInterpolation) -> tuple[np.ndarray, ...]:
+    """As :func:`held_out_ratios`, of word n-grams to the class model."""
+    shared, side = counts.sparkSession.sparkContext.broadcast(model), 2 * REACH + 1
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        c, m = Chunk(_read_chunk(folder, key[0].as_py())), shared.value
+        u, n = np.unique(_codes(*m.terms(*_evidence(c, table, m, True, np.flatnonzero(c.deleted)))), return_counts=True)
+        return pa.Table.from_arrays([pa.array(u, pa.int64()), pa.array(n, pa.int64())], ["code", "n"])
+
+    got = counts.where("ord > 0").groupBy("chunk").applyInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    code, n = got.column(0).to_numpy(), got.column(1).to_numpy()
+    return code // side // side, code // side % side - REACH, code % side - REACH, n
+
+
+def score_texts(counts: DataFrame, folder: str, model: WordInterpolation) -> DataFrame:
+    shared = counts.sparkSession.sparkContext.broadcast(model)
+    names = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        texts, m = _read_chunk(folder, key[0].as_py()), shared.value
+        c, v = Chunk(texts), m.vocabulary
+        u, back, _ = _distinct(c.keys(1))
+        n1 = _by_place(table, 1, "n")
+        known, base = (np.add.reduceat(x[back], c.first) for x in ((n1 > 0).astype(np.int64), np.log10((n1 + 1) / (v.tokens + v.types + 1))))
+        score = np.add.reduceat(np.log10(m.probabilities(*_evidence(c, table, m, False, np.arange(len(c.seq))))), c.first)
+        cols = [texts.column(0), texts.column(2), pa.array(c.n), pa.array(known), pa.array(np.full(len(c.n), v.tokens)), pa.array(base), pa.array(score)]
+        return pa.Table.from_arrays(cols, [x.split()[0] for x in names.split(", ")])
+
+    return counts.where("ord > 0").groupBy("chunk").applyInArrow(run, names)
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out_mod: int = 7, held_out_is: int = 2, deleted_is: int = 4, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -327,34 +516,23 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     folder = f"{shared_dir(spark)}/chunks-{uuid.uuid4().hex}"
     f = fold(id_col, held_out_mod)
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), (f == held_out_is).alias("held_out"), (f == deleted_is).alias("deleted"))
-    table = materialize(chunk_table(named, folder, chunk_bytes), "chunk-words")
-    counts = materialize(table.where("kind = 0").groupBy("h").agg(F.sum("c").alias("n")), "words")
-    texts = table.where("kind = 2").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-    totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.when(F.col("n") > 0, 1)).alias("v")).first()
-    tokens, types = totals.n + texts, totals.v + (1 if texts else 0)
-    frequent = {r.h: r.n for r in counts.where((F.col("n") > 1) & (F.col("n") * FINE >= tokens)).collect()}  # at most FINE words can be
-    rare = counts.where((F.col("n") > 1) & (F.col("n") * FINE < tokens))
-    bands, ahead = np.ones(BANDS), np.zeros(BANDS)
-    for out, n in ((bands, F.col("n")), (ahead, F.col("n") - 1)):
-        band = F.least(F.floor(F.log2(n)), F.lit(BANDS - 1)).alias("b")
-        for r in rare.where(n > 1 if out is ahead else n > 0).groupBy(band).agg(F.sum("n").alias("n")).collect():
-            out[r.b] = r.n
-    once, twice = (counts.where(F.col("n") == k).count() for k in (1, 2))
-    vocabulary = Vocabulary(tokens, types, texts, frequent, bands, ahead, once, twice)
-    dealt = table.where("kind = 0").select("chunk", "h").join(counts, "h")
-    # a chunk without words has no row above; its texts are empty but must come back
-    dealt = dealt.select("chunk", "h", "n").unionByName(table.where("kind = 2").select("chunk", F.lit(NO_WORD).cast("long").alias("h"), F.lit(0).cast("long").alias("n")))
-    classes = materialize(class_table(dealt, folder, vocabulary), "classes")
-    drop_materialized(table, counts)
+    chunks = materialize(chunk_table(named, folder, chunk_bytes), "chunks")
+    size = chunks.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")).first()
+    parts = max(64, 1 << max(0, (size.n - 1) // 2).bit_length())
+    counts = materialize(word_counts(chunks.repartition(max(1, size.n)), folder, parts, size.tokens), "word-counts")
+    vocabulary = totals(counts, size.tokens)
+    classes = materialize(class_table(counts, folder, vocabulary), "classes")
     two_a, two_b, three_a, three_b = ngram_counts(classes, vocabulary.coarse)
     deleted = Interpolation(two_a, three_a, vocabulary)
     deleted.learn(*held_out_ratios(classes, deleted))
+    drop_materialized(chunks, classes)
     full = Interpolation(two_a + two_b, three_a + three_b, vocabulary)
     full.weights = deleted.weights
-    return score_texts(classes, full, tokens)
-
-
-NO_WORD = -(2**63)
+    words_deleted, words_full = WordInterpolation(deleted, vocabulary), WordInterpolation(full, vocabulary)
+    _learn(words_deleted.weights, *word_ratios(counts, folder, words_deleted))
+    words_deleted.settle()
+    words_full.weights = words_deleted.weights
+    return score_texts(counts, folder, words_full)
 
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

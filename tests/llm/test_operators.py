@@ -354,3 +354,31 @@ def test_rows_without_id_and_repeated_rows(spark):
     _, changed = substrings.remove_repeats(d)
     assert {r.doc_id: r.n_removed for r in changed.collect()} == {7: len(a)}
     assert lm.score_documents(d).count() == 6
+
+
+def test_language_model_knows_word_pairs(spark):
+    # every word is rare and of the same frequency, so classes tell nothing: only word n-grams know which follows which
+    rng = random.Random(12)
+    vocabulary = [prose(rng, 1) + str(i) for i in range(4000)]
+    chains = [rng.sample(vocabulary, 12) for _ in range(400)]
+    rows = [(i, " ".join(w for c in rng.sample(chains, 6) for w in c)) for i in range(900)]
+    seen = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 7 == 2]
+    given = dict(rows)
+    mixed = [(i + 10_000, " ".join(rng.sample(given[i].split(), 72))) for i in range(900) if zlib.crc32(str(i + 10_000).encode()) % 7 == 2]
+    got = by_id(lm.score_documents(spark.createDataFrame(rows + mixed, "doc_id long, text string"), chunk_bytes=30_000))
+    a = np.mean([got[i].score / got[i].n_tokens for i in seen])
+    b = np.mean([got[i].score / got[i].n_tokens for i, _ in mixed])
+    assert got[seen[0]].held_out and a > b + 1.5 and a > -1.0
+
+
+def test_word_probabilities_sum_to_one():
+    rng = np.random.default_rng(9)
+    m = lm.WordInterpolation(None, None)
+    m.weights = rng.dirichlet(np.ones(3), 64)
+    m.settle()
+    base = rng.dirichlet(np.ones(50))
+    for t3, t2 in ((0, 0), (0, 7), (5, 7), (300, 900)):
+        n3, n2 = rng.multinomial(t3, np.ones(50) / 50), rng.multinomial(t2, np.ones(50) / 50)
+        assert abs(m.probabilities(base, n3, n2, np.full(50, t3), np.full(50, t2)).sum() - 1) < 1e-9
+    x = np.array([0, 5, 2**40, 2**56 - 1])
+    assert lm._unpack(lm._pack(x)).tolist() == x.tolist() and lm._unpack(lm._pack(x[:0])).tolist() == []
