@@ -201,25 +201,35 @@ def verify(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) ->
     return pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long, jaccard double").where(F.col("jaccard") >= similarity)
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
-    """id and the least id of its component, for the ends of the edges: least neighbouring label, then a pointer jump, until nothing changes.
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 200) -> DataFrame:
+    """id and the least id of its component, for the ends of the edges.
 
-    Every round is written to the shared folder; the driver sees one count.
+    Each round gives the ids a new random order, merges every id into the first of those at most two edges away and
+    contracts the edges, until none is left.  Merged ids lie in one component whatever the order is; each round leaves at most a
+    fraction of the ids on average, so rounds are logarithmic, also on chains.  Rounds are written to the shared
+    folder; the driver sees one count of each.  Still having edges after ``most_rounds`` is an error.
     """
     both = materialize(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).unionByName(edges.select(F.col(b).alias("u"), F.col(a).alias("v"))).distinct(), "edges")
-    now = materialize(both.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("m")).select("id", F.least("id", "m").alias("label")), "labels")
-    for _ in range(most_rounds):
-        near = both.join(now.select(F.col("id").alias("v"), "label"), "v").groupBy(F.col("u").alias("id")).agg(F.min("label").alias("near"))
-        step = now.join(near, "id").select("id", "label", F.least("label", "near").alias("next"))
-        jump = step.join(step.select(F.col("id").alias("next"), F.col("next").alias("far")), "next", "left").select("id", F.col("label").alias("old"), F.least("next", F.coalesce("far", "next")).alias("label"))
-        new = materialize(jump, "labels")
-        changed = new.where("label <> old").limit(1).count()
-        drop_materialized(now)
-        now = new
-        if not changed:
+    labels = both.select(F.col("u").alias("id"), F.col("u").alias("at")).distinct()
+    both_now = materialize(both.where("u <> v"), "edges")
+    drop_later = [both]
+    for seed in range(most_rounds):
+        if not both_now.limit(1).count():
             break
-    drop_materialized(both)
-    return now.select("id", "label")
+        rank = lambda c: F.struct(F.xxhash64(c, F.lit(seed)).alias("h"), F.col(c).alias("id"))  # noqa: B023, E731
+        near = both_now.groupBy("u").agg(F.least(F.min(rank("v")), F.min(rank("u"))).alias("m"))
+        far = both_now.join(near.select(F.col("u").alias("v"), "m"), "v").groupBy("u").agg(F.min("m").alias("m"))
+        into = materialize(far.select("u", F.col("m.id").alias("to")), "merged")
+        ends = into.select(F.col("u").alias("v"), F.col("to").alias("to_v"))
+        new = materialize(both_now.join(into, "u").join(ends, "v").where("to <> to_v").select(F.col("to").alias("u"), F.col("to_v").alias("v")).distinct(), "edges")
+        labels = materialize(labels.join(into.withColumnRenamed("u", "at"), "at", "left").select("id", F.coalesce("to", "at").alias("at")), "labels")
+        drop_materialized(both_now, into, *drop_later)
+        both_now, drop_later = new, [labels]
+    else:
+        if both_now.limit(1).count():
+            raise RuntimeError(f"components have not settled in {most_rounds} rounds")
+    least = labels.groupBy("at").agg(F.min("id").alias("label"))
+    return labels.join(least, "at").select("id", "label")
 
 
 def _pairs(frame: DataFrame, x: str, y: str, similarity: float) -> DataFrame:

@@ -382,3 +382,14 @@ def test_word_probabilities_sum_to_one():
         assert abs(m.probabilities(base, n3, n2, np.full(50, t3), np.full(50, t2)).sum() - 1) < 1e-9
     x = np.array([0, 5, 2**40, 2**56 - 1])
     assert lm._unpack(lm._pack(x)).tolist() == x.tolist() and lm._unpack(lm._pack(x[:0])).tolist() == []
+
+
+def test_components_of_long_chains_with_shuffled_ids(spark):
+    rng = random.Random(7)
+    ids = rng.sample(range(10**6), 900)
+    near = rng.sample(range(10**6, 2 * 10**6), 300)
+    edges = list(zip(ids, ids[1:])) + [(near[i], near[j]) for i in range(300) for j in range(i + 1, min(300, i + 4))] + [(5 * 10**6, 5 * 10**6)]
+    got = {r.id: r.label for r in dedup.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {i: min(ids) for i in ids} | {i: min(near) for i in near} | {5 * 10**6: 5 * 10**6}
+    with pytest.raises(RuntimeError):
+        dedup.connected_components(spark.createDataFrame(edges, "a long, b long"), most_rounds=1)
