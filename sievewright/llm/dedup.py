@@ -1,11 +1,11 @@
 """Op 6.  Near-duplicates by DartMinHash signatures and banded joining.
 
-A text is the weighted set of its five-word shingles (fewer words: one shingle of them all); a shingle found n
-times weighs 1 + ln n.  Hashed darts are thrown into each shingle's region of the weight-rank plane: a unit
+A text is the set of its five-word shingles (fewer words: one shingle of them all); each weighs one however often it
+is found, as in the similarity that links are held to.  Hashed darts are thrown into each shingle's region of the weight-rank plane: a unit
 cell of weight and an interval of rank gets a Poisson number of darts, drawn from the hash of shingle, cell and
 interval, so equal regions of two texts hold the same darts.  Darts below the shingle's weight and below a
 rank limit that gives about k ln k + 2k darts count; each falls on one of k coordinates, and the one of least
-rank per coordinate is the signature.  Coordinates agree with the probability of the weighted Jaccard similarity.
+rank per coordinate is the signature.  Coordinates agree with the probability of the (weighted) Jaccard similarity.
 
 Equal texts are one class at once and only one of them goes on.  Signatures are cut into bands; texts that share
 a band are candidates, and candidates are linked when the exact Jaccard similarity of their shingle sets is 0.8
@@ -149,8 +149,8 @@ def signature_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for batch in batches:
             for part in slices(batch):
                 data, off = buffers(part.column(1))
-                doc, g, n = shingles(data, off)
-                sig = dart_signatures(doc, g, 1 + np.log(n), part.num_rows, bands * rows)
+                doc, g, _ = shingles(data, off)
+                sig = dart_signatures(doc, g, np.ones(len(g)), part.num_rows, bands * rows)
                 sizes = np.bincount(doc, minlength=part.num_rows)
                 keys = band_keys(sig, bands, rows)
                 empty = part.column(1).is_null().to_pylist()

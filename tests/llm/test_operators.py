@@ -393,3 +393,15 @@ def test_components_of_long_chains_with_shuffled_ids(spark):
     assert got == {i: min(ids) for i in ids} | {i: min(near) for i in near} | {5 * 10**6: 5 * 10**6}
     with pytest.raises(RuntimeError):
         dedup.connected_components(spark.createDataFrame(edges, "a long, b long"), most_rounds=1)
+
+
+def test_near_duplicates_whose_shingles_repeat_differently(spark):
+    rng = random.Random(17)
+    rows = []
+    for i in range(30):
+        w = prose(rng, 30).split()
+        rows += [(4 * i, " ".join(w)), (4 * i + 1, " ".join(w * 20))]
+        p = prose(rng, 104).split()
+        rows += [(4 * i + 2, " ".join(p)), (4 * i + 3, " ".join(p + p[:34] * 9))]
+    got = by_id(dedup.near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert {i: r.class_id for i, r in got.items()} == {i: i - i % 2 for i, _ in rows}
