@@ -28,7 +28,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import buffers, drop_materialized, materialize, mix, prefix_hash, read_table, slices, span_hash, words
@@ -39,10 +39,10 @@ BANDS, ROWS = 24, 5
 #: Rounds after the first; the last compares all that the others left.
 HUBS = 3
 #: Binary logarithms of the bins of the coarse and the fine sketch, and the shares of bins that must agree before two
-#: sets are compared in full.  Pairs of similarity 0.8 agree in 0.8 of the bins, with standard deviations below 0.025 and
-#: 0.0125, so both shares lie at least three and four of these below.  Sets of up to as many shingles as the fine sketch
-#: has bins are held whole instead, so that the join itself compares them.
-SKETCHES = ((8, 0.72), (10, 0.75))
+#: sets are compared in full.  Pairs of similarity 0.8 agree in 0.8 of the bins, with standard deviations of 0.025 and
+#: 0.0125, so the shares lie six and four of these below.  Sets of up to as many shingles as the fine sketch
+#: has bins are held whole instead: two such sets are compared by the join itself, whatever their sketches say.
+SKETCHES = ((8, 0.65), (10, 0.75))
 WHOLE = 1 << SKETCHES[1][0]
 #: Up to so many ids of candidates (16 bytes each) are sent to the texts; more meet them by a shuffle.
 MOST_BROADCAST_IDS = 1_000_000
@@ -238,6 +238,15 @@ def _pairs(frame: DataFrame, x: str, y: str, similarity: float) -> DataFrame:
     return kept.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
 
 
+def sketches_agree(similarity: float = SIMILARITY) -> Column:
+    """Whether two texts (n, sketch, fine, each numbered 1 and 2) may have the similarity."""
+    both, small = (F.size(F.array_intersect(f"{c}1", f"{c}2")) for c in ("fine", "sketch"))
+    coarse = small >= SKETCHES[0][1] * F.greatest(F.size("sketch1"), F.size("sketch2"))
+    whole = F.col("n1") <= WHOLE, F.col("n2") <= WHOLE
+    exact = both + 2 >= similarity / (1 + similarity) * (F.col("n1") + F.col("n2"))
+    return F.when(whole[0] & whole[1], exact).when(whole[0] | whole[1], coarse).otherwise(coarse & (both >= SKETCHES[1][1] * F.greatest(F.size("fine1"), F.size("fine2"))))
+
+
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id and class_id (the least id of its class) of every row."""
     table = materialize(signature_table(docs, id_col, text_col, bands, rows), "signatures")
@@ -275,11 +284,7 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
             x, y = (todo.select("key", *[F.col(c).alias(f"{c}{i}") for c in ("rep", "n", "label", "bands", "sketch", "fine")]) for i in (1, 2))
             sizes_fit = F.least("n1", "n2") >= similarity * F.greatest("n1", "n2")
             least_key = F.array_min(F.array_intersect("bands1", "bands2")) == F.col("key")
-            both, small = (F.size(F.array_intersect(f"{c}1", f"{c}2")) for c in ("fine", "sketch"))
-            coarse = small >= SKETCHES[0][1] * F.greatest(F.size("sketch1"), F.size("sketch2"))
-            whole = F.col("n1") <= WHOLE, F.col("n2") <= WHOLE
-            fine = F.when(whole[0] & whole[1], both + 2 >= similarity / (1 + similarity) * (F.col("n1") + F.col("n2"))).when(whole[0] | whole[1], True).otherwise(both >= SKETCHES[1][1] * F.greatest(F.size("fine1"), F.size("fine2")))
-            cand = x.join(y, "key").where((F.col("rep1") < F.col("rep2")) & (F.col("label1") != F.col("label2")) & sizes_fit & least_key & coarse & fine)
+            cand = x.join(y, "key").where((F.col("rep1") < F.col("rep2")) & (F.col("label1") != F.col("label2")) & sizes_fit & least_key & sketches_agree(similarity))
             pairs = _pairs(cand, "rep1", "rep2", similarity)
         else:
             first_hub = left.groupBy("key").agg(F.max_by("label", "rank").alias("first_label"))

@@ -405,3 +405,17 @@ def test_near_duplicates_whose_shingles_repeat_differently(spark):
         rows += [(4 * i + 2, " ".join(p)), (4 * i + 3, " ".join(p + p[:34] * 9))]
     got = by_id(dedup.near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string")))
     assert {i: r.class_id for i, r in got.items()} == {i: i - i % 2 for i, _ in rows}
+
+
+def test_whole_sets_are_compared_whatever_their_sketches_say(spark):
+    rng = np.random.default_rng(2)
+    rows = []
+    while len(rows) < 3:  # 800 of 1000 in common, but under 0.72 of the bins
+        h = np.unique(rng.integers(0, 2**64, 1000, dtype=np.uint64))
+        x, y = np.sort(h[rng.permutation(1000)[:900]]), h
+        y = np.sort(np.concatenate([x[rng.permutation(900)[:800]], np.setdiff1d(h, x)]))
+        a, b = dedup.sketch(x, 8), dedup.sketch(y, 8)
+        if len(np.intersect1d(a, b)) < 0.72 * max(len(a), len(b)):
+            rows.append((900, 900, a.tolist(), b.tolist(), (x >> np.uint64(33)).astype(np.int32).tolist(), (y >> np.uint64(33)).astype(np.int32).tolist()))
+    d = spark.createDataFrame(rows, "n1 long, n2 long, sketch1 array<int>, sketch2 array<int>, fine1 array<int>, fine2 array<int>")
+    assert d.where(dedup.sketches_agree()).count() == 3
