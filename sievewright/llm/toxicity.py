@@ -83,12 +83,13 @@ def character_model(trigrams: np.ndarray) -> list:
     return np.log((t + 5 * two[None]) / (t.sum(2, keepdims=True) + 5)).tolist()
 
 
-def decode(token: str, model: list) -> str:
+def decode(token: str, model: list, boundaries: bool = False) -> str:
     """The likeliest letters behind a written token, by Viterbi decoding of its lattice.
 
-    A state is the last two letters put out; each keeps its best path only.
+    A state is the last two letters put out; each keeps its best path only, as a chain of back pointers, so that the
+    work is linear in the token's length.  With ``boundaries`` a separator may also stand for the end of a word (a blank).
     """
-    paths = {(0, 0, ""): (0.0, "")}
+    paths: dict = {(0, 0, ""): (0.0, None)}
     low = token.lower()
     for at, c in enumerate(low):
         long_run = c * 3 in low[max(0, at - 2) : at + 3]
@@ -99,30 +100,58 @@ def decode(token: str, model: list) -> str:
         new: dict = {}
         for (a, b, last), (score, text) in paths.items():
             moves = [(a, b, last, score - drop, text)] if drop is not None else []
+            if boundaries and c in SEPARATORS and last not in ("", " "):
+                moves.append((b, 0, " ", score - (0.0 if c == " " else COST_SEPARATOR) + model[a][b][0], (text, " ")))
             for x, cost in options:
                 if x == last:  # one more of the same letter: a repeat, or truly double
                     moves.append((a, b, last, score - (COST_REPEAT if long_run else COST_TWICE), text))
                     cost += COST_DOUBLE if long_run else 0.0
                 s = _symbol(x)
-                moves.append((b, s, x, score - cost + model[a][b][s], text + x))
+                moves.append((b, s, x, score - cost + model[a][b][s], (text, x)))
             for a2, b2, x, v, string in moves:
                 if (a2, b2, x) not in new or v > new[a2, b2, x][0]:
                     new[a2, b2, x] = (v, string)
         paths = new or paths
-    return max(((v + model[a][b][0], s) for (a, b, _), (v, s) in paths.items()), key=lambda x: (x[0], x[1]))[1]
+    return max(((v + (model[a][b][0] if x != " " else 0.0), _spell(s)) for (a, b, x), (v, s) in paths.items()), key=lambda x: (x[0], x[1]))[1]
+
+
+def _spell(chain: tuple | None) -> str:
+    out = []
+    while chain is not None:
+        chain, x = chain
+        out.append(x)
+    return "".join(reversed(out))
+
+
+def _features(word: str) -> tuple[str, ...]:
+    if len(word) < 3 or not word.isalpha():
+        return ()
+    return ("w:" + word, *(f"{n}:" + word[:n] for n in (4, 5) if len(word) > n))
 
 
 def features_of(token: str, model: list, longest: int = 64) -> tuple[str, ...]:
-    """The restored word and its first four and five letters; nothing for what can't be a word (over ``longest`` characters)."""
+    """The restored word and its first four and five letters; a token of over ``longest`` characters may hold several words."""
     core = token.strip(EDGE) if not ODD.match(token) else token
     if ODD.match(core):
         trimmed = core.strip("\"'.,;:?()[]{}<>%&#*|-_/\\`~ ").rstrip("!")
-        core = trimmed.lower() if trimmed and not ODD.match(trimmed) else decode(core, model) if len(core) <= longest else ""
-    else:
-        core = core.lower()
-    if len(core) < 3 or not core.isalpha():
+        if trimmed and not ODD.match(trimmed):
+            return _features(trimmed.lower())
+        if len(core) > longest:
+            return tuple(f for w in dict.fromkeys((decode(core, model), *decode(core, model, True).split())) for f in _features(w))
+        return _features(decode(core, model))
+    return _features(core.lower())
+
+
+_GAP = re.compile(r"[ .\-_*·]+")
+
+
+def features_of_run(run: str, model: list) -> tuple[str, ...]:
+    """Of single characters set apart: what they spell as one word, and as words parted at some of the gaps (wide ones sooner)."""
+    if not any(c.isalpha() for c in run):
         return ()
-    return ("w:" + core, *(f"{n}:" + core[:n] for n in (4, 5) if len(core) > n))
+    whole = decode(_GAP.sub(".", run), model)
+    parted = decode(_GAP.sub(lambda m: " " if len(m.group()) > 1 else ".", run), model, True).split()
+    return tuple(f for w in dict.fromkeys((whole, *parted)) for f in _features(w))
 
 
 class Restorer:
@@ -153,7 +182,7 @@ class Restorer:
             if f:
                 out.extend(f)
         for m in SPACED.finditer(text):
-            f = features_of(re.sub(r"[ .\-_*·]+", ".", m.group()), self.model, 400)
+            f = features_of_run(m.group(), self.model)
             out.extend((self.keep[x] for x in f if x in self.keep) if self.keep is not None else f)
         return out
 

@@ -419,3 +419,17 @@ def test_whole_sets_are_compared_whatever_their_sketches_say(spark):
             rows.append((900, 900, a.tolist(), b.tolist(), (x >> np.uint64(33)).astype(np.int32).tolist(), (y >> np.uint64(33)).astype(np.int32).tolist()))
     d = spark.createDataFrame(rows, "n1 long, n2 long, sketch1 array<int>, sketch2 array<int>, fine1 array<int>, fine2 array<int>")
     assert d.where(dedup.sketches_agree()).count() == 3
+
+
+def test_toxicity_restores_long_tokens_and_spaced_sentences():
+    rng = random.Random(6)
+    plain = [("the you here now are not what with " + w + " all of them ").split() for w in ("grumpkin", "vexhound")]
+    text = " ".join(w for _ in range(3000) for w in rng.sample(plain[0] + plain[1], 6)).encode()
+    c = toxicity._CODE[np.frombuffer(text, np.uint8)]
+    model = toxicity.character_model(np.bincount((c[:-2] * 28 + c[1:-1]) * 28 + c[2:], minlength=28**3).astype(float))
+    found = lambda t: set(toxicity.Restorer(model)(t))
+    assert "w:grumpkin" in found("gr" + "u" * 80 + "mpkin") and "w:vexhound" in found("v" + "." * 70 + "exh0und")
+    assert "w:grumpkin" in found("/".join(["what", "you", "grumpk1n"] * 6))
+    spaced = lambda words: " ".join(" ".join(w) for w in words)
+    assert "w:grumpkin" in found(spaced(["you", "grumpkin"])) and "w:grumpkin" in found("  ".join(" ".join(w) for w in ["you", "grumpkin", "here"]))
+    assert {"w:grumpkin", "w:vexhound"} <= found(spaced(["you", "are", "not", "grumpkin", "here", "now", "vexhound"] * 12))
