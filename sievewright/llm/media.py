@@ -169,4 +169,7 @@ def decode_media(media: DataFrame, with_pcm: bool = True) -> DataFrame:
 
 def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = materialize(encode_media(read_table(spark, sf_dir, "documents")), "media")
-    return decode_media(stored, with_pcm=False)
+    sound = materialize(decode_media(stored), "pcm")
+    # what is said of the PCM is taken from what was stored
+    feature = F.concat(F.substring_index("feature", "pcm16k_crc32=", 1), F.lit("pcm16k_crc32="), F.crc32("pcm").cast("string"))
+    return sound.withColumns({"feature": feature, "pcm_bytes": F.length("pcm").cast("long")}).drop("pcm")

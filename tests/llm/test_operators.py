@@ -433,3 +433,13 @@ def test_toxicity_restores_long_tokens_and_spaced_sentences():
     spaced = lambda words: " ".join(" ".join(w) for w in words)
     assert "w:grumpkin" in found(spaced(["you", "grumpkin"])) and "w:grumpkin" in found("  ".join(" ".join(w) for w in ["you", "grumpkin", "here"]))
     assert {"w:grumpkin", "w:vexhound"} <= found(spaced(["you", "are", "not", "grumpkin", "here", "now", "vexhound"] * 12))
+
+
+def test_media_query_stores_the_pcm(spark, tmp_path, monkeypatch):
+    stored, write = {}, media.materialize
+    monkeypatch.setattr(media, "materialize", lambda df, name: stored.setdefault(name, write(df, name)))
+    spark.createDataFrame([(1, "some text " * 30), (2, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = media.op3_media_columns(spark, str(tmp_path))
+    pcm = by_id(stored["pcm"])
+    assert "pcm" not in out.columns
+    assert {i: (len(r.pcm), str(zlib.crc32(r.pcm))) for i, r in pcm.items()} == {i: (r.pcm_bytes, r.feature.split("=")[-1]) for i, r in by_id(out).items()}
