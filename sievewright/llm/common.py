@@ -19,20 +19,23 @@ SLICE_DOCS = 512
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``).
 
-    Only where the cluster names none, as in local tests, a temporary one is made and set.
+    Only a local session that names none, as in tests, gets a temporary one; on a cluster a missing setting is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not path:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = "file://" + tempfile.mkdtemp(prefix="sievewright-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and return it read back: this cuts lineage, and a lost executor loses nothing."""
+def materialize(df: DataFrame, name: str, level: int = 3) -> DataFrame:
+    """Write ``df`` as Parquet (zstd of the given level) into the shared folder and return it read back: this cuts lineage, and a lost executor loses nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", str(level)).parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._sievewright_path = path
     return back
@@ -41,11 +44,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def drop_materialized(*frames: DataFrame) -> None:
     """Delete tables of :func:`materialize` that nothing will read again."""
     for df in frames:
-        path = getattr(df, "_sievewright_path", None)
-        if path:
-            jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(conf).delete(p, True)
+        drop_folder(df.sparkSession, getattr(df, "_sievewright_path", None))
+
+
+def drop_folder(spark: SparkSession, path: str | None) -> None:
+    if path:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def fold(doc_id: str, n: int) -> Column:

@@ -12,16 +12,19 @@ a band are candidates, and candidates are linked when the exact Jaccard similari
 or more.  A bucket is not expanded into all its pairs: each member meets the bucket's hub, the
 member that shares most buckets with most others (an original among its copies).  Buckets whose members
 are not yet one component then meet further hubs, and what these leave is compared pair by pair across
-components: sketches of the shingle sets (least hashes of 256 bins) within the join, and those that agree in full.
-So components are those of all candidate links, while the pairs that come out of joins stay linear in copies.
-
-Null texts are classes of their own; texts without words are alike only if equal.  Repeated rows fall into their
-text's class.  An empty table gives no rows; other columns are not read.
+components: within the join by the whole sets where both have up to 1024 shingles, else by sketches of them (least hashes
+of 256 and 1024 bins, whose tests lie six and four standard deviations below the similarity), and those that agree in
+full.  So components are those of all candidate links, while the pairs that come out of joins stay linear in copies.
+
+Null texts are classes of their own, named by their ids; texts without words are alike only if equal.  Repeated rows fall
+into their text's class.  Rows that share an id but not the text are classed by their texts; a class is named by the least
+id that stands for one text alone, or, where it has none, by a negative number made of a digest.  Rows without an id are
+classed as well.  Ties (equal ranks of hubs) go by hashes of ids.  Texts of any length are read whole.  An empty table
+gives no rows; only the id and text columns are read, whatever the names of others.
 """
 
 from __future__ import annotations
 
-import hashlib
 import math
 from collections.abc import Iterator
 from functools import lru_cache
@@ -153,11 +156,14 @@ def signature_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 sig = dart_signatures(doc, g, np.ones(len(g)), part.num_rows, bands * rows)
                 sizes = np.bincount(doc, minlength=part.num_rows)
                 keys = band_keys(sig, bands, rows)
-                empty = part.column(1).is_null().to_pylist()
-                digest = [None if e else hashlib.blake2b(data[a:b], digest_size=16).digest() for e, a, b in zip(empty, off.tolist(), off[1:].tolist())]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(digest, pa.binary()), pa.array([k if s else [] for k, s in zip(keys, sizes)], pa.list_(pa.int64())), pa.array(sizes, pa.int64())], ["doc_id", "digest", "bands", "shingles"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array([k if s else [] for k, s in zip(keys, sizes)], pa.list_(pa.int64())), pa.array(sizes, pa.int64())], ["doc_id", "digest", "bands", "shingles"])
+
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), text_digest(text_col).alias("digest")).mapInArrow(run, "doc_id long, digest binary, bands array<long>, shingles long")
+
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, digest binary, bands array<long>, shingles long")
+def text_digest(text_col: str) -> Column:
+    """16 bytes of SHA-256; null for a null text."""
+    return F.substring(F.unhex(F.sha2(f"`{text_col}`", 256)), 1, 16)
 
 
 def sketch(sorted_hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -202,7 +208,7 @@ def verify(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) ->
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 200) -> DataFrame:
-    """id and the least id of its component, for the ends of the edges.
+    """id and the least id of its component, for the ends of the edges, written.
 
     Each round gives the ids a new random order, merges every id into the first of those at most two edges away and
     contracts the edges, until none is left.  Merged ids lie in one component whatever the order is; each round leaves at most a
@@ -229,7 +235,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_roun
         if both_now.limit(1).count():
             raise RuntimeError(f"components have not settled in {most_rounds} rounds")
     least = labels.groupBy("at").agg(F.min("id").alias("label"))
-    return labels.join(least, "at").select("id", "label")
+    out = materialize(labels.join(least, "at").select("id", "label"), "components")
+    drop_materialized(both_now, *drop_later)
+    return out
 
 
 def _pairs(frame: DataFrame, x: str, y: str, similarity: float) -> DataFrame:
@@ -248,24 +256,34 @@ def sketches_agree(similarity: float = SIMILARITY) -> Column:
 
 
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id and class_id (the least id of its class) of every row."""
+    """doc_id, digest, class_id (the least id of its class), copies (rows of the same text) and nearest (the greatest similarity found to a different text of the class) of every row."""
     table = materialize(signature_table(docs, id_col, text_col, bands, rows), "signatures")
-    alone = table.where("digest is null")
-    groups = materialize(table.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("shingles").alias("n")), "exact")
-    banded = groups.where("rep is not null").select("rep", "n", F.explode("bands").alias("key"))
+    groups = table.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands"), F.first("shingles").alias("n"))
+    # a node is the least id of a text; where several texts have the same, as rows may repeat an id, a number made of the digest
+    groups = materialize(groups, "texts")
+    clash = materialize(groups.where("least_id is not null").groupBy("least_id").count().where("count > 1").select("least_id", F.lit(True).alias("clash")), "clashes")
+    n = clash.count()
+    made = -F.pmod(F.xxhash64("digest"), F.lit(1 << 62)) - 1
+    if n:
+        clash = F.broadcast(clash) if n <= MOST_BROADCAST_IDS else clash  # a checked size
+        exact = groups.join(clash, "least_id", "left").withColumn("rep", F.when(F.col("least_id").isNull() | F.col("clash"), made).otherwise(F.col("least_id"))).drop("clash")
+    else:
+        exact = groups.withColumn("rep", F.coalesce("least_id", made))
+    banded = exact.select("rep", "n", "digest", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    found = materialize(banded.join(shared, "key").select("key", "rep", "n", "size"), "found")
+    found = materialize(banded.join(shared, "key").select("key", "rep", "n", "size", "digest"), "found")
     central = found.groupBy("rep").agg(F.sum("size").alias("central"))
+    ends = materialize(found.select(F.col("rep").alias("id"), "digest").distinct(), "ends")
     rows_ = materialize(found.join(central, "rep").select("key", "rep", "n", "size", F.struct("central", F.xxhash64("rep").alias("h"), "rep", "n").alias("rank")), "buckets")
+    drop_materialized(found)
     hubs = rows_.groupBy("key").agg(F.max("rank").alias("hub"))
     first = materialize(_pairs(rows_.join(hubs, "key").select("rep", F.col("hub.rep").alias("hub"), F.col("n").alias("n1"), F.col("hub.n").alias("n2")), "rep", "hub", similarity), "pairs")
-    ends = materialize(rows_.select(F.col("rep").alias("id")).distinct(), "ends")
-    ends = F.broadcast(ends) if ends.count() <= MOST_BROADCAST_IDS else ends
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("text is not null").join(ends, "id", "left_semi").dropDuplicates(["id"])
+    wanted = F.broadcast(ends) if ends.count() <= MOST_BROADCAST_IDS else ends  # a checked size
+    texts = docs.select(text_digest(text_col).alias("digest"), F.col(f"`{text_col}`").alias("text")).where("text is not null").join(wanted, "digest").select("id", "text").dropDuplicates(["id"])
     sets = materialize(shingle_sets(texts), "sets")
     done, links = first, materialize(verify(first, sets, similarity), "links")
-    labels = materialize(connected_components(links), "components")
-    old: list[DataFrame] = []
+    labels = connected_components(links)
+    used = [groups, clash, rows_, ends, sets, first, links, labels]
 
     def mixed() -> DataFrame:
         """Rows of buckets that lie in several components."""
@@ -276,10 +294,8 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     for seed in range(1, HUBS + 1):
         left = mixed()
         if seed == HUBS:
-            # up to three members: the hubs have met all across components
-            left = left.where("size > 3")
             # pairs across components whose sketches agree, each at the least key that both have
-            known = sets.select(F.col("id").alias("rep"), "sketch", "fine").join(groups.select("rep", "bands"), "rep")
+            known = sets.select(F.col("id").alias("rep"), "sketch", "fine").join(exact.select("rep", "bands"), "rep")
             todo = left.join(known, "rep")
             x, y = (todo.select("key", *[F.col(c).alias(f"{c}{i}") for c in ("rep", "n", "label", "bands", "sketch", "fine")]) for i in (1, 2))
             sizes_fit = F.least("n1", "n2") >= similarity * F.greatest("n1", "n2")
@@ -295,16 +311,37 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
             pairs = _pairs(cand, "rep", "hub_rep", similarity)
         pairs = materialize(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
         more = materialize(verify(pairs, sets, similarity), "links")
-        old.append(left)
+        drop_materialized(left)
+        used += [pairs, more]
         if more.limit(1).count():
             links = links.unionByName(more)
-            labels = materialize(connected_components(links), "components")
+            labels = connected_components(links)
+            used.append(labels)
         done = done.unionByName(pairs)
-    # the component's name is its least id: representatives are the least of their texts
-    named = groups.select("digest", "rep").join(labels.select(F.col("id").alias("rep"), "label"), "rep", "left").select("digest", F.coalesce("label", "rep").alias("class_id"))
-    out = table.where("digest is not null").select("doc_id", "digest").join(named, "digest").select("doc_id", "class_id").unionByName(alone.select("doc_id", F.col("doc_id").alias("class_id")))
-    return out
+    both = links.select(F.col("a").alias("rep"), "jaccard").unionByName(links.select(F.col("b").alias("rep"), "jaccard")).groupBy("rep").agg(F.max("jaccard").alias("nearest"))
+    named = exact.join(labels.select(F.col("id").alias("rep"), "label"), "rep", "left").select("digest", "rep", "least_id", "copies", F.coalesce("label", "rep").alias("label"))
+    # the class is named by its least id of its own; where no member has one, by its node
+    ids = named.groupBy("label").agg(F.coalesce(F.min(F.when(F.col("rep") == F.col("least_id"), F.col("rep"))), F.min("label")).alias("class_id"))
+    named = materialize(named.join(ids, "label").join(both, "rep", "left").select("digest", "class_id", "copies", "nearest"), "classes")
+    drop_materialized(*used)
+    known = table.where("digest is not null").select("doc_id", "digest").join(named, "digest")
+    return known.unionByName(table.where("digest is null").select("doc_id", "digest", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("copies"), F.lit(None).cast("double").alias("nearest")))
+
+
+def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows given, of each class the one of least id (equal ids: least digest); rows without an id or a text all stay."""
+    classes = near_duplicate_classes(docs, id_col, text_col).where("doc_id is not null and digest is not null")
+    pairs = materialize(classes.groupBy("doc_id", "digest").agg(F.min("class_id").alias("class_id"), F.count(F.lit(1)).alias("rows")), "pairs")
+    stay = pairs.groupBy("class_id").agg(F.min(F.struct("doc_id", "digest")).alias("stay")).select("stay.doc_id", "stay.digest")
+    gone = materialize(pairs.join(stay, ["doc_id", "digest"], "left_anti").select(F.col("doc_id").alias("id"), "digest"), "gone")
+    twice = pairs.where("rows > 1").join(stay, ["doc_id", "digest"], "left_semi").select(F.col("doc_id").alias("id"), "digest")
+    names = docs.columns
+    left = docs.select(F.struct(*[F.col(f"`{c}`") for c in names if c != text_col]).alias("rest"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{id_col}`").cast("long").alias("id"), text_digest(text_col).alias("digest"))
+    left = left.join(F.broadcast(gone) if gone.count() <= MOST_BROADCAST_IDS else gone, ["id", "digest"], "left_anti")  # a checked size
+    if twice.limit(1).count():
+        left = left.join(twice, ["id", "digest"], "left_anti").unionByName(left.join(twice, ["id", "digest"], "left_semi").dropDuplicates(["id", "digest"]))
+    return left.select(*[F.col("text").alias(c) if c == text_col else F.col(f"rest.`{c}`") for c in names])
 
 
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicate_classes(read_table(spark, sf_dir, "documents"))
+    return near_duplicate_classes(read_table(spark, sf_dir, "documents")).drop("digest")

@@ -2,12 +2,14 @@
 
 Texts become TF-IDF vectors of hashed byte trigrams, of length one.  Document frequencies are counted over all
 learning rows.  Centroids come from spherical k-means within each language, on a sample of at most
-``most_rows`` learning rows, ``most_rows / languages`` for each language at most, taken by hash of the id
-(the documented bound; 4000 by default).  A text gets the language of the centroid of highest cosine.  A text
+``most_rows`` learning rows, about ``most_rows / languages`` for each language, taken by hash of the id, of the 1000 commonest
+languages at most (the documented bounds; 4000 rows by default).  A text gets the language of the centroid of highest cosine.  A text
 farther from that centroid than nearly all that formed it is marked ``rejected``; it keeps its nearest language.
 
 Null texts and texts without a letter are ``und`` with score 0.  Equal texts get equal results, ties go to the
-alphabetically first language.  An empty table gives no rows; with no learning row every text is ``und``.
+alphabetically first language.  Texts of any length are counted whole, one that is longer than a slice alone.  Rows that
+repeat an id, and rows without one (which are learning rows), count each for itself.  Only the id, text and language
+columns are read, whatever the names of others.  An empty table gives no rows; with no learning row every text is ``und``.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from .common import buffers, fold, read_table, slices
 
 CENTROIDS = 4
 MOST_ROWS = 4000
+#: Labels beyond the commonest so many are not learned.
+MOST_LABELS = 1000
 TEMPERATURE = 0.02
 #: Share of the learning sample that may lie beyond the rejection distance.
 REJECT_SHARE = 0.002
@@ -46,14 +50,20 @@ def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[np.nd
     return df[:-1], int(df[-1])
 
 
-def bounded_sample(docs: DataFrame, label: str, key: str, most_rows: int) -> DataFrame:
-    """At most most_rows rows, spread over the labels, by hash of ``key``: one count by label, then a filter."""
-    sizes = {r[0]: r[1] for r in docs.groupBy(label).count().collect()}
-    each = most_rows // max(1, len(sizes))
-    share = F.lit(0.0)
-    for value, n in sizes.items():
-        share = F.when(F.col(label) == F.lit(value), F.lit(each / n)).otherwise(share)
-    return docs.where(F.pmod(F.xxhash64(F.col(key), F.lit(17)), F.lit(1 << 30)) < share * (1 << 30)).limit(most_rows)
+def label_sizes(docs: DataFrame, label: str, most: int = MOST_LABELS) -> dict[str, int]:
+    """Rows of each label, of the ``most`` commonest (ties: by name)."""
+    return {r[0]: r[1] for r in docs.groupBy(label).count().orderBy(F.desc("count"), label).limit(most).collect()}
+
+
+def bounded_sample(docs: DataFrame, label: str, key: str, most_rows: int, sizes: dict[str, int] | None = None) -> DataFrame:
+    """At most most_rows rows, as many of each label where there are; a filter by hash of ``key``, then those of least hash."""
+    sizes = label_sizes(docs, label) if sizes is None else sizes
+    if not sizes:
+        return docs.limit(0)
+    each, h = max(1.0, most_rows / len(sizes)), F.pmod(F.xxhash64(F.col(key), F.lit(17)), F.lit(1 << 30))
+    share = F.element_at(F.create_map(*[F.lit(x) for value, n in sizes.items() for x in (value, float(min(1.0, each / n)))]), F.col(label))
+    # the order makes the choice the same however rows are dealt
+    return docs.where(h < share * (1 << 30)).orderBy(h, key, label).limit(most_rows)
 
 
 def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:

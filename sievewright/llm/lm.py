@@ -1,26 +1,21 @@
 """Op 10.  Language-model scores by deleted interpolation.
 
-Tokens are words in lower case and one end per text.  The model mixes maximum-likelihood estimates over words,
-mu3 P(word | word2 word1) + mu2 P(word | word1) + mu1 base, with a base over word classes:
-lambda3 P(k | k2 k1) P(f | k) + lambda2 P(f | f1) + lambda1 P(f), times P(word | f).  All weights depend on the
-bucket (binary logarithm) of how often their context was seen, and are learned by expectation-maximisation on a
-deleted fold (one learning text in seven) against estimates from the others; the scores then use the counts of
-all learning texts.
-
-f is the word itself if it makes up a thousandth of the tokens or more, else its frequency band (binary
-logarithm of its count), in which P(word | f) is its share.  Words seen once and never share a class; all words
-never seen count as one type, as in the base score, which has the share that Good and Turing's estimate gives it.
-The same estimate moves mass between bands, as words of new texts were seen less often than those of learning texts.
-k is the same with one in sixty-four.  So the class tables are bounded (under 1,100 squared and 130 cubed numbers);
-the counts of words, word bigrams and word trigrams are exact, grow with the corpus and stay distributed.
-
-Exact counts reach the texts without a table of all n-grams anywhere: each task writes its texts in chunks to
-the shared folder; each chunk sends its different n-grams once, cut by ranges of their keys, to be added up, and
-gets back the totals in the same order.
-
-Null and empty texts are one end token.  Repeated rows count as often as they stand there.  Rows without an id
-are learning rows.  With no learning text all counts are zero.  An empty table gives no rows.  Words are told apart by
-64-bit hashes, n-grams by 56-bit ones.
+Tokens are words in lower case and one end per text.  The model mixes maximum-likelihood estimates over words:
+w3 P(word | word2 word1) + w2 P(word | word1) + w1 P(word), the last with one added to each count, so that a word never
+seen has a share.  The weights depend on the bucket (binary logarithm) of how often the context was seen: of two words if
+they were seen together, else of one.  They are learned by expectation-maximisation on a deleted fold (one learning text
+in seven) against estimates from the other folds; the scores then use the counts of all learning texts.
+
+Counts of words, word bigrams and word trigrams are exact, cover all learning texts, grow with the corpus and stay
+distributed.  They reach the texts without a table of all n-grams anywhere: each task writes its texts in chunks to the
+shared folder; each chunk sends its different n-grams once, cut by ranges of their keys, to be added up, and gets back
+the totals in the same order.  A common n-gram sends one number for each chunk, whatever its count.
+
+All words never seen count as one type, as in the base score, so ``score`` is the probability of a text in which they
+are written as one mark.  Null and empty texts are one end token.  Repeated rows count as often as they stand there.  Rows
+without an id are learning rows.  Ties do not occur.  Texts of any length are read whole, one longer than a chunk in a chunk of its
+own.  With no learning text all counts are zero.  Only the id and text columns are read, whatever the names of others.  An
+empty table gives no rows.  Words are told apart by 64-bit hashes, n-grams by 56-bit ones.
 """
 
 from __future__ import annotations
@@ -37,13 +32,11 @@ from pyspark.sql import functions as F
 from .common import buffers, drop_materialized, fold, materialize, mix, prefix_hash, read_table, shared_dir, slices, span_hash, words
 from .tokencounts import _filesystem
 
-CHUNK_BYTES = 24_000_000
-#: A word has a class of its own from this share of the tokens on: fine and coarse classes.
-FINE, COARSE = 1000, 64
-BANDS = 62
-UNKNOWN, END, START, OWN = 0, 1, 2, 3 + BANDS  # classes: then bands 3.., then words of their own
-FINE_SIZE, COARSE_SIZE = OWN + FINE, 3 + BANDS + COARSE
-GRID, REACH = 0.05, 120
+CHUNK_BYTES = 16_000_000
+#: Ratios of the higher orders to the lowest go to the driver on a logarithmic grid: its step, and steps on either side.
+GRID, REACH = 0.05, 160
+#: Buckets of contexts of one word, then as many of two.
+BUCKETS = 32
 EM_ROUNDS = 60
 
 #: Hashes of the end and the start of a text, which no word has but by chance.
@@ -130,7 +123,7 @@ def _read_chunk(folder: str, chunk: int) -> pa.Table:
 
 
 def chunk_table(docs: DataFrame, folder: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Writes (doc_id, text, held_out, deleted) in chunks into ``folder``; rows: each chunk and its learning tokens."""
+    """Writes (doc_id, text, held_out, deleted) in chunks into ``folder``; rows: the chunks.  A chunk that a lost attempt left is named by no row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -139,13 +132,11 @@ def chunk_table(docs: DataFrame, folder: str, chunk_bytes: int = CHUNK_BYTES) ->
 
         def close() -> pa.RecordBatch:
             table = pa.Table.from_batches(held)
-            chunk, tokens = uuid.uuid4().int >> 65, 0
+            chunk = uuid.uuid4().int >> 65
             fs.create_dir(path, recursive=True)
             with fs.open_output_stream(os.path.join(path, f"{chunk:016x}.arrow")) as out, pa.ipc.new_stream(out, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
                 w.write_table(table)
-            for part in held:
-                tokens += int((np.diff(words(*buffers(part.column(1)))[2]) + 1)[~part.column(2).to_numpy(zero_copy_only=False)].sum())
-            return pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([tokens])], ["chunk", "tokens"])
+            return pa.RecordBatch.from_arrays([pa.array([chunk])], ["chunk"])
 
         for batch in batches:
             for part in slices(batch):
@@ -158,15 +149,15 @@ def chunk_table(docs: DataFrame, folder: str, chunk_bytes: int = CHUNK_BYTES) ->
             yield close()
 
     named = docs.select(F.col("doc_id"), F.col("text"), F.col("held_out"), F.col("deleted"))
-    return named.mapInArrow(run, "chunk long, tokens long")
+    return named.mapInArrow(run, "chunk long")
 
 
-def word_counts(chunks: DataFrame, folder: str, parts: int, tokens: int) -> DataFrame:
+def word_counts(chunks: DataFrame, folder: str, parts: int) -> DataFrame:
     """Exact counts of word n-grams of orders one to three over all learning texts, and within the deleted fold.
 
     Each chunk sends its different n-grams, in order of their keys, to the part that owns their range of keys; a part
     adds up what all chunks sent and sends each chunk its n-grams' totals in the same order.  Rows of order 0
-    hold what :func:`totals` needs of a part's words.
+    hold a part's share of :class:`Totals`.
     """
     shift = 56 - (parts.bit_length() - 1)
 
@@ -197,7 +188,7 @@ def word_counts(chunks: DataFrame, folder: str, parts: int, tokens: int) -> Data
                 at += len(k)
                 rows.append((chunk, order, part, _pack(n[where]), _pack(d[where])))
             if order == 1:
-                rows.append((-1, 0, part, *_word_totals(u, n, d, tokens)))
+                rows.append((-1, 0, part, *_part_totals(u, n, d)))
         types = (pa.int64(), pa.int8(), pa.int32(), pa.binary(), pa.binary())
         return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types)], ["chunk", "ord", "part", "n", "d"])
 
@@ -205,74 +196,27 @@ def word_counts(chunks: DataFrame, folder: str, parts: int, tokens: int) -> Data
     return sent.groupBy("part").applyInArrow(add, "chunk long, ord byte, part int, n binary, d binary")
 
 
-def _word_totals(u: np.ndarray, n: np.ndarray, d: np.ndarray, tokens: int) -> tuple[bytes, bytes]:
-    """Of a part's words: types, those seen once and twice, texts and kept texts, sums of the bands; keys, counts of the frequent and their kept counts."""
+def _part_totals(u: np.ndarray, n: np.ndarray, d: np.ndarray) -> tuple[bytes, bytes]:
+    """Of a part's words: tokens, types and texts; all, and without the deleted fold."""
     end = u == int(_mixed(np.array([END_HASH]))[0])
-    texts, kept = int(n[end].sum()), int((n - d)[end].sum())
-    u, n, k = u[~end], n[~end], (n - d)[~end]
-    often = (n > 1) & (n * FINE >= tokens)
-    rare = (n > 1) & ~often
-    # band of n for what a band holds, band of n - 1 for what new texts hold of it
-    bands, own = (np.bincount(_band(n[rare]), w[rare], BANDS).astype(np.int64) for w in (n, k))
-    ahead = np.bincount(_band(n[rare] - 1), n[rare], BANDS).astype(np.int64)
-    ones = [int((n > 0).sum()), int((n == 1).sum()), int((n == 2).sum()), texts, kept]
-    return _pack(np.concatenate([ones, bands, own, ahead])), _pack(np.concatenate([u[often].astype(np.int64), n[often]]))
-
-
-def _band(c: np.ndarray) -> np.ndarray:
-    return np.minimum(BANDS - 1, np.log2(np.maximum(c, 1)).astype(np.int64))
-
-
-def totals(counts: DataFrame, tokens: int) -> Vocabulary:
-    sums, frequent = np.zeros(5 + 3 * BANDS, np.int64), {}
-    got = counts.where("ord = 0").select("n", "d").toArrow()  # one row a part; at most FINE words can be frequent
-    for n, d in zip(got.column(0).to_pylist(), got.column(1).to_pylist()):
-        sums += _unpack(n)
-        h, c = _unpack(d).reshape(2, -1)
-        frequent.update(zip(h.tolist(), c.tolist()))
-    types, once, twice, texts, kept = sums[:5].tolist()
-    bands, own, ahead = sums[5:].reshape(3, BANDS)
-    v = Vocabulary(tokens, types + (1 if texts else 0), texts, frequent, np.maximum(bands, 1).astype(float), ahead.astype(float), once, twice)
-    v.kept_texts, v.kept_bands = kept, np.maximum(own, 1).astype(float)
-    return v
-
-
-class Vocabulary:
-    """What a chunk needs besides its words' counts: totals, own classes, band totals and what new texts hold of each band."""
-
-    def __init__(self, tokens: int, types: int, texts: int, frequent: dict[int, int], bands: np.ndarray, ahead: np.ndarray, once: int, twice: int):
+    return tuple(_pack(np.array([int(x.sum()), int((x > 0).sum()), int(x[end].sum())])) for x in (n, n - d))
+
+
+class Totals:
+    """Learning tokens, different ones, and texts."""
+
+    def __init__(self, tokens: int, types: int, texts: int):
         self.tokens, self.types, self.texts = tokens, types, texts
-        order = sorted(frequent, key=lambda h: (-frequent[h], h))[:FINE]
-        self.own = np.array(sorted(order), np.int64)
-        rank = {h: i for i, h in enumerate(order)}
-        self.own_class = np.array([OWN + rank[h] for h in self.own.tolist()], np.int64)
-        self.bands = bands
-        # Good and Turing: new texts have (c + 1) n[c + 1] tokens of words seen c times, so n[1] of words never seen
-        self.once, self.unseen = max(1, once), (once + 0.5) / (once + 2 * twice + 1.0)
-        self.gain = np.ones(FINE_SIZE)
-        self.gain[UNKNOWN] = (once + 2 * twice + 1.0) / (once + 1.0)
-        self.gain[3:OWN] = np.where(bands > 1, np.maximum(ahead, 1) / bands, 1.0)
-        #: Coarse class of each fine one: words keep their own if they make up a sixty-fourth.
-        self.coarse = np.arange(FINE_SIZE)
-        self.coarse[OWN:] = 0
-        for h in order:
-            i, c = rank[h], frequent[h]
-            self.coarse[OWN + i] = OWN + i if c * COARSE >= tokens and i < COARSE else 3 + min(BANDS - 1, int(np.log2(c)))
-
-    def classes(self, h: np.ndarray, c: np.ndarray) -> np.ndarray:
-        out = np.where(c >= 2, 3 + _band(c), UNKNOWN)
-        if len(self.own):
-            at = np.minimum(np.searchsorted(self.own, h), len(self.own) - 1)
-            hit = self.own[at] == h
-            out[hit] = self.own_class[at[hit]]
-        return out
 
-    def emission(self, f: np.ndarray, c: np.ndarray, bands: np.ndarray) -> np.ndarray:
-        """P(word | class) of words seen c times, ``bands`` being the sums of c."""
-        out = np.where(f == UNKNOWN, np.where(c > 0, (1 - self.unseen) / self.once, self.unseen), 1.0)
-        band = (f >= 3) & (f < OWN)
-        out[band] = c[band] / bands[f[band] - 3]
-        return out
+    def base(self, n1: np.ndarray) -> np.ndarray:
+        """Shares of words seen n1 times, one added to each count; over all types and one unseen they sum to one."""
+        return (n1 + 1) / (self.tokens + self.types + 1)
+
+
+def totals(counts: DataFrame) -> tuple[Totals, Totals]:
+    """Over all learning texts, and without the deleted fold: six numbers from each part."""
+    got = counts.where("ord = 0").select("n", "d").toArrow()
+    return tuple(Totals(*sum((_unpack(x) for x in got.column(i).to_pylist()), np.zeros(3, np.int64)).tolist()) for i in (0, 1))
 
 
 def _by_place(table: pa.Table, order: int, column: str) -> np.ndarray:
@@ -282,116 +226,6 @@ def _by_place(table: pa.Table, order: int, column: str) -> np.ndarray:
     return np.concatenate([_unpack(rows[i]) for i in np.argsort(own.column("part").to_numpy())])
 
 
-def class_table(counts: DataFrame, folder: str, vocabulary: Vocabulary) -> DataFrame:
-    """The learning texts of each chunk as class sequences."""
-    shared = counts.sparkSession.sparkContext.broadcast(vocabulary)  # bounded by FINE words
-
-    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        v, texts = shared.value, _read_chunk(folder, key[0].as_py())
-        c = Chunk(texts)
-        u, back, _ = _distinct(c.keys(1))
-        f = v.classes(u.astype(np.int64), _by_place(table, 1, "n"))[back].astype("<i2")
-        chosen = np.flatnonzero(~texts.column(2).to_numpy())
-        raw = [f[a:b].tobytes() for a, b in zip(c.first[chosen].tolist(), c.last[chosen].tolist())]
-        return pa.Table.from_arrays([texts.column(2).take(pa.array(chosen)), texts.column(3).take(pa.array(chosen)), pa.array(raw, pa.binary())], ["held_out", "deleted", "classes"])
-
-    return counts.where("ord = 1").groupBy("chunk").applyInArrow(run, "held_out boolean, deleted boolean, classes binary")
-
-
-def _sequences(batch: pa.RecordBatch, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Classes of all texts of a batch, each ended, with the two classes before and the index of the text."""
-    raw = batch.column(at).to_pylist()
-    n = np.array([len(x) // 2 for x in raw], np.int64)
-    flat = np.frombuffer(b"".join(raw), "<i2").astype(np.int64)
-    total = n + 1
-    last = np.cumsum(total) - 1
-    seq = np.full(int(total.sum()), END, np.int64)
-    inside = np.ones(len(seq), bool)
-    inside[last] = False
-    seq[inside] = flat
-    one, two = np.empty_like(seq), np.empty_like(seq)
-    one[1:], two[2:] = seq[:-1], seq[:-2]
-    first = last - n
-    one[first], two[first] = START, START
-    second = first[n >= 1] + 1
-    two[second] = START
-    return seq, one, two, np.repeat(np.arange(len(raw)), total)
-
-
-def ngram_counts(table: DataFrame, coarse: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Bigram counts of fine and trigram counts of coarse classes over learning texts, without and within the deleted fold; a bounded number of rows reaches the driver."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        two = np.zeros((2, FINE_SIZE * FINE_SIZE), np.int32)
-        three = np.zeros((2, COARSE_SIZE**3), np.int32)
-        for whole in batches:
-            for begin in range(0, whole.num_rows, 512):
-                batch = whole.slice(begin, 512)
-                seq, f1, f2, text = _sequences(batch, 1)
-                deleted = batch.column(0).to_numpy(zero_copy_only=False)[text]
-                k = _dense(coarse)
-                for part, chosen in ((0, ~deleted), (1, deleted)):
-                    a, b, c = seq[chosen], f1[chosen], f2[chosen]
-                    for out, code in ((two, b * FINE_SIZE + a), (three, (k[c] * COARSE_SIZE + k[b]) * COARSE_SIZE + k[a])):
-                        u, n = np.unique(code, return_counts=True)
-                        out[part][u] += n.astype(np.int32)
-        for kind, both in ((2, two), (3, three)):
-            at = np.flatnonzero(both.any(0))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), kind, np.int8)), pa.array(at), pa.array(both[0][at].astype(np.int64)), pa.array(both[1][at].astype(np.int64))], ["kind", "code", "a", "b"])
-
-    found = table.where("not held_out").select("deleted", "classes").mapInArrow(run, "kind byte, code long, a long, b long")
-    got = found.groupBy("kind", "code").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).toArrow()
-    kind, code, a, b = (got.column(i).to_numpy() for i in range(4))
-    out = []
-    for which, size in ((2, FINE_SIZE**2), (3, COARSE_SIZE**3)):
-        for values in (a, b):
-            dense = np.zeros(size, np.float32)
-            dense[code[kind == which]] = values[kind == which]
-            out.append(dense)
-    return tuple(out)
-
-
-def _dense(coarse: np.ndarray) -> np.ndarray:
-    return np.where(coarse >= OWN, np.minimum(coarse, COARSE_SIZE - 1), coarse)
-
-
-class Interpolation:
-    """Estimates of the three orders from counts, and the weights by bucket."""
-
-    def __init__(self, two: np.ndarray, three: np.ndarray, vocabulary: Vocabulary):
-        self.k, self.gain = _dense(vocabulary.coarse), vocabulary.gain
-        self.two = two.reshape(FINE_SIZE, FINE_SIZE)
-        self.three = three.reshape(COARSE_SIZE, COARSE_SIZE, COARSE_SIZE)
-        f = self.two.sum(0, dtype=np.float64)
-        self.one = (f + 0.5 * (f > 0) + 1e-3) / (f + 0.5 * (f > 0) + 1e-3).sum()
-        mass = np.bincount(self.k, self.one, COARSE_SIZE)
-        self.within = self.one / mass[self.k]
-        self.two_total, self.three_total = self.two.sum(1, dtype=np.float64), self.three.sum(2, dtype=np.float64)
-        # mean gain of what each order foresees in a context
-        by_k = np.bincount(self.k, self.one * self.gain, COARSE_SIZE) / np.maximum(mass, 1e-300)
-        self.gain_one = float((self.one * self.gain).sum())
-        self.gain_two = self.two @ self.gain / np.maximum(self.two_total, 1)
-        self.gain_three = self.three @ by_k / np.maximum(self.three_total, 1)
-        self.weights = np.tile([0.3, 0.3, 0.4], (64, 1))
-
-    def terms(self, f: np.ndarray, f1: np.ndarray, f2: np.ndarray) -> tuple[np.ndarray, ...]:
-        k, k1, k2 = self.k[f], self.k[f1], self.k[f2]
-        total = self.three_total[k2, k1]
-        p3 = self.three[k2, k1, k] / np.maximum(total, 1) * self.within[f]
-        p2 = self.two[f1, f] / np.maximum(self.two_total[f1], 1)
-        return np.log2(total + 1).astype(np.int64), p3, p2, self.one[f]
-
-    def probabilities(self, f: np.ndarray, f1: np.ndarray, f2: np.ndarray) -> np.ndarray:
-        """P(f | f1, f2) with the gains of new texts, divided by their mean in that context: over all f it sums to one."""
-        b, p3, p2, p1 = self.terms(f, f1, f2)
-        w = self.weights[np.minimum(b, 63)]
-        mean = w[:, 0] * self.gain_three[self.k[f2], self.k[f1]] + w[:, 1] * self.gain_two[f1] + w[:, 2] * self.gain_one
-        return (w[:, 0] * p3 + w[:, 1] * p2 + w[:, 2] * p1) * self.gain[f] / mean
-
-    def learn(self, bucket: np.ndarray, q3: np.ndarray, q2: np.ndarray, n: np.ndarray, rounds: int = EM_ROUNDS) -> None:
-        _learn(self.weights, bucket, q3, q2, n, rounds)
-
-
 def _learn(weights: np.ndarray, bucket: np.ndarray, q3: np.ndarray, q2: np.ndarray, n: np.ndarray, rounds: int = EM_ROUNDS) -> None:
     """Expectation-maximisation over held-out counts: ratios of the higher orders to the lowest, on a logarithmic grid."""
     r = np.stack([np.where(q3 <= -REACH, 0.0, 10.0 ** (GRID * q3)), np.where(q2 <= -REACH, 0.0, 10.0 ** (GRID * q2)), np.ones(len(n))], 1)
@@ -411,43 +245,23 @@ def _codes(bucket: np.ndarray, p3: np.ndarray, p2: np.ndarray, p1: np.ndarray) -
     return (bucket * (2 * REACH + 1) + q[0]) * (2 * REACH + 1) + q[1]
 
 
-def held_out_ratios(table: DataFrame, model: Interpolation) -> tuple[np.ndarray, ...]:
-    """bucket, q3, q2, n over the deleted fold: at most 64 x (2 REACH + 1)^2 rows."""
-    shared = table.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        total: dict[int, int] = {}
-        for whole in batches:
-            for begin in range(0, whole.num_rows, 512):
-                seq, f1, f2, _ = _sequences(whole.slice(begin, 512), 0)
-                b, p3, p2, p1 = m.terms(seq, f1, f2)
-                u, n = np.unique(_codes(b, p3, p2, p1), return_counts=True)
-                for code, k in zip(u.tolist(), n.tolist()):
-                    total[code] = total.get(code, 0) + k
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], ["code", "n"])
-
-    got = table.where("not held_out and deleted").select("classes").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
-    code, n, side = got.column(0).to_numpy(), got.column(1).to_numpy(), 2 * REACH + 1
-    return code // side // side, code // side % side - REACH, code % side - REACH, n
-
-
 class WordInterpolation:
-    """Word trigrams and bigrams over the class model: shares of what followed a context, weighed by how often it was seen."""
+    """Shares of what followed a context, mixed with those of shorter contexts by how often it was seen."""
 
-    def __init__(self, base: Interpolation, vocabulary: Vocabulary):
-        self.base, self.vocabulary = base, vocabulary
-        self.weights = np.tile([0.3, 0.3, 0.4], (64, 1))
+    def __init__(self, sums: Totals):
+        self.sums, self.weights = sums, np.tile([0.3, 0.3, 0.4], (2 * BUCKETS, 1))
 
     def settle(self) -> None:
         """No weight on orders whose context was never seen, so that probabilities sum to one."""
-        self.weights[:32, 0] = 0
+        self.weights[:BUCKETS, 0] = 0
         self.weights[0, 1] = 0
         self.weights /= self.weights.sum(1, keepdims=True)
 
-    def terms(self, base: np.ndarray, n3: np.ndarray, n2: np.ndarray, t3: np.ndarray, t2: np.ndarray) -> tuple[np.ndarray, ...]:
-        b = np.where(t3 > 0, 32 + np.minimum(31, np.log2(np.maximum(t3, 1)).astype(np.int64)), np.minimum(31, np.log2(t2 + 1).astype(np.int64)))
-        return b, n3 / np.maximum(t3, 1), n2 / np.maximum(t2, 1), base
+    def terms(self, n1: np.ndarray, n2: np.ndarray, n3: np.ndarray, t2: np.ndarray, t3: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Bucket and the estimates of orders three, two and one, from counts of n-grams and of their contexts."""
+        log = lambda t: np.minimum(BUCKETS - 1, np.log2(np.maximum(t, 1)).astype(np.int64))
+        b = np.where(t3 > 0, BUCKETS + log(t3), log(t2 + 1))
+        return b, n3 / np.maximum(t3, 1), n2 / np.maximum(t2, 1), self.sums.base(n1)
 
     def probabilities(self, *counts: np.ndarray) -> np.ndarray:
         b, p3, p2, p1 = self.terms(*counts)
@@ -455,37 +269,23 @@ class WordInterpolation:
         return w[:, 0] * p3 + w[:, 1] * p2 + w[:, 2] * p1
 
 
-def _evidence(c: Chunk, table: pa.Table, m: WordInterpolation, kept: bool, chosen: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Class-model probability, counts of trigram and bigram and of their contexts at the chosen tokens; kept: without the deleted fold."""
-    v, n = m.vocabulary, {}
+def _evidence(c: Chunk, table: pa.Table, texts: int, kept: bool, chosen: np.ndarray | slice) -> tuple[np.ndarray, ...]:
+    """Counts of word, bigram, trigram and of their contexts at the chosen tokens; kept: without the deleted fold."""
+    n = {}
     for order in (1, 2, 3):
-        u, back, _ = _distinct(c.keys(order))
+        _, back, _ = _distinct(c.keys(order))
         x = _by_place(table, order, "n")
-        if order == 1:
-            f = v.classes(u.astype(np.int64), x)[back]
-            f[c.last] = END
-        if kept:
-            x = x - _by_place(table, order, "d")
-        n[order] = x[back]
-    texts, bands = (v.kept_texts, v.kept_bands) if kept else (v.texts, v.bands)
-    t3, t2 = c.before(n[2], texts)[chosen], c.before(n[1], texts)[chosen]
-    f1 = c.before(f, START)
-    f2 = c.before(f1, START)
-    f, f1, f2, n1 = f[chosen], f1[chosen], f2[chosen], n[1][chosen]
-    base = np.empty(len(f))
-    for a in range(0, len(f), 200_000):
-        s = slice(a, a + 200_000)
-        base[s] = m.base.probabilities(f[s], f1[s], f2[s]) * v.emission(f[s], n1[s], bands)
-    return base, n[3][chosen], n[2][chosen], t3, t2
+        n[order] = (x - _by_place(table, order, "d") if kept else x)[back]
+    return n[1][chosen], n[2][chosen], n[3][chosen], c.before(n[1], texts)[chosen], c.before(n[2], texts)[chosen]
 
 
 def word_ratios(counts: DataFrame, folder: str, model: WordInterpolation) -> tuple[np.ndarray, ...]:
-    """As :func:`held_out_ratios`, of word n-grams to the class model."""
+    """bucket, q3, q2, n over the deleted fold: at most 2 BUCKETS x (2 REACH + 1)^2 rows."""
     shared, side = counts.sparkSession.sparkContext.broadcast(model), 2 * REACH + 1
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         c, m = Chunk(_read_chunk(folder, key[0].as_py())), shared.value
-        u, n = np.unique(_codes(*m.terms(*_evidence(c, table, m, True, np.flatnonzero(c.deleted)))), return_counts=True)
+        u, n = np.unique(_codes(*m.terms(*_evidence(c, table, m.sums.texts, True, np.flatnonzero(c.deleted)))), return_counts=True)
         return pa.Table.from_arrays([pa.array(u, pa.int64()), pa.array(n, pa.int64())], ["code", "n"])
 
     got = counts.where("ord > 0").groupBy("chunk").applyInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
@@ -499,40 +299,36 @@ def score_texts(counts: DataFrame, folder: str, model: WordInterpolation) -> Dat
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         texts, m = _read_chunk(folder, key[0].as_py()), shared.value
-        c, v = Chunk(texts), m.vocabulary
-        u, back, _ = _distinct(c.keys(1))
-        n1 = _by_place(table, 1, "n")
-        known, base = (np.add.reduceat(x[back], c.first) for x in ((n1 > 0).astype(np.int64), np.log10((n1 + 1) / (v.tokens + v.types + 1))))
-        score = np.add.reduceat(np.log10(m.probabilities(*_evidence(c, table, m, False, np.arange(len(c.seq))))), c.first)
-        cols = [texts.column(0), texts.column(2), pa.array(c.n), pa.array(known), pa.array(np.full(len(c.n), v.tokens)), pa.array(base), pa.array(score)]
+        c = Chunk(texts)
+        found = _evidence(c, table, m.sums.texts, False, slice(None))
+        known, base, score = (np.add.reduceat(x, c.first) for x in ((found[0] > 0).astype(np.int64), np.log10(m.sums.base(found[0])), np.log10(m.probabilities(*found))))
+        cols = [texts.column(0), texts.column(2), pa.array(c.n), pa.array(known), pa.array(np.full(len(c.n), m.sums.tokens)), pa.array(base), pa.array(score)]
         return pa.Table.from_arrays(cols, [x.split()[0] for x in names.split(", ")])
 
     return counts.where("ord > 0").groupBy("chunk").applyInArrow(run, names)
 
 
-def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out_mod: int = 7, held_out_is: int = 2, deleted_is: int = 4, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Scores of all rows under a model of those that are not held out (crc32 of the id modulo ``held_out_mod``)."""
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out_mod: int = 7, held_out_is: int = 2, deleted_is: int = 4, chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, str, WordInterpolation]:
+    """Counts, the folder of chunks and the model of all rows but those held out (crc32 of the id modulo ``held_out_mod``)."""
     spark = docs.sparkSession
     folder = f"{shared_dir(spark)}/chunks-{uuid.uuid4().hex}"
     f = fold(id_col, held_out_mod)
-    named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), (f == held_out_is).alias("held_out"), (f == deleted_is).alias("deleted"))
+    named = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), (f == held_out_is).alias("held_out"), (f == deleted_is).alias("deleted"))
     chunks = materialize(chunk_table(named, folder, chunk_bytes), "chunks")
-    size = chunks.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")).first()
-    parts = max(64, 1 << max(0, (size.n - 1) // 2).bit_length())
-    counts = materialize(word_counts(chunks.repartition(max(1, size.n)), folder, parts, size.tokens), "word-counts")
-    vocabulary = totals(counts, size.tokens)
-    classes = materialize(class_table(counts, folder, vocabulary), "classes")
-    two_a, two_b, three_a, three_b = ngram_counts(classes, vocabulary.coarse)
-    deleted = Interpolation(two_a, three_a, vocabulary)
-    deleted.learn(*held_out_ratios(classes, deleted))
-    drop_materialized(chunks, classes)
-    full = Interpolation(two_a + two_b, three_a + three_b, vocabulary)
-    full.weights = deleted.weights
-    words_deleted, words_full = WordInterpolation(deleted, vocabulary), WordInterpolation(full, vocabulary)
-    _learn(words_deleted.weights, *word_ratios(counts, folder, words_deleted))
-    words_deleted.settle()
-    words_full.weights = words_deleted.weights
-    return score_texts(counts, folder, words_full)
+    n = chunks.count()
+    parts = max(64, 1 << max(0, (n - 1) // 2).bit_length())
+    counts = materialize(word_counts(chunks.repartition(max(1, n)), folder, parts), "word-counts")
+    drop_materialized(chunks)
+    full, kept = (WordInterpolation(t) for t in totals(counts))
+    _learn(kept.weights, *word_ratios(counts, folder, kept))
+    kept.settle()
+    full.weights = kept.weights
+    return counts, folder, full
+
+
+def score_documents(docs: DataFrame, **options) -> DataFrame:
+    """Scores of all rows under a model of those that are not held out; options as of :func:`fit`."""
+    return score_texts(*fit(docs, **options))
 
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

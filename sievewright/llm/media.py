@@ -3,7 +3,8 @@
 A payload of 8-bit units is stored verbatim in a WAV container as mu-law or A-law samples or as IMA ADPCM
 blocks of 64 bytes; reading takes the data chunk back bit for bit.  Decoding expands mu-law and A-law through
 256-entry tables, decodes ADPCM step by step with numpy across all blocks of a slice at once, and resamples the
-8 kHz PCM to 16 kHz with an integer half-band filter.
+8 kHz PCM to 16 kHz with an integer half-band filter.  The resampled PCM is stored losslessly: samples at even places as
+they are, those between as residuals against the filter, which are left out if all are zero.
 
 Null and empty texts give a payload of 64 zero bytes.  Equal texts give equal values: the codec follows from the
 payload alone.  An empty table gives no rows; other columns are not read.
@@ -25,6 +26,8 @@ from .common import buffers, materialize, read_table, slices
 
 UNIT = 64
 RATE, OUT_RATE = 8000, 16000
+#: Level of zstd under both stored columns.
+LEVEL = 9
 #: WAVE format tags (fixed values of the RIFF registry).
 TAGS = {"alaw": 6, "mulaw": 7, "ima": 0x11}
 CODECS = ("mulaw", "alaw", "ima")
@@ -101,12 +104,31 @@ def parse(media: bytes) -> tuple[str, memoryview]:
     raise ValueError("no data chunk")
 
 
-def resample(pcm: np.ndarray) -> np.ndarray:
-    """8 kHz to 16 kHz: samples are kept, those between come from the taps (-1, 9, 9, -1) / 16; the ends repeat."""
+def between(pcm: np.ndarray) -> np.ndarray:
+    """The sample after each given one at twice the rate, by the taps (-1, 9, 9, -1) / 16; the ends repeat."""
     x = np.concatenate([pcm[:1], pcm, pcm[-1:], pcm[-1:]]).astype(np.int32)
+    return np.clip((9 * (x[1:-2] + x[2:-1]) - x[:-3] - x[3:] + 8) >> 4, -32768, 32767).astype(np.int16)
+
+
+def resample(pcm: np.ndarray) -> np.ndarray:
+    """8 kHz to 16 kHz: samples are kept, new ones stand between them."""
     out = np.empty(2 * len(pcm), np.int16)
-    out[0::2] = pcm
-    out[1::2] = np.clip((9 * (x[1:-2] + x[2:-1]) - x[:-3] - x[3:] + 8) >> 4, -32768, 32767)
+    out[0::2], out[1::2] = pcm, between(pcm)
+    return out
+
+
+def pack_pcm(wide: np.ndarray) -> bytes:
+    """Any 16 kHz samples (an even number of them), losslessly: a byte that tells whether residuals follow, the even samples, the residuals of the odd ones."""
+    even = np.ascontiguousarray(wide[0::2])
+    rest = wide[1::2] - between(even) if len(even) else even  # wraps around, as does the way back
+    return bytes([int(rest.any())]) + even.astype("<i2").tobytes() + (rest.astype("<i2").tobytes() if rest.any() else b"")
+
+
+def unpack_pcm(stored: bytes) -> np.ndarray:
+    data = np.frombuffer(stored, "<i2", offset=1)
+    even, rest = np.split(data, [len(data) // 2]) if stored[0] else (data, np.zeros(len(data), np.int16))
+    out = np.empty(2 * len(even), np.int16)
+    out[0::2], out[1::2] = even, (between(even) + rest if len(even) else even)
     return out
 
 
@@ -143,33 +165,54 @@ def _decode(medias: list[bytes]) -> tuple[list[str], list[memoryview], list[np.n
     return codecs, payloads, pcm
 
 
-def decode_media(media: DataFrame, with_pcm: bool = True) -> DataFrame:
-    """Read the stored forms back: payload digests, features of the decoded sound and, with_pcm, the resampled PCM itself."""
-    names = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, pcm_bytes long" + (", pcm binary" if with_pcm else "")
+def decode_media(media: DataFrame) -> DataFrame:
+    """Read the stored forms back: payload digests, features of the decoded sound, and the resampled PCM as :func:`pack_pcm` has it."""
+    names = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, pcm binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin in range(0, batch.num_rows, 256):
-                part = batch.slice(begin, 256)
+            for part in _parts(batch, 2):
                 medias = part.column(2).to_pylist()
                 codecs, payloads, pcms = _decode(medias)
                 rows = []
                 for m, c, p, x in zip(medias, codecs, payloads, pcms):
-                    wide = resample(x)
-                    stored = wide.astype("<i2").tobytes()
                     y = x.astype(np.int64)
                     crossings = int(np.count_nonzero((x[1:] < 0) != (x[:-1] < 0)))
-                    feature = f"{c};samples={len(x)};peak={int(np.abs(y).max())};energy={int(np.dot(y, y)) // len(y)};crossings={crossings};pcm16k_crc32={zlib.crc32(stored)}"
-                    rows.append((len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-UNIT:]), len(m), hashlib.sha256(m).hexdigest(), feature, len(stored), *([stored] if with_pcm else [])))
-                types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), *([pa.binary()] if with_pcm else [])]
+                    feature = f"{c};samples={len(x)};peak={int(np.abs(y).max())};energy={int(np.dot(y, y)) // len(y)};crossings={crossings}"
+                    rows.append((len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-UNIT:]), len(m), hashlib.sha256(m).hexdigest(), feature, pack_pcm(resample(x))))
+                types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *(pa.array(v, t) for v, t in zip(zip(*rows), types))], [n.split()[0] for n in names.split(", ")])
 
     return media.mapInArrow(run, names)
 
 
+def _parts(batch: pa.RecordBatch, column: int, most_bytes: int = 4_000_000, most_rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Cut a batch by the sizes of a binary column; a longer single value stands alone."""
+    size = np.cumsum([len(v.as_buffer()) for v in batch.column(column)])
+    begin = 0
+    while begin < batch.num_rows:
+        end = int(np.searchsorted(size, (size[begin - 1] if begin else 0) + most_bytes, "right"))
+        end = min(max(end, begin + 1), begin + most_rows, batch.num_rows)
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
+def read_pcm(sound: DataFrame) -> DataFrame:
+    """The stored rows with pcm16k_crc32 and pcm_bytes of the 16 kHz samples that their PCM column holds, in place of it."""
+    kept = [c for c in sound.columns if c != "pcm"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _parts(batch, batch.num_columns - 1):
+                wide = [unpack_pcm(v).astype("<i2").tobytes() for v in part.column(part.num_columns - 1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array([zlib.crc32(w) for w in wide]), pa.array([len(w) for w in wide])], [*kept, "pcm16k_crc32", "pcm_bytes"])
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in sound.schema.fields if f.name != "pcm")
+    return sound.select(*kept, "pcm").mapInArrow(run, kinds + ", pcm16k_crc32 long, pcm_bytes long")
+
+
 def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = materialize(encode_media(read_table(spark, sf_dir, "documents")), "media")
-    sound = materialize(decode_media(stored), "pcm")
+    stored = materialize(encode_media(read_table(spark, sf_dir, "documents")), "media", LEVEL)
+    sound = materialize(decode_media(stored), "pcm", LEVEL)
     # what is said of the PCM is taken from what was stored
-    feature = F.concat(F.substring_index("feature", "pcm16k_crc32=", 1), F.lit("pcm16k_crc32="), F.crc32("pcm").cast("string"))
-    return sound.withColumns({"feature": feature, "pcm_bytes": F.length("pcm").cast("long")}).drop("pcm")
+    return read_pcm(sound).withColumn("feature", F.concat("feature", F.lit(";pcm16k_crc32="), F.col("pcm16k_crc32").cast("string"))).drop("pcm16k_crc32")

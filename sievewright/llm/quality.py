@@ -3,18 +3,23 @@
 Everything here is DataFrame expressions.  Five statistics of each text (length, word length, symbols, repeated
 lines, repeated word triples), put on a log scale, get a minimum-covariance-determinant estimate for each
 language and source: deterministic starts (mean and covariance; median and median absolute deviation), then
-concentration steps that keep the nearest 75 % of a group's rows and estimate from those.  One step is one
-aggregation: rows are binned by distance, every bin carries its count, sums and cross sums, and a running count
-over the bins of a group (a fixed number of bins at most) finds the share to keep.  Of the two starts the one of
-the smaller determinant stays.  A group below ``least_rows`` rows uses its language's estimate, a language below
-that the estimate over all.  Texts beyond ``cutoff`` (squared Mahalanobis distance) are rejected.
+concentration steps that keep the nearest 75 % of a group's rows and estimate from those, until no group's determinant
+changes.  One step is one aggregation: rows are binned by distance (bins a hundredth apart on a log scale), every bin
+carries its count, sums and cross sums, and a running count over the bins of a group (a fixed number of bins at most) finds
+the share to keep; the bin at its edge, and so rows of equal distance there, is kept whole.  Of the two starts the one of
+the smaller determinant stays.  Five variances and ten covariances need rows: a group below ``least_rows`` rows that pass the
+base rule is estimated with its whole language, a language below that with all rows.  Texts beyond ``cutoff`` (squared
+Mahalanobis distance) are rejected.
 
 Null and empty texts have no words, so they fail the base rule.  Null languages and sources form their own
-group.  Equal rows get equal verdicts; an empty table gives no rows.  No input column but those named is read.
+group.  Rows that repeat an id, or have none, are judged each for itself; equal rows get equal verdicts.  Texts of any length
+are read whole.  An empty table gives no rows.  No input column but those named is read, whatever the names of others.
 """
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,8 +31,9 @@ CHI2_KEEP = 6.626
 #: chi-square quantile of five degrees at 1 - 1e-7.
 CUTOFF = 40.9
 LEAST_ROWS = 60
-STEPS = 4
-BINS = 40
+#: Steps end when no log determinant moves by more than SETTLED; after MOST_STEPS a warning says that one still does.
+MOST_STEPS, SETTLED = 40, 1e-4
+BINS = 100
 #: Least standard deviations: statistics that are zero for most texts must not make tiny amounts look far.
 FLOORS = (0.30, 0.08, 0.45, 0.45, 0.06)
 #: Above this many groups the estimates are joined by a shuffle instead of a broadcast (a group's estimate has under 400 bytes).
@@ -125,37 +131,63 @@ def _with(rows: DataFrame, estimates: DataFrame, keys: list[str], groups: int) -
     return rows.join(F.broadcast(estimates) if groups <= MOST_BROADCAST_GROUPS else estimates, keys)
 
 
-def fit_mcd(stats: DataFrame, least_rows: int = LEAST_ROWS, steps: int = STEPS) -> DataFrame:
-    """level, lang, source and the estimate of every group of at least least_rows rows (level 0, all rows, always).
+def needed_groups(stats: DataFrame, least_rows: int = LEAST_ROWS) -> DataFrame:
+    """level, lang and source of the groups whose estimates some row uses.
 
     level 2: language and source; 1: language; 0: all.
     """
+    lang, source = F.coalesce("lang", F.lit("\0")).alias("lang"), F.coalesce("source", F.lit("\0")).alias("source")
+    sizes = materialize(stats.groupBy(lang, source).agg(F.count_if(~F.col("base_failed")).alias("n")), "group-sizes")
+    languages = sizes.groupBy("lang").agg(F.sum("n").alias("n"), F.min("n").alias("least"))
+    level = lambda v, rows, *names: rows.select(F.lit(v).alias("level"), *[F.col(c) if c in names else F.lit("").alias(c) for c in ("lang", "source")])
+    two = level(2, sizes.where(F.col("n") >= least_rows), "lang", "source")
+    one = level(1, languages.where((F.col("n") >= least_rows) & (F.col("least") < least_rows)), "lang")
+    zero = level(0, languages.where(F.col("n") < least_rows)).distinct()
+    out = materialize(two.unionByName(one).unionByName(zero), "groups")
+    drop_materialized(sizes)
+    return out
+
+
+def fit_mcd(stats: DataFrame, least_rows: int = LEAST_ROWS, most_steps: int = MOST_STEPS) -> DataFrame:
+    """level, lang, source and the estimate of every group of :func:`needed_groups`."""
+    needed = needed_groups(stats, least_rows)
+    groups = needed.count()
     base = stats.where(~F.col("base_failed")).select(F.coalesce("lang", F.lit("\0")).alias("lang"), F.coalesce("source", F.lit("\0")).alias("source"), *[c.alias(x) for c, x in zip(transformed(), _X)])
     e = F.lit("")
     levels = F.explode(F.array(*[F.struct(F.lit(v).alias("level"), a.alias("lang"), b.alias("source")) for v, a, b in ((2, F.col("lang"), F.col("source")), (1, F.col("lang"), e), (0, e, e))]))
-    rows = base.select(levels.alias("k"), *_X).select("k.*", *_X)
-    sums = materialize(rows.groupBy(*_KEY).agg(*_moments(), *[F.percentile_approx(x, F.lit(0.5), F.lit(1000)).alias(f"med_{x}") for x in _X]).where((F.col("n") >= least_rows) | (F.col("level") == 0)), "mcd-start")
-    groups = sums.count()
+    rows = _with(base.select(levels.alias("k"), *_X).select("k.*", *_X), needed, _KEY, groups)
+    sums = materialize(rows.groupBy(*_KEY).agg(*_moments(), *[F.percentile_approx(x, F.lit(0.5), F.lit(1000)).alias(f"med_{x}") for x in _X]), "mcd-start")
     mean = _estimate(sums, _KEY).withColumn("start", F.lit(0))
     near = _with(rows, sums.select(*_KEY, *[f"med_{x}" for x in _X]), _KEY, groups)
     spread = near.groupBy(*_KEY).agg(*[F.first(f"med_{x}").alias(f"m{i}") for i, x in enumerate(_X)], *[F.percentile_approx(F.abs(F.col(x) - F.col(f"med_{x}")), F.lit(0.5), F.lit(1000)).alias(f"d{i}") for i, x in enumerate(_X)])
     robust = _cholesky(spread.withColumns({f"c{i}_{j}": (F.pow(1.4826 * F.col(f"d{i}"), F.lit(2)) + FLOORS[i] ** 2 if i == j else F.lit(0.0)) for i, j in _PAIRS}), _KEY).withColumn("start", F.lit(1))
     now = materialize(mean.unionByName(robust), "mcd")
-    old = [sums]
+    drop_materialized(sums)
     keys = [*_KEY, "start"]
-    for step in range(steps):
-        binned = _with(rows, now, _KEY, 2 * groups).withColumn("bin", F.least(F.floor(F.log1p(distance()) * BINS), F.lit(100 * BINS)).cast("int"))
+
+    def concentrate(estimates: DataFrame, last: bool) -> DataFrame:
+        binned = _with(rows, estimates, _KEY, 2 * groups).withColumn("bin", F.least(F.floor(F.log1p(distance()) * BINS), F.lit(100 * BINS)).cast("int"))
         by_bin = binned.groupBy(*keys, "bin").agg(*_moments())
         run, whole = Window.partitionBy(*keys).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*keys)
         kept = by_bin.withColumns({"before": F.coalesce(F.sum("n").over(run), F.lit(0)), "all": F.sum("n").over(whole)}).where(F.col("before") < KEEP_SHARE * F.col("all"))
         merged = kept.groupBy(*keys).agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in [*[f"s_{x}" for x in _X], *[f"q_{i}_{j}" for i, j in _PAIRS]]], F.max("bin").alias("edge"))
-        scale = F.greatest(F.lit(1.0), F.expm1((F.col("edge") + 1) / BINS) / CHI2_KEEP) if step == steps - 1 else F.lit(1.0)
-        old.append(now)
-        now = materialize(_estimate(merged, keys, scale), "mcd")
-    best = now.withColumn("r", F.row_number().over(Window.partitionBy(*_KEY).orderBy("logdet", "start"))).where("r = 1").drop("r", "start", "logdet")
-    best = materialize(best, "mcd-best")
-    drop_materialized(*old, now)
-    return best
+        return materialize(_estimate(merged, keys, F.greatest(F.lit(1.0), F.expm1((F.col("edge") + 1) / BINS) / CHI2_KEEP) if last else F.lit(1.0)), "mcd")
+
+    for _ in range(most_steps):
+        new = concentrate(now, False)
+        moved = new.join(now.select(*keys, F.col("logdet").alias("old")), keys).agg(F.max(F.abs(F.col("logdet") - F.col("old")))).first()[0]
+        drop_materialized(now)
+        now = new
+        if moved is None or moved <= SETTLED:
+            break
+    else:
+        warnings.warn(f"concentration steps have not settled: a log determinant still moves by {moved:.2e}", stacklevel=2)
+    best = now.withColumn("r", F.row_number().over(Window.partitionBy(*_KEY).orderBy("logdet", "start"))).where("r = 1").select(*now.columns)
+    # the estimate of the better start, scaled to the normal model
+    best = materialize(best, "mcd")
+    out = concentrate(best, True).drop("start", "logdet")
+    drop_materialized(now, best)
+    return out
 
 
 def judge(stats: DataFrame, estimates: DataFrame, cutoff: float = CUTOFF) -> DataFrame:

@@ -1,25 +1,29 @@
 """Op 9.  Exact removal of repeated substrings, by blockwise suffix sorting.
 
 Every byte covered by a 100-byte string that also starts earlier (smaller id, or earlier in the same text) goes.
-Sorting all suffixes of the corpus would ship each of them; instead the suffixes of a 100-byte string are put into
-the bucket of an anchor that the string itself names: its 24-byte gram of least hash.  Equal strings have the same
+Sorting all suffixes of the corpus at once would ship each of them; instead the suffixes of a 100-byte string are put
+into the bucket of an anchor that the string itself names: its 24-byte gram of least hash.  Equal strings have the same
 anchor at the same place, so each bucket can be sorted alone.  Neighbouring strings with one anchor travel as one run.
 
-1.  Runs with equal bytes: all but the earliest are repeats as a whole, found by hashes of the runs; a task already
-    settles those that it meets again itself, so an often repeated passage sends a row for each task, not for
+1.  Runs with equal bytes: all but the earliest are repeats as a whole, found by 64-bit hashes of the runs; a task
+    already settles those that it meets again itself, so an often repeated passage sends a row for each task, not for
     each text.
-2.  Anchors with several different runs: their bytes are gathered once for each different run, one bucket of
-    anchors is sorted at a time, and strings that tie are resolved without comparing them: cover samples, the
-    positions of a difference cover modulo 13 counted from the anchor, are ranked once by their next 94 bytes, and
-    a string is its first and last 13 bytes and the rank of its first cover sample.
-3.  Anchors with over ``hot_rows`` different runs (edges of passages that very many texts share) are never
-    gathered: their strings are aggregated one by one under 128-bit hashes.
+2.  Anchors with several different runs: their bytes are gathered once for each different run, and one bucket of
+    anchors is sorted at a time into the order of its suffixes.  Long ties are resolved by ranks computed before: cover
+    samples, the positions of a difference cover modulo 13 counted from the anchor, are ranked by their next 94 bytes;
+    a suffix is ordered by its first 13 bytes, then by the rank of its first cover sample, then by its last 13 bytes.
+    Neighbours in that order that are equal are repeats.  A bucket's memory is bounded by its rows.
+3.  Anchors with over ``hot_rows`` different runs (edges of passages that very many texts share) are never gathered
+    into one bucket: their strings are aggregated one by one under 128-bit hashes, with the same result.
 
 Counting cover positions from the anchor instead of from the text's begin makes equal strings of different texts
 hit the same samples, which a position-based cover cannot when the text is split over machines.
 
-Null and empty texts have no bytes and lose none.  Rows that repeat an id are the same document, and rows without
-an id are returned as they are.  Texts under 100 bytes are kept.  An empty table gives no rows.
+Null and empty texts have no bytes and lose none.  Rows that repeat an id and its text are the same document; rows that
+share an id but not the text are documents of their own, in the order of a hash of their texts (within a document starts
+carry the number of the text, times ``APART``).  Rows without an id are returned as they are.  Texts under 100 bytes are
+kept.  Ties do not occur: of equal strings the one that starts first stays.  Only the id and text columns are read,
+whatever the names of others.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from .common import buffers, drop_materialized, materialize, mix, prefix_hash, read_table, slices, span_hash
 
@@ -39,6 +44,10 @@ LENGTH, GRAM = 100, 24
 COVER, MODULUS = (0, 1, 3, 9), 13
 SAMPLE = LENGTH - 6  # from any residue the next cover position is at most 5 bytes on
 HOT_ROWS = 20_000
+#: Texts that share an id lie so far apart in its numbering of starts.
+APART = 1 << 40
+#: Up to so many ids with several texts are sent to the texts; more meet them by a shuffle.
+MOST_BROADCAST_IDS = 100_000
 BUCKET_ROWS = 4000
 _NEXT_COVER = np.array([next(d for d in range(MODULUS) if (r + d) % MODULUS in COVER) for r in range(MODULUS)])
 
@@ -50,14 +59,14 @@ def runs(data: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int = GR
     prefix = prefix_hash(data)
     at = np.arange(len(data) - gram + 1)
     h = span_hash(prefix, at, at + gram)
-    v = (h >> np.uint64(28) << np.uint64(28)) | at.astype(np.uint64)
+    v = (h >> np.uint64(32) << np.uint64(32)) | at.astype(np.uint64)  # a slice has under 2**31 bytes, as Arrow's strings do
     width, least, have = length - gram + 1, v, 1
     while 2 * have <= width:
         least = np.minimum(least[:-have], least[have:])
         have *= 2
     if have < width:
         least = np.minimum(least[: len(v) - width + 1], least[width - have : len(v) - have + 1])
-    anchor = (least & np.uint64((1 << 28) - 1)).astype(np.int64)
+    anchor = (least & np.uint64((1 << 32) - 1)).astype(np.int64)
     p = np.arange(len(anchor))
     doc = np.repeat(np.arange(len(off) - 1), np.diff(off))[: len(anchor)]
     valid = p + length <= off[1:][doc]
@@ -74,49 +83,61 @@ def runs(data: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int = GR
     return begin, n, place, h[a], whole, doc
 
 
-def run_table(docs: DataFrame, most_seen: int = 200_000) -> DataFrame:
-    """Rows of kind 0: a text (n_bytes, sha256); 1: a run to compare; 2: a run that repeats an earlier one of the same task."""
-    names = ["kind", "doc_id", "start", "meta", "anchor", "run", "sha256"]
+def numbered_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text, base and rest (the other columns): base is 0, or for ids with several texts the number of the text in order of its hash, times APART."""
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col])
+    named = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), rest.alias("rest"))
+    h = F.xxhash64(F.coalesce("text", F.lit("")))
+    hashed = named.where("doc_id is not null").select("doc_id", h.alias("h"))
+    several = materialize(hashed.groupBy("doc_id").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select("doc_id"), "several")
+    n = several.count()
+    if not n:
+        drop_materialized(several)
+        return named.select("doc_id", "text", F.lit(0).cast("long").alias("base"), "rest")
+    ids = F.broadcast(several) if n <= MOST_BROADCAST_IDS else several  # a checked size
+    order = Window.partitionBy("doc_id").orderBy("h")
+    ranks = hashed.join(ids, "doc_id", "left_semi").distinct().select("doc_id", "h", ((F.row_number().over(order) - 1).cast("long") * APART).alias("base"))
+    ranks = materialize(ranks, "several-ranks")
+    ranks = F.broadcast(ranks) if ranks.count() <= MOST_BROADCAST_IDS else ranks  # a checked size
+    return named.withColumn("h", h).join(ranks, ["doc_id", "h"], "left").select("doc_id", "text", F.coalesce("base", F.lit(0).cast("long")).alias("base"), "rest")
+
+
+def run_table(texts: DataFrame, most_seen: int = 200_000) -> DataFrame:
+    """The runs of texts (doc_id, text, base); later: the run repeats an earlier one of the same task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[int, tuple[int, int]] = {}
         for batch in batches:
             for part in slices(batch, most_docs=4096):
                 data, off = buffers(part.column(1))
-                ids = part.column(0).to_pylist()
-                n_docs = part.num_rows
-                sha = [hashlib.sha256(data[a:b]).hexdigest() for a, b in zip(off.tolist(), off[1:].tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n_docs, np.int8)), part.column(0), pa.array(np.diff(off)), *(pa.nulls(n_docs, t) for t in (pa.int32(), pa.int64(), pa.int64())), pa.array(sha)], names)
                 begin, n, place, anchor, whole, doc = runs(data, off)
-                start = begin - off[:-1][doc]
-                known = np.array([i is not None for i in ids])[doc] if len(doc) else np.zeros(0, bool)
-                begin, n, place, anchor, whole, doc, start = (x[known] for x in (begin, n, place, anchor, whole, doc, start))
-                own = np.array([i or 0 for i in ids], np.int64)[doc]
-                kind = np.ones(len(own), np.int8)
+                start = begin - off[:-1][doc] + part.column(2).to_numpy()[doc]
+                own = part.column(0).to_numpy()[doc]
+                later = np.zeros(len(own), bool)
                 for i, (w, d, s) in enumerate(zip(whole.tolist(), own.tolist(), start.tolist())):
                     old = seen.get(w)
                     if old is None or (d, s) <= old:
                         seen[w] = (d, s)
                     else:
-                        kind[i] = 2
-                if len(seen) > most_seen:  # keep the runs that may come again soon
+                        later[i] = True
+                if len(seen) > most_seen:  # keep the runs that may come again soon; a run that is forgotten is sent once more
                     seen = dict(list(seen.items())[most_seen // 2 :])
-                yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(own), pa.array(start), pa.array((n << 8 | place).astype(np.int32)), pa.array(anchor.view(np.int64)), pa.array(whole.view(np.int64)), pa.nulls(len(own), pa.string())], names)
+                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(start), pa.array((n << 8 | place).astype(np.int32)), pa.array(anchor.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(later)], ["doc_id", "start", "meta", "anchor", "run", "later"])
 
-    return docs.mapInArrow(run, "kind byte, doc_id long, start long, meta int, anchor long, run long, sha256 string")
+    return texts.where("doc_id is not null").select("doc_id", "text", "base").mapInArrow(run, "doc_id long, start long, meta int, anchor long, run long, later boolean")
 
 
 def gather(texts: DataFrame) -> DataFrame:
-    """Bytes of the runs listed in ``runs`` of each text."""
+    """Bytes of the runs listed in ``runs`` of each text (doc_id, text, base, runs)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 out: list[tuple] = []
                 data, off = buffers(part.column(1))
-                for i, (doc, listed) in enumerate(zip(part.column(0).to_pylist(), part.column(2).to_pylist())):
+                for i, (doc, base, listed) in enumerate(zip(part.column(0).to_pylist(), part.column(2).to_pylist(), part.column(3).to_pylist())):
                     for r in listed:
-                        a = off[i] + r["start"]
+                        a = off[i] + r["start"] - base
                         out.append((r["anchor"], doc, r["start"], r["meta"], data[a : min(a + (r["meta"] >> 8) - 1 + LENGTH, off[i + 1])].tobytes(), r["rows"]))
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64()))], ["anchor", "doc_id", "start", "meta", "bytes", "rows"])
@@ -129,30 +150,40 @@ def _words(data: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
     return np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, n)[at]).view(np.dtype((np.void, n))).ravel()
 
 
-def sort_bucket(anchor: np.ndarray, doc: np.ndarray, start: np.ndarray, meta: np.ndarray, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(id, start) of every window in a bucket that has an earlier equal one in it."""
-    data = np.frombuffer(b"".join(raw), np.uint8)
-    size = np.array([len(b) for b in raw])
-    n, place = meta >> 8, meta & 255
+def suffix_order(anchor: np.ndarray, place: np.ndarray, n: np.ndarray, data: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row and offset of every 100-byte suffix of a bucket's runs, in order of anchor, place and bytes, and whether it differs from its neighbour before.
+
+    Cover samples are ranked first, each by its next 94 bytes; suffixes of one anchor and place that share their first 13
+    bytes have their first cover sample equally far on, so its rank settles all that follows but the last 13 bytes.
+    """
     base = np.cumsum(size) - size
     row = np.repeat(np.arange(len(n)), n)
     j = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-    ok = j + LENGTH <= size[row]
-    row, j = row[ok], j[ok]
+    inside = j + LENGTH <= size[row]
+    row, j = row[inside], j[inside]
     at, step = base[row] + j, _NEXT_COVER[(j - place[row]) % MODULUS]
-    # ranks of the cover samples, each sorted once
     sample, back = np.unique(at + step, return_inverse=True)
     _, rank = np.unique(_words(data, sample, SAMPLE), return_inverse=True)
-    key = np.empty(len(at), [("a", "<i8"), ("p", "<i8"), ("head", "V13"), ("tail", "V13"), ("rank", "<i8")])
-    key["a"], key["p"], key["rank"] = anchor[row], place[row] - j, rank[back]
+    key = np.empty(len(at), [("anchor", ">u8"), ("place", ">i8"), ("head", "V13"), ("rank", ">i8"), ("tail", "V13")])
+    key["anchor"], key["place"], key["rank"] = anchor.view(np.uint64)[row], place[row] - j, rank[back]
     key["head"], key["tail"] = _words(data, at, MODULUS), _words(data, at + LENGTH - MODULUS, MODULUS)
-    _, group = np.unique(key.view(np.dtype((np.void, key.itemsize))), return_inverse=True)
-    d, s = doc[row], start[row] + j
-    order = np.lexsort((s, d, group))
-    g, d, s = group[order], d[order], s[order]
-    new = np.ones(len(g), bool)
-    new[1:] = g[1:] != g[:-1]
-    lead = np.maximum.accumulate(np.where(new, np.arange(len(g)), 0))
+    flat = key.view(np.dtype((np.void, key.itemsize)))  # big-endian numbers: the order of bytes is the order of keys
+    order = np.argsort(flat, kind="stable")
+    flat = flat[order]
+    new = np.ones(len(flat), bool)
+    new[1:] = flat[1:] != flat[:-1]
+    return row[order], j[order], order, new
+
+
+def sort_bucket(anchor: np.ndarray, doc: np.ndarray, start: np.ndarray, meta: np.ndarray, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(id, start) of every suffix in a bucket whose first 100 bytes also start earlier in it."""
+    data, size = np.frombuffer(b"".join(raw), np.uint8), np.array([len(b) for b in raw])
+    row, j, _, new = suffix_order(anchor, meta & 255, meta >> 8, data, size)
+    d, s, group = doc[row], start[row] + j, np.cumsum(new) - 1
+    order = np.lexsort((s, d, group))  # groups of equal suffixes, each from its earliest on
+    d, s, group = d[order], s[order], group[order]
+    first = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, np.int64)
+    lead = np.repeat(first, np.diff(np.append(first, len(group))))
     later = (d != d[lead]) | (s != s[lead])
     return d[later], s[later]
 
@@ -221,29 +252,33 @@ def single_windows(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "h1 long, h2 long, doc_id long, start long")
 
 
-def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_rows: int = HOT_ROWS, bucket_rows: int = BUCKET_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The run table, the texts that take part (doc_id, text), and doc_id, start, n of the windows that repeat earlier ones."""
-    named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    table = materialize(run_table(named), "runs")
+def repeated_runs(texts: DataFrame, hot_rows: int = HOT_ROWS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """doc_id, start, n of the windows that repeat earlier ones, written; the tables on the way are deleted."""
+    table = materialize(run_table(texts), "runs")
     by = Window.partitionBy("anchor")
     ordered = by.orderBy("run", "doc_id", "start")
-    seen = table.where("kind = 1").select("anchor", "run", "doc_id", "start", "meta")
-    seen = seen.withColumns({"rows": F.count(F.lit(1)).over(by), "before": F.lag("run").over(ordered), "lo": F.min("run").over(by), "hi": F.max("run").over(by)}).where("rows > 1")
+    seen = table.where("not later").select("anchor", "run", "doc_id", "start", "meta")
+    seen = seen.withColumns({"before": F.lag("run").over(ordered), "lo": F.min("run").over(by), "hi": F.max("run").over(by), "all": F.count(F.lit(1)).over(by)}).where("`all` > 1")
     seen = seen.withColumn("lead", F.first(F.struct("doc_id", "start")).over(Window.partitionBy("anchor", "run").orderBy("doc_id", "start")))
     seen = seen.withColumn("first", F.expr("before is null or before <> run")).where("not first or lo <> hi")
-    found = materialize(seen.select("anchor", "doc_id", "start", "meta", "rows", "first", F.expr("lead.doc_id <> doc_id or lead.start <> start").alias("later")), "found")
-    whole = found.where("later").unionByName(table.where("kind = 2").select("anchor", "doc_id", "start", "meta", F.lit(0).cast("long").alias("rows"), F.lit(False).alias("first"), F.lit(True).alias("later")))
-    whole = whole.select("doc_id", "start", F.expr("cast(shiftright(meta, 8) as long)").alias("n"))
-    open_ = found.where("first").groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "start", "meta", "rows")).alias("runs"))
-    part = whole.select("doc_id").distinct().join(open_, "doc_id", "full")
-    active = materialize(named.join(part, "doc_id").select("doc_id", "text", F.coalesce("runs", F.expr("cast(array() as array<struct<anchor:bigint,start:bigint,meta:int,rows:bigint>>)")).alias("runs")), "active")
-    gathered = materialize(gather(active.where("size(runs) > 0")), "gathered")
+    seen = seen.withColumn("rows", F.count_if("first").over(by))  # different runs of the anchor
+    found = materialize(
+        seen.select("anchor", "doc_id", "start", "meta", "rows", "first", F.expr("lead.doc_id <> doc_id or lead.start <> start").alias("later"))
+        .unionByName(table.where("later").select("anchor", "doc_id", "start", "meta", F.lit(0).cast("long").alias("rows"), F.lit(False).alias("first"), "later")),
+        "found",
+    )
+    drop_materialized(table)
+    whole = found.where("later").select("doc_id", "start", F.expr("cast(shiftright(meta, 8) as long)").alias("n"))
+    open_ = found.where("first").groupBy("doc_id", F.expr(f"start div {APART} * {APART}").alias("base")).agg(F.collect_list(F.struct("anchor", "start", "meta", "rows")).alias("runs"))
+    gathered = materialize(gather(texts.where("doc_id is not null").join(open_, ["doc_id", "base"]).select("doc_id", "text", "base", "runs")), "gathered")
     cold = gathered.where(F.col("rows") <= hot_rows).repartition("anchor").sortWithinPartitions("anchor")
     settled = sort_buckets(cold, bucket_rows)
     hot = single_windows(gathered.where(F.col("rows") > hot_rows))
     leads = hot.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "start")).alias("lead"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
     late = hot.join(leads, ["h1", "h2"]).where("lead.doc_id <> doc_id or lead.start <> start").select("doc_id", "start", F.lit(1).cast("long").alias("n"))
-    return table, active.select("doc_id", "text"), whole.unionByName(settled).unionByName(late)
+    out = materialize(whole.unionByName(settled).unionByName(late), "repeats")
+    drop_materialized(found, gathered)
+    return out
 
 
 def kept_parts(raw: np.ndarray, start: np.ndarray, n: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, int, int]:
@@ -256,27 +291,38 @@ def kept_parts(raw: np.ndarray, start: np.ndarray, n: np.ndarray, length: int =
     return raw[~gone], int(gone.sum()), spans
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_rows: int = HOT_ROWS, with_text: bool = False) -> tuple[DataFrame, DataFrame]:
-    """The run table (kind 0: all texts), and what stays of the texts that lose bytes: doc_id, n_removed, n_spans, kept_sha256 and, with_text, kept (bytes that a cut leaves of a character are left out of it)."""
-    table, texts, late = repeated_runs(docs, id_col, text_col, hot_rows)
-    per_text = late.groupBy("doc_id").agg(F.collect_list("start").alias("starts"), F.collect_list("n").alias("ns"))
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_rows: int = HOT_ROWS, as_col: str = "cut") -> DataFrame:
+    """The rows given with a struct ``as_col`` (no column of that name may be given): n_bytes, n_removed, n_spans, kept_sha256 and kept, the text that stays, null where nothing goes (bytes that a cut leaves of a character are left out of it)."""
+    texts = numbered_texts(docs, id_col, text_col)
+    late = repeated_runs(texts, hot_rows)
+    # rows without an id meet no other and are dealt by their texts
+    key = F.coalesce("doc_id", F.xxhash64("text"))
+    per_text = late.groupBy("doc_id", F.expr(f"start div {APART} * {APART}").alias("base")).agg(F.collect_list("start").alias("starts"), F.collect_list("n").alias("ns"))
+    per_text = per_text.select(F.col("doc_id").alias("key"), F.lit(True).alias("named"), "base", "starts", "ns")
+    keyed = texts.select("rest", "text", "base", key.alias("key"), F.col("doc_id").isNotNull().alias("named"))
+    found = keyed.join(per_text, ["key", "named", "base"], "left").select("rest", "text", "base", "starts", "ns")
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
+    names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(0, np.int64)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, "text"):
                 data, off = buffers(part.column(1))
                 rows = []
-                for i, (starts, ns) in enumerate(zip(part.column(2), part.column(3))):
-                    kept, gone, spans = kept_parts(data[off[i] : off[i + 1]], starts.values.to_numpy(), ns.values.to_numpy())
+                for i, (base, starts, ns) in enumerate(zip(part.column(2).to_pylist(), part.column(3), part.column(4))):
+                    own = data[off[i] : off[i + 1]]
+                    kept, gone, spans = kept_parts(own, starts.values.to_numpy() - base if starts.is_valid else none, ns.values.to_numpy() if ns.is_valid else none)
                     raw = kept.tobytes()
-                    rows.append((gone, spans, hashlib.sha256(raw).hexdigest(), *([raw.decode("utf-8", "ignore")] if with_text else [])))
-                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.string(), pa.string())))], ["doc_id", "n_removed", "n_spans", "kept_sha256", *(["kept"] if with_text else [])])
+                    rows.append((len(own), gone, spans, hashlib.sha256(raw).hexdigest(), raw.decode("utf-8", "ignore") if gone else None))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)], ["rest", "text", "cut"])
 
-    changed = texts.join(per_text, "doc_id").mapInArrow(run, "doc_id long, n_removed long, n_spans long, kept_sha256 string" + (", kept string" if with_text else ""))
-    return table, changed.dropDuplicates(["doc_id"])
+    rest = found.schema["rest"].dataType
+    shape = StructType([StructField("rest", rest), StructField("text", StringType()), StructField("cut", StructType([StructField(n, StringType() if t == pa.string() else LongType()) for n, t in zip(names, kinds)]))])
+    out = found.mapInArrow(run, shape)
+    return out.select(*[F.col("text").alias(c) if c == text_col else F.col(f"rest.`{c}`") for c in docs.columns], F.col("cut").alias(as_col))
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table, changed = remove_repeats(read_table(spark, sf_dir, "documents"))
-    every = table.where("kind = 0").select("doc_id", F.col("start").alias("n_bytes"), "sha256")
-    return every.join(changed, "doc_id", "left").select("doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("n_spans", F.lit(0)).alias("n_spans"), F.coalesce("kept_sha256", "sha256").alias("kept_sha256"))
+    cut = remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select(F.col("doc_id").cast("long").alias("doc_id"), "cut.n_bytes", "cut.n_removed", "cut.n_spans", "cut.kept_sha256")

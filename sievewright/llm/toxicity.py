@@ -8,9 +8,11 @@ have one path only and pass as they are.  Restored words and their first letters
 model; features are words that the toxic label makes clearly likelier, weights are fitted on labelled rows.
 
 The classifier is fitted on at most ``most_labelled`` labelled rows (default 20000, taken by hash of the id);
-the character model covers every learning row.  Null and empty texts get the score of a text without evidence.
-A document labelled twice counts as toxic if either label says so.  Without labels every score is 0.  An empty
-table gives no rows.
+the character model covers every learning row.  Features are all words and beginnings that stand in three toxic texts of
+that sample or more and are clearly likelier there.  Null and empty texts get the score of a text without evidence.
+A document labelled twice counts as toxic if either label says so.  Without labels every score is 0.  Rows that repeat
+an id, or have none, are scored each for itself; equal texts get equal scores.  Of equally likely spellings the last in the
+alphabet is taken.  Texts, tokens and spaced runs of any length are decoded whole.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,10 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import buffers, fold, read_table, slices
+from .common import buffers, drop_materialized, fold, materialize, read_table, slices
 
 MOST_LABELLED = 20_000
-MOST_FEATURES = 4000
+#: Labelled texts that a feature must stand in with a toxic label, and the least log odds.
+LEAST_TOXIC, LEAST_ODDS = 3, 1.5
 THRESHOLD = 0.3
 
 #: What a written character may stand for, besides itself (fixed values).
@@ -55,16 +58,20 @@ def _symbol(c: str) -> int:
 
 
 def trigram_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
-    """Counts of symbol trigrams over all rows; SYMBOLS**3 numbers reach the driver."""
+    """Counts of symbol trigrams within each text over all rows; SYMBOLS**3 numbers reach the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SYMBOLS**3, np.int64)
         for batch in batches:
             for part in slices(batch):
-                data, _ = buffers(part.column(0))
+                data, off = buffers(part.column(0))
                 if len(data) > 2:
                     c = _CODE[data]
-                    total += np.bincount((c[:-2] * SYMBOLS + c[1:-1]) * SYMBOLS + c[2:], minlength=SYMBOLS**3)
+                    inside = np.ones(len(data) - 2, bool)  # trigrams that would cross into the next text
+                    for k in (1, 2):
+                        cross = off[1:-1] - k
+                        inside[cross[(cross >= 0) & (cross < len(inside))]] = False
+                    total += np.bincount(((c[:-2] * SYMBOLS + c[1:-1]) * SYMBOLS + c[2:])[inside], minlength=SYMBOLS**3)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["code", "n"])
 
@@ -215,9 +222,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     n = known.count()
     if not n:
         return None
-    share = min(1.0, 0.97 * most_labelled / n)
-    sample = known.where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 30)) < int(share * (1 << 30))).limit(most_labelled)
-    labelled = rows.join(F.broadcast(sample), "doc_id")  # at most most_labelled rows of two numbers
+    h = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 30))
+    # a filter that leaves about as many as wanted, then those of least hash: the same rows however they are dealt
+    sample = known.where(h <= int(min(1.0, 1.05 * most_labelled / n) * (1 << 30))).orderBy(h, "doc_id").limit(most_labelled)
+    labelled = materialize(rows.join(F.broadcast(sample), "doc_id"), "labelled")  # at most most_labelled rows of two numbers
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restore = Restorer(characters)
@@ -226,19 +234,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             for text, y in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 for f in set(restore(text)):
                     total.setdefault(f, [0, 0])[1 if y else 0] += 1
-                total.setdefault("", [0, 0])[1 if y else 0] += 1
             if len(total) > 200_000:
                 yield pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.string()), pa.array([v[0] for v in total.values()], pa.int64()), pa.array([v[1] for v in total.values()], pa.int64())], ["f", "neg", "pos"])
                 total = {}
         yield pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.string()), pa.array([v[0] for v in total.values()], pa.int64()), pa.array([v[1] for v in total.values()], pa.int64())], ["f", "neg", "pos"])
 
     counts = labelled.mapInArrow(tokens, "f string, neg long, pos long").groupBy("f").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos"))
-    counts = counts.where("f = '' or pos >= 3").where(F.expr("f = '' or pos > 2 * neg / 10")).orderBy(F.expr("f <> ''"), F.expr("pos / sqrt(pos + neg + 4.0d) desc"), "f").limit(4 * MOST_FEATURES).collect()
-    neg_all, pos_all = next(((r.neg, r.pos) for r in counts if r.f == ""), (0, 0))
+    sizes = {r.y > 0: r["count"] for r in labelled.groupBy((F.col("y") > 0).cast("int").alias("y")).count().collect()}
+    neg_all, pos_all = sizes.get(False, 0), sizes.get(True, 0)
     if not pos_all or not neg_all:
+        drop_materialized(labelled)
         return ToxicityModel(characters, {}, np.zeros(0), 30.0 if pos_all else -30.0)
-    odds = {r.f: (math.log((r.pos + 0.5) / (pos_all + 1)) - math.log((r.neg + 0.5) / (neg_all + 1)), r.pos) for r in counts if r.f}
-    chosen = sorted((f for f, (o, _) in odds.items() if o > 1.5), key=lambda f: (-odds[f][0] * math.sqrt(odds[f][1]), f))[:MOST_FEATURES]
+    odds = F.log((F.col("pos") + 0.5) / (pos_all + 1)) - F.log((F.col("neg") + 0.5) / (neg_all + 1))
+    chosen = sorted(r.f for r in counts.where((F.col("pos") >= LEAST_TOXIC) & (odds > LEAST_ODDS)).select("f").collect())  # bounded by the sample's words
     index = {f: i for i, f in enumerate(chosen)}
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,7 +255,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             found = [restore(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "y", "found"])
 
-    data = sorted(labelled.mapInArrow(sparse, "doc_id long, y int, found array<int>").collect(), key=lambda r: r.doc_id)
+    data = sorted(labelled.mapInArrow(sparse, "doc_id long, y int, found array<int>").collect(), key=lambda r: (r.doc_id, r.y, r.found))
+    drop_materialized(labelled)
     row = np.array([i for i, r in enumerate(data) for _ in _tally(r.found)], np.int64)
     col = np.array([f for r in data for f in _tally(r.found)], np.int64)
     val = np.array([math.log2(1 + n) for r in data for n in _tally(r.found).values()])

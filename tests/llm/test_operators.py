@@ -123,7 +123,9 @@ def test_media_round_trip(docs, texts, empty):
         b = (t or "").encode()
         p = b + bytes(max(64, -(-len(b) // 64) * 64) - len(b))
         assert (got[i].n_bytes, got[i].payload_bytes, got[i].payload_sha256, got[i].tail_crc32) == (len(b), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-64:]))
-        assert len(got[i].pcm) == got[i].pcm_bytes
+        wide = media.unpack_pcm(got[i].pcm)
+        samples = {"mulaw": 1, "alaw": 1}.get(got[i].feature.split(";")[0])
+        assert len(wide) == 2 * (len(p) if samples else len(p) // 64 * 121) and media.pack_pcm(wide) == got[i].pcm
     assert media.decode_media(media.encode_media(empty)).count() == 0
     stored = {r.doc_id: r for r in media.encode_media(docs).collect()}
     assert {media.parse(r.media)[0] for r in stored.values()} == set(media.CODECS)
@@ -274,14 +276,23 @@ def test_mixing_meets_targets(spark, docs, labels, empty):
     p = rng.dirichlet([1, 1, 1], 500)
     m = spark.createDataFrame([(i, int(rng.integers(1, 900)), x.tolist()) for i, x in enumerate(p)], "doc_id long, tokens long, posterior array<double>")
     names = ["a", "b", "c"]
-    moves, report = mixing.fit_rates(m, names, {"a": 0.5, "b": 0.3, "c": 0.2}, total=200_000.0)
-    out = mixing.apply_rates(m, moves, names).collect()
+    rates = mixing.fit_rates(m, names, {"a": 0.5, "b": 0.3, "c": 0.2}, total=200_000.0)
+    out = mixing.apply_rates(m, rates).collect()
     have = sum(np.array(r.posterior) * r.tokens * r.rate for r in out)
-    assert report["miss"] < 0.01 and np.allclose(have, [100_000, 60_000, 40_000], rtol=0.02) and min(r.rate for r in out) >= 0
+    assert rates.report["miss"] < 0.01 and np.allclose(have, [100_000, 60_000, 40_000], rtol=0.02) and min(r.rate for r in out) >= 0
+    # without replacement rates lie in [0, 1] and meet the shares
+    rates = mixing.fit_rates(m, names, {"a": 0.5, "b": 0.3, "c": 0.2}, replacement=False)
+    out = mixing.apply_rates(m, rates).collect()
+    have = sum(np.array(r.posterior) * r.tokens * r.rate for r in out)
+    assert np.allclose(have / have.sum(), [0.5, 0.3, 0.2], atol=0.003) and all(0 <= r.rate <= 1 and r.copies in (0, 1) for r in out)
+    assert have.sum() > 0.5 * sum(r.tokens for r in out)
+    with pytest.warns(UserWarning, match="misses its targets"):
+        assert mixing.fit_rates(m.limit(1), names, {"a": 0.5, "b": 0.3, "c": 0.2}).report["miss"] > 0.01
     model = mixing.fit(docs, mixing.label_domains(labels))
     assert sorted(model.domains) == model.domains and mixing.memberships(docs, model).count() == docs.count()
     none = mixing.memberships(empty, model)
-    assert mixing.apply_rates(none, mixing.fit_rates(none, model.domains, mixing.TARGETS)[0], model.domains).count() == 0
+    assert mixing.apply_rates(none, mixing.fit_rates(none, model.domains, mixing.TARGETS)).count() == 0
+    assert mixing.fit(empty, mixing.label_domains(labels)).domains == ["all"]
     assert mixing.fit(docs, mixing.label_domains(labels).limit(0)).domains == ["all"]
 
 
@@ -298,11 +309,13 @@ def test_repeated_substrings(docs, texts, empty, hot):
             seen.add(w)
         gone = np.cumsum(mark[:-1]) > 0
         want[i] = int(gone.sum()), hashlib.sha256(np.frombuffer(b, np.uint8)[~gone].tobytes()).hexdigest()
-    table, changed = substrings.remove_repeats(docs, hot_rows=hot)
-    got = {r.doc_id: (0, r.sha256) for r in table.where("kind = 0").collect()} | {r.doc_id: (r.n_removed, r.kept_sha256) for r in changed.collect()}
-    assert got == want
-    table, changed = substrings.remove_repeats(empty)
-    assert table.count() == 0 and changed.count() == 0
+    out = substrings.remove_repeats(docs, hot_rows=hot)
+    assert out.columns == [*docs.columns, "cut"]
+    rows = out.collect()
+    assert {r.doc_id: (r.cut.n_removed, r.cut.kept_sha256) for r in rows} == want
+    given = dict(texts)
+    assert all(r.text == given[r.doc_id] and (r.cut.kept is None) == (r.cut.n_removed == 0) for r in rows)
+    assert substrings.remove_repeats(empty).count() == 0
 
 
 def test_language_model(docs, texts, empty):
@@ -322,24 +335,6 @@ def test_language_model(docs, texts, empty):
     assert lm.score_documents(empty).count() == 0
 
 
-def test_language_model_is_a_distribution():
-    rng = np.random.default_rng(5)
-    frequent = {h: 4_000 - 3 * h for h in range(40)}
-    bands = np.where(np.arange(lm.BANDS) < 12, 500.0, 1.0)
-    v = lm.Vocabulary(200_000, 9_000, 300, frequent, bands, 0.8 * bands, 4_000, 1_500)
-    live = np.r_[lm.UNKNOWN, lm.END, 4:15, lm.OWN : lm.OWN + 40]
-    two, three = np.zeros((lm.FINE_SIZE,) * 2, np.float32), np.zeros((lm.COARSE_SIZE,) * 3, np.float32)
-    k = np.unique(lm._dense(v.coarse)[live])
-    two[np.ix_(live, live)] = rng.poisson(0.7, (len(live),) * 2)
-    three[np.ix_(k, k, k)] = rng.poisson(0.4, (len(k),) * 3)
-    two[lm.END] = three[lm.END] = 0  # contexts never seen
-    m = lm.Interpolation(two, three, v)
-    m.weights = rng.dirichlet(np.ones(3), 64)
-    every = np.arange(lm.FINE_SIZE)
-    for f1, f2 in itertools.product(live.tolist()[::3] + [lm.END], repeat=2):
-        assert abs(m.probabilities(every, np.full(len(every), f1), np.full(len(every), f2)).sum() - 1) < 1e-5
-
-
 def test_rows_without_id_and_repeated_rows(spark):
     rng = random.Random(8)
     a, b = prose(rng, 90), prose(rng, 120)
@@ -351,8 +346,7 @@ def test_rows_without_id_and_repeated_rows(spark):
     assert tokencounts.count_tokens(d).count() == 6
     classes = dedup.near_duplicate_classes(d).collect()
     assert len(classes) == 6 and {r.class_id for r in classes if r.doc_id in (1, 7)} == {1}
-    _, changed = substrings.remove_repeats(d)
-    assert {r.doc_id: r.n_removed for r in changed.collect()} == {7: len(a)}
+    assert sorted((r.doc_id or 0, r.cut.n_removed) for r in substrings.remove_repeats(d).collect()) == [(0, 0), (0, 0), (1, 0), (1, 0), (2, 0), (7, len(a))]
     assert lm.score_documents(d).count() == 6
 
 
@@ -373,13 +367,16 @@ def test_language_model_knows_word_pairs(spark):
 
 def test_word_probabilities_sum_to_one():
     rng = np.random.default_rng(9)
-    m = lm.WordInterpolation(None, None)
-    m.weights = rng.dirichlet(np.ones(3), 64)
+    counts = rng.integers(0, 30, 50)
+    counts[0] = 0  # the type never seen
+    m = lm.WordInterpolation(lm.Totals(int(counts.sum()), int((counts > 0).sum()), 4))
+    counts = np.append(counts[counts > 0], 0)
+    m.weights = rng.dirichlet(np.ones(3), 2 * lm.BUCKETS)
     m.settle()
-    base = rng.dirichlet(np.ones(50))
+    k = len(counts)
     for t3, t2 in ((0, 0), (0, 7), (5, 7), (300, 900)):
-        n3, n2 = rng.multinomial(t3, np.ones(50) / 50), rng.multinomial(t2, np.ones(50) / 50)
-        assert abs(m.probabilities(base, n3, n2, np.full(50, t3), np.full(50, t2)).sum() - 1) < 1e-9
+        n3, n2 = rng.multinomial(t3, np.ones(k) / k), rng.multinomial(t2, np.ones(k) / k)
+        assert abs(m.probabilities(counts, n2, n3, np.full(k, t2), np.full(k, t3)).sum() - 1) < 1e-9
     x = np.array([0, 5, 2**40, 2**56 - 1])
     assert lm._unpack(lm._pack(x)).tolist() == x.tolist() and lm._unpack(lm._pack(x[:0])).tolist() == []
 
@@ -437,9 +434,14 @@ def test_toxicity_restores_long_tokens_and_spaced_sentences():
 
 def test_media_query_stores_the_pcm(spark, tmp_path, monkeypatch):
     stored, write = {}, media.materialize
-    monkeypatch.setattr(media, "materialize", lambda df, name: stored.setdefault(name, write(df, name)))
+    monkeypatch.setattr(media, "materialize", lambda df, name, level: stored.setdefault(name, write(df, name, level)))
     spark.createDataFrame([(1, "some text " * 30), (2, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     out = media.op3_media_columns(spark, str(tmp_path))
     pcm = by_id(stored["pcm"])
     assert "pcm" not in out.columns
-    assert {i: (len(r.pcm), str(zlib.crc32(r.pcm))) for i, r in pcm.items()} == {i: (r.pcm_bytes, r.feature.split("=")[-1]) for i, r in by_id(out).items()}
+    wide = {i: media.unpack_pcm(r.pcm).astype("<i2").tobytes() for i, r in pcm.items()}
+    assert {i: (len(w), str(zlib.crc32(w))) for i, w in wide.items()} == {i: (r.pcm_bytes, r.feature.split("=")[-1]) for i, r in by_id(out).items()}
+    rng = np.random.default_rng(3)
+    for n in (2, 10, 500):  # any samples, not only those that the filter makes
+        x = rng.integers(-32768, 32768, n).astype(np.int16)
+        assert media.unpack_pcm(media.pack_pcm(x)).tolist() == x.tolist()
