@@ -292,8 +292,10 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
         return materialize(known.join(torn, "key", "left_semi"), "mixed")
 
     for seed in range(1, HUBS + 1):
-        left = mixed()
+        torn = left = mixed()
         if seed == HUBS:
+            # up to three members: the hubs have met all across components
+            left = left.where("size > 3")
             # pairs across components whose sketches agree, each at the least key that both have
             known = sets.select(F.col("id").alias("rep"), "sketch", "fine").join(exact.select("rep", "bands"), "rep")
             todo = left.join(known, "rep")
@@ -311,7 +313,7 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
             pairs = _pairs(cand, "rep", "hub_rep", similarity)
         pairs = materialize(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
         more = materialize(verify(pairs, sets, similarity), "links")
-        drop_materialized(left)
+        drop_materialized(torn)
         used += [pairs, more]
         if more.limit(1).count():
             links = links.unionByName(more)
