@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import buffers, drop_materialized, fold, materialize, mix, prefix_hash, read_table, shared_dir, slices, span_hash, words
 from .tokencounts import _filesystem
 
-CHUNK_BYTES = 16_000_000
+CHUNK_BYTES = 20_000_000
 #: Ratios of the higher orders to the lowest go to the driver on a logarithmic grid: its step, and steps on either side.
 GRID, REACH = 0.05, 160
 #: Buckets of contexts of one word, then as many of two.
@@ -134,7 +134,7 @@ def chunk_table(docs: DataFrame, folder: str, chunk_bytes: int = CHUNK_BYTES) ->
             table = pa.Table.from_batches(held)
             chunk = uuid.uuid4().int >> 65
             fs.create_dir(path, recursive=True)
-            with fs.open_output_stream(os.path.join(path, f"{chunk:016x}.arrow")) as out, pa.ipc.new_stream(out, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+            with fs.open_output_stream(os.path.join(path, f"{chunk:016x}.arrow")) as out, pa.ipc.new_stream(out, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=9))) as w:
                 w.write_table(table)
             return pa.RecordBatch.from_arrays([pa.array([chunk])], ["chunk"])
 
