@@ -2,25 +2,26 @@
 
 from __future__ import annotations
 
-import html
-import unicodedata
-from html.parser import HTMLParser
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+
+from sievewright.functions.markup import markup_to_text, nfc  # noqa: F401  (text functions under one roof)
 
 #: Masks that stand for removed values (fixed values).
 EMAIL, PHONE, CARD, IP, ACCOUNT, URL = "<EMAIL>", "<PHONE>", "<PAYMENT_CARD>", "<IP_ADDRESS>", "<ACCOUNT_ID>", "<URL>"
 
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
-IPV4_PATTERN = rf"(?U)(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?![\w]|\.[0-9])"
-EMAIL_PATTERN = r"(?iU)(?<![\w.+-])[a-z0-9._%+-]+@[a-z0-9-]+(?:\.[a-z0-9-]+)+(?![\w@-])"
-PHONE_PATTERN = r"(?U)(?<!\w)(?:\+[1-9](?:[ -]?[0-9]){7,13}|\([0-9]{3}\) ?[0-9]{3}[ -][0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4}|0[0-9]{3}-[0-9]{7})(?!\w)"
-CARD_PATTERN = r"(?U)(?<![\w])[0-9](?:[ -]?[0-9]){12,18}(?![\w])"
-ACCOUNT_PATTERN = r"(?iU)(?<!\w)(?:account|acc|customer|cust)-[0-9]{5,}(?!\w)"
-URL_PATTERN = r"(?iU)(?<![\w@])(?:https?://|www\.)[^\s<>\"]+?(?=[.,!?;:)\]}]*(?:[\s<>\"]|$))"
+_LABEL = "[a-z0-9](?:[a-z0-9-]*[a-z0-9])?"
+#: The forms of telephone numbers (fixed values): international, area code in brackets, three groups, leading zero.
+PHONE_FORMS = (r"\+[0-9]{1,3}(?:[ -]?[0-9]){7,12}", r"\([0-9]{3}\)[ -][0-9]{3}[ -][0-9]{4}", r"[0-9]{3}[ -][0-9]{3}[ -][0-9]{4}", r"0[0-9]{3}[ -][0-9]{7}")
+IPV4_PATTERN = rf"(?<![0-9.])(?=(?:[0-9]{{1,3}}\.){{3}}[0-9]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9]|\.[0-9])"
+EMAIL_PATTERN = rf"(?iU)(?<![\w.+-])[a-z0-9._%+-]+@{_LABEL}(?:\.{_LABEL})+(?![\w@-])"
+PHONE_PATTERN = rf"(?U)(?<!\w)(?:{'|'.join(PHONE_FORMS)})(?!\w)"
+CARD_PATTERN = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,}(?![0-9])"
+ACCOUNT_PATTERN = r"(?iU)(?<!\w)(?:account|acc|customer|cust)-[0-9]{5,}(?![\w-])"
+#: A URL goes up to a blank, bracket or quote, or to where the next begins.
+URL_PATTERN = r"(?iU)(?<![\w@])(?:https?://|www\.)(?:(?!https?://|www\.)[^\s<>\"'])+"
+URL_TAIL = r"[.,!?;:)\]}]+$"
 
 
 def utrim(c: Column) -> Column:
@@ -47,8 +48,32 @@ def normalize_whitespace(c: Column) -> Column:
     return utrim(F.regexp_replace(c, r"\n{3,}", "\n\n"))
 
 
+def _replace_found(c: Column, pattern: str, shown) -> Column:
+    """The text with every match of the pattern replaced by ``shown(match)``: cut at the matches and joined again."""
+    between, found = F.split(c, pattern, -1), F.regexp_extract_all(c, F.lit(f"({pattern})"), F.lit(1))
+    after = F.transform(found, shown)
+    joined = F.array_join(F.transform(between, lambda x, i: F.concat(x, F.coalesce(F.get(after, i), F.lit("")))), "")
+    return F.when(c.rlike(pattern), joined).otherwise(c)
+
+
+def url_tail(url: Column) -> Column:
+    """How many characters at a URL's end do not belong to it: sentence marks, and closing brackets that it does not open."""
+    marks = F.reverse(F.split(F.regexp_extract(url, URL_TAIL, 0), ""))
+    count = lambda text, c: F.length(text) - F.length(F.translate(text, c, ""))
+
+    def step(state: Column, c: Column) -> Column:
+        left = F.substring(url, F.lit(1), F.length(url) - state["cut"])
+        loose = F.lit(False)
+        for opening, closing in ("()", "[]", "{}"):
+            loose = loose | ((c == closing) & (count(left, closing) > count(left, opening)))
+        go = ~state["stop"] & (c != "") & (c.isin(*".,!?;:") | loose)
+        return F.struct((state["cut"] + go.cast("int")).alias("cut"), (~go).alias("stop"))
+
+    return F.aggregate(marks, F.struct(F.lit(0).alias("cut"), F.lit(False).alias("stop")), step, lambda s: s["cut"])
+
+
 def mask_urls(c: Column) -> Column:
-    return F.regexp_replace(c, URL_PATTERN, URL)
+    return _replace_found(c, URL_PATTERN, lambda u: F.concat(F.lit(URL), F.substring(u, F.length(u) - url_tail(u) + 1, F.length(u))))
 
 
 def mask_emails(c: Column) -> Column:
@@ -73,12 +98,8 @@ def is_card(digits: Column) -> Column:
 
 
 def mask_cards(c: Column) -> Column:
-    """Only candidates that pass the check are masked: the text is split at candidates and joined again."""
-    between = F.split(c, CARD_PATTERN, -1)
-    found = F.regexp_extract_all(c, F.lit(f"({CARD_PATTERN})"), F.lit(1))
-    shown = F.transform(found, lambda x: F.when(is_card(F.regexp_replace(x, "[^0-9]", "")), F.lit(CARD)).otherwise(x))
-    joined = F.array_join(F.transform(between, lambda x, i: F.concat(x, F.coalesce(F.get(shown, i), F.lit("")))), "")
-    return F.when(c.rlike(CARD_PATTERN), joined).otherwise(c)
+    """Only candidates that pass the check are masked."""
+    return _replace_found(c, CARD_PATTERN, lambda x: F.when(is_card(F.regexp_replace(x, "[^0-9]", "")), F.lit(CARD)).otherwise(x))
 
 
 def mask_pii(c: Column) -> Column:
@@ -107,50 +128,16 @@ def word_count(c: Column) -> Column:
     return F.regexp_count(c, F.lit(r"(?U)\S+"))
 
 
-_BLOCK = frozenset("address article aside blockquote br dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table tbody td tfoot th thead title tr ul".split())
-_INLINE = frozenset("a abbr b bdi bdo body button cite code data del dfn em font head html i img input ins kbd label link mark meta q s samp select small span strong sub sup time tt u var video".split())
-_HIDDEN = frozenset(("script", "style"))
-
-
-class _Text(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.parts: list[str] = []
-        self.hidden = 0
-
-    def handle_starttag(self, tag, attrs):
-        if tag in _HIDDEN:
-            self.hidden += 1
-        elif not self.hidden:
-            self.parts.append("\n" if tag in _BLOCK else "" if tag in _INLINE else self.get_starttag_text() or "")
-
-    def handle_endtag(self, tag):
-        if tag in _HIDDEN:
-            self.hidden = max(0, self.hidden - 1)
-        elif not self.hidden:
-            self.parts.append("\n" if tag in _BLOCK else "" if tag in _INLINE else f"</{tag}>")
-
-    def handle_data(self, data):
-        if not self.hidden:
-            self.parts.append(data)
-
-
-def markup_text(text: str) -> str:
-    """Composed text without known markup; block tags become newlines, unknown tags stay."""
-    text = unicodedata.normalize("NFC", text)
-    if "<" not in text:
-        return html.unescape(text) if "&" in text else text
-    p = _Text()
-    p.feed(text)
-    p.close()
-    return "".join(p.parts)
+def joined_text(subject: Column, message: Column) -> Column:
+    """What classifiers read: both fields trimmed, empty ones left out, a blank line between."""
+    return F.array_join(F.filter(F.array(utrim(subject), utrim(message)), lambda x: x.isNotNull() & (x != "")), "\n\n")
 
 
-@F.pandas_udf(StringType())
-def markup_to_text(s: pd.Series) -> pd.Series:
-    return s.map(markup_text, na_action="ignore")
+def semantic_text(subject: Column, message: Column) -> Column:
+    """What the encoder reads: both fields on lines of their own, also an absent subject."""
+    return F.concat(F.coalesce(subject, F.lit("")), F.lit("\n"), message)
 
 
-@F.pandas_udf(StringType())
-def nfc(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: unicodedata.normalize("NFC", x), na_action="ignore")
+def language_text(subject: Column, message: Column) -> Column:
+    """What language detection reads: the subject's line only if there is one."""
+    return F.concat(F.when(F.coalesce(subject, F.lit("")) != "", F.concat(subject, F.lit("\n"))).otherwise(""), message)

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from sievewright.functions import markup
 from sievewright.functions import text as T
 from sievewright.operators import records as R
 from sievewright.sources import files, sinks
@@ -23,6 +24,14 @@ MASKED = [
     ("0000 0000 0000 0000", "0000 0000 0000 0000"),
     ("see CUST-12345, Acc-99999 and cust-12", "see <ACCOUNT_ID>, <ACCOUNT_ID> and cust-12"),
     ("<PHONE> stays", "<PHONE> stays"),
+    ("743 555 3824, 0123 4567890 and 0123-4567890", "<PHONE>, <PHONE> and <PHONE>"),
+    ("(743)555-3824", "(743)555-3824"),
+    ("order 01234567890, port 8080, build 928372", "order 01234567890, port 8080, build 928372"),
+    ("ip10.0.0.1 and 010.000.000.001", "ip<IP_ADDRESS> and <IP_ADDRESS>"),
+    ("999.999.999.999 0010.0.0.1", "999.999.999.999 0010.0.0.1"),
+    ("x4111111111111111y", "x<PAYMENT_CARD>y"),
+    ("CUST-12345-X and xCUST-12345", "CUST-12345-X and xCUST-12345"),
+    ("+1 (743) 555-3824", "+1 <PHONE>"),
     (None, None),
     ("", ""),
 ]
@@ -38,7 +47,13 @@ def test_normalisation(spark):
     assert apply(spark, T.normalize_whitespace, ["  a  b \t\n\n\n\n c  ", ""]) == ["a b\n\nc", ""]
     assert apply(spark, T.collapse_punctuation, ["wait... what?!?? no!!!"]) == ["wait. what?!? no!"]
     assert apply(spark, T.mask_urls, ["go to https://a.b/c?d=1, or (www.x.org)."]) == ["go to <URL>, or (<URL>)."]
-    assert apply(spark, T.mask_emails, ["Mail A.b+c@d-e.org now"]) == ["Mail <EMAIL> now"]
+    urls = {"see http://a.b/x_(y).": "see <URL>.", "https://a.com,https://b.com": "<URL>,<URL>", "(www.a.b/[c])!": "(<URL>)!", "\"http://a.b\"": '"<URL>"', "xwww.a.b": "xwww.a.b", "http://a.b/)(}": "<URL>}", "www.!": "<URL>.!"}
+    assert apply(spark, T.mask_urls, list(urls)) == list(urls.values())
+    assert apply(spark, T.mask_emails, ["Mail A.b+c@d-e.org now", "a@-b.com", "ref=j@e.com", "a@b.co-", "a@b"]) == ["Mail <EMAIL> now", "a@-b.com", "ref=<EMAIL>", "a@b.co-", "a@b"]
+    assert apply(spark, markup.visible, ["<script>x</script>", "<b> </b>", "a\x00&nbsp;", "\x01", None]) == ["x", " ", "a\xa0", "", None]
+    assert apply(spark, markup.casefold, ["STRASSE", "Straße"]) == ["strasse", "strasse"]
+    tags = ["<body>x<caption>y</caption></body>", "a<br/>b", "<svg><title>t</title></svg>", "<q1/>z", "<script/>hidden?", "<style>a<b>", "caf\u0065\u0301 &lt;b&gt;"]
+    assert apply(spark, T.markup_to_text, tags) == ["\nxy\n", "a\n\nb", "t", "<q1/>z", "hidden?", "", "caf\u00e9 <b>"]
     pages = ["<p>a &amp; b</p><script>x()</script><b>c</b>", "a < b", "<EMAIL> <timeout>", None]
     assert apply(spark, T.markup_to_text, pages) == ["\na & b\nc", "a < b", "<EMAIL> <timeout>", None]
 
