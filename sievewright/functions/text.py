@@ -50,10 +50,13 @@ def normalize_whitespace(c: Column) -> Column:
 
 def _replace_found(c: Column, pattern: str, shown) -> Column:
     """The text with every match of the pattern replaced by ``shown(match)``: cut at the matches and joined again."""
-    between, found = F.split(c, pattern, -1), F.regexp_extract_all(c, F.lit(f"({pattern})"), F.lit(1))
-    after = F.transform(found, shown)
-    joined = F.array_join(F.transform(between, lambda x, i: F.concat(x, F.coalesce(F.get(after, i), F.lit("")))), "")
-    return F.when(c.rlike(pattern), joined).otherwise(c)
+
+    def replaced(text: Column) -> Column:
+        between, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
+        joined = F.zip_with(between, F.transform(found, shown), lambda x, y: F.concat(x, F.coalesce(y, F.lit(""))))
+        return F.when(text.rlike(pattern), F.array_join(joined, "")).otherwise(text)
+
+    return F.transform(F.array(c), replaced)[0]  # bound to a variable: evaluated once
 
 
 def url_tail(url: Column) -> Column:

@@ -29,7 +29,7 @@ def length_statistics(records: DataFrame, text: str, words: Column) -> DataFrame
     both = records.select(F.length(text).cast("long").alias("characters"), words.cast("long").alias("words"))
     aggs = []
     for c in both.columns:
-        aggs += [F.min(c).alias(f"{c}_min"), F.round(F.avg(c), 6).alias(f"{c}_mean"), F.max(c).alias(f"{c}_max")]
+        aggs += [F.min(c).alias(f"{c}_min"), F.round(F.avg(c), 6).alias(f"{c}_mean"), F.max(c).alias(f"{c}_max"), F.median(c).alias(f"{c}_median")]
         aggs += [F.expr(f"percentile_disc({p}) within group (order by {c})").cast("long").alias(f"{c}_p{int(p * 100)}") for p in (0.9, 0.95, 0.99)]
     return both.agg(*aggs)
 
@@ -52,20 +52,6 @@ def stratified_split(records: DataFrame, label: str, key: str, seed: int = 42, t
     return ranked.withColumn("split", F.when(at <= first, "train").when(at <= first + second, "validation").otherwise("test")).select(*records.columns, "split")
 
 
-def term_counts(records: DataFrame, key: str, text: str) -> DataFrame:
-    """Lower-case words of two characters or more and their counts in each record."""
-    terms = F.regexp_extract_all(F.lower(text), F.lit(r"((?U)\b\w\w+\b)"), F.lit(1))
-    return records.select(key, F.explode(terms).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
-
-
-def tfidf(counts: DataFrame, key: str, records: int, min_df: int = 2) -> DataFrame:
-    """Unit-length TF-IDF rows with idf = ln((1 + n) / (1 + df)) + 1."""
-    df = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= min_df)
-    raw = counts.join(df.select("term", "df", (F.log((1.0 + records) / (1.0 + F.col("df"))) + 1).alias("idf")), "term").withColumn("raw", F.col("tf") * F.col("idf"))
-    norm = raw.groupBy(key).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
-    return raw.join(norm, key).select(key, "term", "tf", "df", "idf", (F.col("raw") / F.col("norm")).alias("weight"))
-
-
 def class_weights(records: DataFrame, label: str) -> DataFrame:
     """Balanced weights n / (classes * n_class)."""
     c = records.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("records"))

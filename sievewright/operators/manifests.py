@@ -8,7 +8,10 @@ import math
 import os
 import tempfile
 import unicodedata
-from datetime import UTC, datetime
+from dataclasses import fields, is_dataclass
+from datetime import UTC, date, datetime
+from datetime import time as clock_time
+from enum import Enum
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
@@ -18,31 +21,52 @@ from pyspark.sql import functions as F
 FAN, LEVELS = 1024, 4
 
 
+def _finite(value: float) -> float:
+    if not math.isfinite(value):
+        raise ValueError("numbers must be finite")
+    return value
+
+
+def _moment(value: datetime) -> str:
+    if value.tzinfo is None:
+        raise ValueError("times need a zone")
+    return value.astimezone(UTC).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
+
+
+def _mapping(value: dict) -> dict:
+    out = {canonical(k): canonical(v) for k, v in value.items()}
+    if any(not isinstance(k, str) for k in out):
+        raise TypeError("keys must be strings")
+    if len(out) < len(value):
+        raise ValueError("two keys are equal once composed")
+    return out
+
+
+def _members(value) -> list:
+    return sorted(map(canonical, value), key=canonical_json)
+
+
+#: How values of each type are written; the first that fits counts.
+_WRITTEN = (
+    (Enum, lambda v: canonical(v.value)),
+    ((type(None), int), lambda v: v),
+    (str, lambda v: unicodedata.normalize("NFC", v)),
+    (float, _finite),
+    (datetime, _moment),
+    ((date, clock_time), lambda v: v.isoformat()),
+    (dict, _mapping),
+    ((set, frozenset), _members),
+    ((list, tuple), lambda v: list(map(canonical, v))),
+)
+
+
 def canonical(value):
     """A value with composed strings, sorted sets and UTC times; what JSON can't hold exactly is an error."""
-    if value is None or isinstance(value, (bool, int)):
-        return value
-    if isinstance(value, str):
-        return unicodedata.normalize("NFC", value)
-    if isinstance(value, float):
-        if not math.isfinite(value):
-            raise ValueError("numbers must be finite")
-        return value
-    if isinstance(value, datetime):
-        if value.tzinfo is None:
-            raise ValueError("times need a zone")
-        return value.astimezone(UTC).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
-    if isinstance(value, dict):
-        out = {canonical(k): canonical(v) for k, v in value.items()}
-        if not all(isinstance(k, str) for k in out):
-            raise TypeError("keys must be strings")
-        if len(out) != len(value):
-            raise ValueError("two keys are equal once composed")
-        return out
-    if isinstance(value, (set, frozenset)):
-        return sorted((canonical(v) for v in value), key=canonical_json)
-    if isinstance(value, (list, tuple)):
-        return [canonical(v) for v in value]
+    if is_dataclass(value) and not isinstance(value, type):
+        return _mapping({f.name: getattr(value, f.name) for f in fields(value)})
+    for kind, write in _WRITTEN:
+        if isinstance(value, kind):
+            return write(value)
     raise TypeError(f"cannot write {type(value).__name__} as JSON")
 
 
@@ -93,15 +117,33 @@ def manifest_changes(old: dict, new: dict) -> dict[str, bool]:
     return {f"{k}_changed": canonical_json(old.get(k)) != canonical_json(new.get(k)) for k in ("dataset_version", "sources", "config", "content", "pipeline_version", "created_at")}
 
 
-def split_manifest(split: DataFrame, label: str, seed: int, ratios: dict[str, float], dataset_version: str) -> dict:
+def id_digests(rows: DataFrame, key: str, part: str) -> dict[str, str]:
+    """For each part a digest of its different ids: a tree over ranges of their hashes, so that no task holds a part."""
+    t = rows.select(F.col(part).alias("p"), F.sha2(F.col(key).cast("string"), 256).alias("h")).distinct()
+    for cut in (6, 4, 2, 0):
+        t = t.groupBy("p", F.substring("h", 1, cut).alias("g")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("h")), "\n"), 256).alias("h")) if cut == 6 else t.groupBy("p", F.substring("g", 1, cut).alias("g2")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("h")), "\n"), 256).alias("h")).withColumnRenamed("g2", "g")
+    return {str(r.p): r.h for r in t.collect()}
+
+
+def split_manifest(split: DataFrame, label: str, seed: int, ratios: dict[str, float], dataset_version: str, key: str) -> dict:
     """Sizes, class counts and a digest of each part's ids; the ids themselves stay in the table."""
     counts = split.groupBy("split", label).count().collect()
     parts = sorted({r["split"] for r in counts})
     per = {p: {str(r[label]): r["count"] for r in counts if r["split"] == p} for p in parts}
-    made_of = {"dataset_version": dataset_version, "seed": seed, "ratios": ratios, "sizes": {p: sum(v.values()) for p, v in per.items()}, "classes": per}
+    made_of = {"dataset_version": dataset_version, "seed": seed, "ratios": ratios, "sizes": {p: sum(v.values()) for p, v in per.items()}, "classes": per, "ids": id_digests(split, key, "split")}
     return canonical({"split_version": named("split", made_of), **made_of})
 
 
+def sequential_digest(records: DataFrame, index: str, text: Column, tag: bytes = b"records-v1") -> dict:
+    """One hash over all records in the order of their indexes, each with its length: for datasets small enough to pass through the driver one by one."""
+    h, n = hashlib.sha256(tag), 0
+    for r in records.select(F.col(index).alias("i"), text.alias("t")).orderBy("i").toLocalIterator():
+        raw = r.t.encode()
+        h.update(len(raw).to_bytes(8, "big") + raw)
+        n += 1
+    return {"records": n, "sha256": h.hexdigest()}
+
+
 def write_json(value, path: str) -> None:
     """Pretty and sorted, under a temporary name first, so that readers see the old file or the new one."""
     text = json.dumps(canonical(value), sort_keys=True, indent=2, ensure_ascii=False, allow_nan=False) + "\n"

@@ -6,13 +6,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievewright.functions.text import utrim
+from sievewright.operators.leakage import fields_of, populated
 
 PRIORITIES = ("low", "medium", "high")
 RENAMES = {"body": "message", "type": "ticket_type", "version": "source_version"}
 
 
-def map_records(source: DataFrame, tags: int = 8) -> DataFrame:
-    """Canonical columns of source records; absent ones are null, blank subjects become null, tags keep order and repeats."""
+FIELDS = ("subject", "message", "ticket_type", "queue", "priority", "language", "source_version", "tags")
+#: Adds no column where a reader knows no types; else the JSON type of every value that is not text.
+TYPES = "_types"
+
+
+def map_records(source: DataFrame, tags: int = 8, keep_source: bool = False) -> DataFrame:
+    """Canonical columns of source records; absent ones are null, blank subjects become null, tags keep order and repeats.
+
+    keep_source: also ``source``, a struct of all columns given.
+    """
     have = set(source.columns)
     take = lambda c: F.col(c) if c in have else F.lit(None).cast("string")
     subject = take("subject")
@@ -23,38 +32,63 @@ def map_records(source: DataFrame, tags: int = 8) -> DataFrame:
         **{c: take(c) for c in ("queue", "priority", "language")},
         "tags": F.filter(collected, lambda x: x.isNotNull() & ~F.lower(utrim(x)).isin("", "nan")),
     }
-    kept = [c for c in source.columns if c == "record_index"]
-    return source.select(*kept, *[v.alias(k) for k, v in out.items()])
+    kept = [c for c in source.columns if c in ("record_index", TYPES)]
+    raw = [F.struct(*[F.col(f"`{c}`") for c in source.columns if c not in ("record_index", TYPES)]).alias("source")] if keep_source else []
+    return source.select(*kept, *[v.alias(k) for k, v in out.items()], *raw)
 
 
 def whole_number(c: Column) -> Column:
-    """Digits, signed digits and integral decimals to int; else null."""
+    """Digits, signed digits, digits set off by underscores and integral decimals to int; else null."""
     t = F.regexp_replace(utrim(c.cast("string")), r"^([+-]?\d+)\.0+$", "$1")
+    t = F.when(t.rlike(r"^[+-]?\d+(?:_\d+)+$"), F.replace(t, F.lit("_"))).otherwise(t)
     return F.when(t.rlike(r"^[+-]?\d{1,10}$"), t.try_cast("int"))
 
 
 def schema_errors(records: DataFrame) -> DataFrame:
-    """Adds ``errors``: every field's error as field:code, in field order."""
-    def required(c: str):
-        return F.when(F.col(c).isNull(), F.lit(f"{c}:string_type"))
-
-    checks = [required(c) for c in ("message", "ticket_type", "queue")]
-    checks.append(F.when(F.col("priority").isNull() | ~F.col("priority").isin(*PRIORITIES), F.lit("priority:literal_error")))
-    checks.append(required("language"))
-    checks.append(F.when(F.col("source_version").isNull(), F.lit("source_version:int_type")).when(whole_number(F.col("source_version")).isNull(), F.lit("source_version:int_parsing")))
+    """Adds ``errors``: every field's error as field:code, in field order.
+
+    Where the reader tells JSON types, a text field that holds something else is a string_type error, and a version that is
+    no number, text or truth value an int_type error.
+    """
+    typed = TYPES in records.columns
+    source_of = {new: old for old, new in RENAMES.items()}
+    kind = lambda c: F.get_json_object(TYPES, f"$.{source_of.get(c, c)}") if typed else F.lit(None).cast("string")
+    other = lambda c, *allowed: F.coalesce(~kind(c).isin("STRING", "VOID", *allowed), F.lit(False))
+    text = lambda c, null=False: F.when(other(c) if null else F.col(c).isNull() | other(c), F.lit(f"{c}:string_type"))
+    checks = [text("subject", null=True), *[text(c) for c in ("message", "ticket_type", "queue")]]
+    checks.append(F.when(F.col("priority").isNull() | ~F.col("priority").isin(*PRIORITIES) | other("priority"), F.lit("priority:literal_error")))
+    checks.append(text("language"))
+    version = F.when(kind("source_version") == "BOOLEAN", F.lit("1")).otherwise(F.col("source_version"))
+    container = F.coalesce(kind("source_version").rlike("^(ARRAY|OBJECT)"), F.lit(False))
+    fraction = version.rlike(r"^[+-]?\d+\.\d*[1-9]\d*$") & F.coalesce(kind("source_version") != "STRING", F.lit(False))
+    checks.append(F.when(version.isNull() | container, F.lit("source_version:int_type")).when(fraction, F.lit("source_version:int_from_float")).when(whole_number(version).isNull(), F.lit("source_version:int_parsing")))
     return records.withColumn("errors", F.filter(F.array(*checks), lambda x: x.isNotNull()))
 
 
-def route(records: DataFrame, visible=None) -> DataFrame:
-    """Adds ``reason``: SCHEMA_VALIDATION, then EMPTY_MESSAGE, else null.  visible: the text that counts for emptiness."""
-    visible = visible if visible is not None else F.col("message")
-    return schema_errors(records).withColumn("reason", F.when(F.size("errors") > 0, "SCHEMA_VALIDATION").when(utrim(visible) == "", "EMPTY_MESSAGE"))
+def route(records: DataFrame, shown=None) -> DataFrame:
+    """Adds ``reason``: SCHEMA_VALIDATION, then EMPTY_MESSAGE, else null.  shown: the text that counts for emptiness."""
+    shown = shown if shown is not None else F.col("message")
+    return schema_errors(records).withColumn("reason", F.when(F.size("errors") > 0, "SCHEMA_VALIDATION").when(utrim(shown) == "", "EMPTY_MESSAGE"))
+
+
+def error_details(routed: DataFrame) -> DataFrame:
+    """One row for each error of rejected records: index, reason, loc (the field's path) and type; a reason without errors is one row of its own."""
+    e = F.explode(F.when(F.size("errors") > 0, F.col("errors")).otherwise(F.array(F.concat(F.lit("message:"), F.lower("reason")))))
+    t = routed.where("reason is not null").select("record_index", "reason", e.alias("e"))
+    return t.select("record_index", "reason", F.split("e", ":")[0].alias("loc"), F.split("e", ":")[1].alias("type"))
+
+
+def validation_counts(routed: DataFrame) -> DataFrame:
+    """section, name, events: records by reason, errors by type and by path."""
+    d = error_details(routed)
+    by_reason = routed.where("reason is not null").select(F.lit("reason").alias("section"), F.col("reason").alias("name"))
+    return by_reason.unionByName(d.select(F.lit("type").alias("section"), F.col("type").alias("name"))).unionByName(d.select(F.lit("path").alias("section"), F.col("loc").alias("name"))).groupBy("section", "name").agg(F.count(F.lit(1)).alias("events"))
 
 
 def rejected_view(routed: DataFrame) -> DataFrame:
     """Rejected records without any of their values: index, names of populated fields, reason and error codes."""
-    fields = ("language", "message", "priority", "queue", "source_version", "subject", "ticket_type")
-    present = F.filter(F.array(*[F.when(F.col(c).isNotNull() & (utrim(F.col(c).cast("string")) != ""), F.lit(c)) for c in fields]), lambda x: x.isNotNull())
+    known = {n: v for n, v in fields_of(routed).items() if n in FIELDS}
+    present = F.array_compact(F.array(*[F.when(populated(*known[c]), F.lit(c)) for c in sorted(known)]))
     return routed.where("reason is not null").select("record_index", present.alias("present_canonical_fields"), "reason", "errors")
 
 

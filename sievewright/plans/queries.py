@@ -13,11 +13,14 @@ from sievewright.operators import calibration as P
 from sievewright.operators import classification as C
 from sievewright.operators import comparison as V
 from sievewright.operators import language as L
+from sievewright.operators import evaluation as E
+from sievewright.operators import features as X
 from sievewright.operators import linear as M
 from sievewright.operators import manifests as D
 from sievewright.operators import neighbours as N
 from sievewright.operators import records as R
 from sievewright.plans import curation
+from sievewright.plans import experiments as W
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -131,7 +134,7 @@ _text_query("norm_whitespace", T.normalize_whitespace, r"regexp_replace(regexp_r
 _text_query("norm_nfc", T.nfc, "nfc_normalize(text)")
 _text_query("mask_email", T.mask_emails, r"regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+', '<EMAIL>', 'g')")
 _text_query("mask_ipv4", T.mask_ipv4, r"regexp_replace(text, '(^|[^0-9A-Za-z_.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])($|[^0-9A-Za-z_.]|\.(?:$|[^0-9]))', '\1<IP_ADDRESS>\2', 'g')")
-_text_query("mask_phone", T.mask_phones, r"regexp_replace(text, '(^|[^0-9A-Za-z_])\([0-9]{3}\) ?[0-9]{3}[ -][0-9]{4}($|[^0-9A-Za-z_])', '\1<PHONE>\2', 'g')")
+_text_query("mask_phone", T.mask_phones, rf"regexp_replace(text, '(^|[^0-9A-Za-z_])(?:{'|'.join(T.PHONE_FORMS)})($|[^0-9A-Za-z_])', '\1<PHONE>\2', 'g')")
 
 
 @query()
@@ -183,8 +186,13 @@ def exact_dup_summary(spark, d):
 
 @query(f"SELECT doc_id, fingerprint || CASE WHEN r = 1 THEN '' ELSE ':' || (r - 1) END AS record_id FROM (SELECT *, row_number() OVER (PARTITION BY fingerprint ORDER BY doc_id) AS r FROM ({_FP}))")
 def record_ids(spark, d):
-    """Content digests; the n-th repeat gets the suffix :n.  Only ids and digests are shuffled, and the window spills."""
-    t = fingerprinted(spark, d).withColumn("n", F.row_number().over(Window.partitionBy("fingerprint").orderBy("record_index")) - 1)
+    """Content digests; the n-th repeat gets the suffix :n, numbered within ranges of indexes so that a hot text is no one task."""
+    t = fingerprinted(spark, d).withColumn("range", F.expr("record_index div 65536"))
+    sizes = t.groupBy("fingerprint", "range").agg(F.count(F.lit(1)).alias("here"))
+    before = Window.partitionBy("fingerprint").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("fingerprint", "range", F.coalesce(F.sum("here").over(before), F.lit(0)).alias("before"))
+    at = F.row_number().over(Window.partitionBy("fingerprint", "range").orderBy("record_index")) - 1
+    t = t.withColumn("at", at).join(offsets, ["fingerprint", "range"]).withColumn("n", F.col("at") + F.col("before"))
     return t.select(F.col("record_index").alias("doc_id"), F.concat("fingerprint", F.when(F.col("n") > 0, F.concat(F.lit(":"), F.col("n"))).otherwise("")).alias("record_id"))
 
 
@@ -282,11 +290,10 @@ def class_imbalance(spark, d):
 @query("SELECT CASE WHEN quality IS NULL THEN 'missing' ELSE 'valid' END AS state, count(*) AS records FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1")
 def label_states(spark, d):
     t = source_records(spark, d).select(F.col("type").alias("label"))
-    state = F.when(F.col("label").isNull(), "missing").when(T.utrim(F.col("label")) == "", "blank").otherwise("valid")
-    return t.groupBy(state.alias("state")).agg(F.count(F.lit(1)).alias("records"))
+    return t.groupBy(A.label_state(F.col("label")).alias("state")).agg(F.count(F.lit(1)).alias("records"))
 
 
-_STATS = ", ".join(f"min({c}) AS {c}_min, round(avg({c}), 6) AS {c}_mean, max({c}) AS {c}_max, " + ", ".join(f"quantile_disc({c}, {p}) AS {c}_p{int(p * 100)}" for p in (0.9, 0.95, 0.99)) for c in ("characters", "words"))
+_STATS = ", ".join(f"min({c}) AS {c}_min, round(avg({c}), 6) AS {c}_mean, max({c}) AS {c}_max, median({c}) AS {c}_median, " + ", ".join(f"quantile_disc({c}, {p}) AS {c}_p{int(p * 100)}" for p in (0.9, 0.95, 0.99)) for c in ("characters", "words"))
 
 
 @query(f"SELECT {_STATS} FROM (SELECT CAST(length(text) AS BIGINT) AS characters, CAST(len(regexp_extract_all(text, '\\S+')) AS BIGINT) AS words FROM documents)")
@@ -329,14 +336,38 @@ def split_integrity(spark, d):
 
 # --- features and models -----------------------------------------------------------------------------------
 
-_TF = r"SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(regexp_extract_all(regexp_replace(lower(text), '[^\p{L}\p{M}\p{N}_]+', ' ', 'g'), '[^ ]{2,}')) AS term FROM (" + _LABELLED + ")) GROUP BY ALL"
-_TFIDF = f"""SELECT doc_id, term, tf, df, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY doc_id)) AS weight FROM (SELECT doc_id, term, tf, df, ln((1.0 + (SELECT count(*) FROM ({_LABELLED}))) / (1.0 + df)) + 1 AS idf
- FROM (SELECT *, count(*) OVER (PARTITION BY term) AS df FROM ({_TF})) WHERE df >= 2)"""
+def _tf(rows: str) -> str:
+    """doc_id, term, tf of words and word pairs, as SQL."""
+    words = f"SELECT doc_id, regexp_extract_all(regexp_replace(lower(text), '[^\\p{{L}}\\p{{M}}\\p{{N}}_]+', ' ', 'g'), '[^ ]{{2,}}') AS w FROM ({rows})"
+    pairs = "list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1])"
+    return f"SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(list_concat(w, {pairs})) AS term FROM ({words})) GROUP BY ALL"
 
 
-def _weights(spark, d):
-    rows = labelled(spark, d)
-    return C.tfidf(C.term_counts(rows, "doc_id", "text"), "doc_id", rows.count())
+_PARTS = f"SELECT l.doc_id, l.text, l.label, s.split FROM ({_LABELLED}) l JOIN ({_SPLIT}) s USING (doc_id) WHERE l.label IS NOT NULL AND l.text IS NOT NULL"
+_TRAIN = f"SELECT doc_id, text FROM ({_PARTS}) WHERE split = 'train'"
+_VOCABULARY = f"SELECT term, count(*) AS df, ln((1.0 + (SELECT count(*) FROM ({_TRAIN}))) / (1.0 + count(*))) + 1 AS idf FROM ({_tf(_TRAIN)}) GROUP BY term HAVING count(*) >= 2"
+
+
+def _weighted(rows: str) -> str:
+    return f"SELECT doc_id, term, tf, df, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY doc_id)) AS weight FROM ({_tf(rows)}) JOIN ({_VOCABULARY}) USING (term)"
+
+
+_TFIDF = _weighted(_TRAIN)
+
+
+def parts(spark, d):
+    rows = labelled(spark, d).where("label is not null and text is not null").select("doc_id", "text", "label")
+    return C.stratified_split(rows, "label", "doc_id")
+
+
+def _vocabulary(spark, d):
+    train = parts(spark, d).where("split = 'train'")
+    return X.fit_vocabulary(X.term_counts(train, "doc_id", "text"), train.count())
+
+
+def _weights(spark, d, which="split = 'train'"):
+    rows = parts(spark, d).where(which)
+    return X.apply_vocabulary(X.term_counts(rows, "doc_id", "text"), _vocabulary(spark, d), "doc_id")
 
 
 @query(f"SELECT term, df, CAST(sum(tf) AS BIGINT) AS tf, round(sum(weight), 4) AS weight FROM ({_TFIDF}) GROUP BY term, df")
@@ -523,14 +554,32 @@ def length_group_errors(spark, d):
     return V.length_group_errors(t.select("length", (F.col("actual") == F.col("predicted")).alias("correct")))
 
 
-_BUCKET = "CASE WHEN doc_id % 5 = 0 THEN 'near_copy' WHEN doc_id % 5 < 3 THEN 'intermediate' ELSE 'novel' END"
-_BROWS = f"SELECT unnest(['all', {_BUCKET}]) AS bucket, actual, predicted FROM ({_PRED}) WHERE actual IS NOT NULL"
+_NEAR = f"""SELECT doc_id, nearest, cosine FROM (SELECT a.doc_id, b.doc_id AS nearest, round(sum(a.weight * b.weight), 6) AS cosine FROM ({_weighted(f"SELECT doc_id, text FROM ({_PARTS}) WHERE split = 'test'")}) a JOIN ({_TFIDF}) b USING (term) GROUP BY ALL)
+ WHERE cosine > 0 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, nearest) = 1"""
+_NEAR_ROWS = f"""SELECT p.doc_id, p.label, coalesce(n.cosine, 0) AS cosine, CASE WHEN coalesce(n.cosine, 0) >= 0.8 THEN 'near_copy' WHEN coalesce(n.cosine, 0) < 0.6 THEN 'novel' ELSE 'intermediate' END AS bucket, n.nearest, t.label AS nearest_label, coalesce(p.label = t.label, false) AS label_agrees
+ FROM ({_PARTS}) p LEFT JOIN ({_NEAR}) n USING (doc_id) LEFT JOIN ({_PARTS}) t ON t.doc_id = n.nearest WHERE p.split = 'test'"""
+
+
+@query(f"SELECT doc_id, label, round(cosine, 4) AS cosine, bucket, label_agrees FROM ({_NEAR_ROWS})")
+def nearest_training_rows(spark, d):
+    """Test records and what is nearest to them in training, by TF-IDF cosine."""
+    return _near_rows(spark, d).select("doc_id", "label", F.round("cosine", 4).alias("cosine"), "bucket", "label_agrees")
+
+
+def _near_rows(spark, d):
+    p = parts(spark, d)
+    matches = X.nearest_training(_weights(spark, d, "split = 'test'"), _weights(spark, d), "doc_id")
+    return X.nearest_rows(p.where("split = 'test'"), p.where("split = 'train'"), matches, "doc_id", "label")
+
+
+_BROWS = f"SELECT unnest(['all', bucket]) AS bucket, actual, predicted FROM ({_PRED}) JOIN (SELECT doc_id, bucket FROM ({_NEAR_ROWS})) USING (doc_id)"
 
 
 @query(f"""SELECT bucket, CAST(sum(support) AS BIGINT) AS records, round(CAST(sum(hit) AS DOUBLE) / sum(support), 6) AS accuracy, round(avg(2.0E0 * hit / (support + called)), 6) AS macro_f1 FROM (SELECT bucket, label, coalesce(support, 0) AS support, coalesce(hit, 0) AS hit, coalesce(called, 0) AS called
  FROM (SELECT bucket, actual AS label, count(*) AS support, count(*) FILTER (actual = predicted) AS hit FROM ({_BROWS}) GROUP BY ALL) FULL JOIN (SELECT bucket, predicted AS label, count(*) AS called FROM ({_BROWS}) GROUP BY ALL) USING (bucket, label)) GROUP BY bucket""")
 def similarity_bucket_scores(spark, d):
-    return V.bucket_scores(predictions(spark, d).where("actual is not null").select(F.expr(_BUCKET).alias("bucket"), "actual", "predicted"))
+    near = _near_rows(spark, d).select("doc_id", "bucket")
+    return V.bucket_scores(predictions(spark, d).join(near, "doc_id").select("bucket", "actual", "predicted"))
 
 
 @query(f"SELECT doc_id, array_to_string(list_filter([CASE WHEN predicted <> predicted_b THEN 'disagreement' END, CASE WHEN confidence < 0.6 THEN 'low_confidence' END, CASE WHEN predicted = predicted_b AND predicted <> actual THEN 'possible_label_issue' END], lambda x: x IS NOT NULL), ',') AS reasons FROM ({_PRED}) WHERE predicted <> predicted_b OR confidence < 0.6 OR (predicted = predicted_b AND predicted <> actual)")
@@ -550,32 +599,24 @@ def paired_significance(spark, d):
 # --- linear models ------------------------------------------------------------------------------------------------
 
 
-def _fitted(spark, d, loss: str):
+def _fitted(spark, d, name: str):
     """Trained on the training part with balanced weights; validation and test rows predicted."""
-    rows = labelled(spark, d).where("label is not null and text is not null")
-    split = C.stratified_split(rows, "label", "doc_id")
-    train = split.where("split = 'train'")
-    weights = C.tfidf(C.term_counts(train, "doc_id", "text"), "doc_id", train.count())
-    terms = M.number_terms(weights)
-    balance = {r.label: r.weight for r in C.class_weights(train, "label").collect()}
-    model = M.fit(M.sparse_rows(weights, train, "doc_id", "label", terms), terms, loss, class_weight=balance)
-    # the vocabulary and its idf are those of training
-    idf = weights.select("term", "idf").distinct()
-    rest = split.where("split <> 'train'")
-    raw = C.term_counts(rest, "doc_id", "text").join(idf, "term").withColumn("raw", F.col("tf") * F.col("idf"))
-    norm = raw.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
-    applied = raw.join(norm, "doc_id").select("doc_id", "term", (F.col("raw") / F.col("norm")).alias("weight"))
-    return M.predict(M.sparse_rows(applied, rest, "doc_id", "label", terms), model, "doc_id").join(rest.select("doc_id", "split"), "doc_id"), model
+    p = W.prepare(labelled(spark, d))
+    balance = E.balanced_weights({r.label: r["count"] for r in p.rows["train"].groupBy("label").count().collect()}, p.classes)
+    model = M.fit(p.rows["train"], p.terms, W.LOSSES[name], class_weight=balance)
+    parts_ = [M.predict(p.rows[s], model, "doc_id").withColumn("split", F.lit(s)) for s in ("validation", "test")]
+    W.release(p)  # what is cached served the fit
+    return parts_[0].unionByName(parts_[1])
 
 
 @query()
 def logistic_regression(spark, d):
-    return _fitted(spark, d, M.LOGISTIC)[0].select("doc_id", "split", "label", "predicted", F.round(F.array_max("scores"), 4).alias("confidence"))
+    return _fitted(spark, d, "logistic_regression").select("doc_id", "split", "label", "predicted", F.round(F.array_max("scores"), 4).alias("confidence"))
 
 
 @query()
 def linear_svm(spark, d):
-    return _fitted(spark, d, M.SQUARED_HINGE)[0].select("doc_id", "split", "label", "predicted", F.round(F.array_max("scores"), 4).alias("decision_score"))
+    return _fitted(spark, d, "linear_svm").select("doc_id", "split", "label", "predicted", F.round(F.array_max("scores"), 4).alias("decision_score"))
 
 
 # --- versions and the whole curation ---------------------------------------------------------------------------------
@@ -593,5 +634,5 @@ def dataset_digest(spark, d):
 @query()
 def curate_tickets(spark, d):
     """The whole curation of source records, accepted ones; the tests hold the curation of a small file against literal results."""
-    t = curation.annotate(source_records(spark, d)).where("reason is null")
-    return t.select("record_index", F.md5("message_masked").alias("message_md5"), "duplicate_of", F.col("status").alias("language_status"), "language_detected")
+    t, _ = curation.annotate(source_records(spark, d))
+    return t.select("record_index", F.md5("message_masked").alias("message_md5"), "duplicate_of", F.col("status").alias("language_status"), "language_detected", F.col("leakage.status").alias("leakage_status"))

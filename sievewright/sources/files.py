@@ -6,19 +6,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Header, quoted newlines and doubled quotes; a byte-order mark is dropped; empty cells are empty strings, not nulls."""
-    df = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', inferSchema=False, emptyValue="", encoding="UTF-8")
+def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Header, quoted newlines and doubled quotes; a byte-order mark is dropped; empty cells are empty strings, not nulls.
+
+    multi_line=False lets Spark split large files, for sources whose cells hold no newlines.
+    """
+    df = spark.read.csv(path, header=True, multiLine=multi_line, quote='"', escape='"', inferSchema=False, emptyValue="", encoding="UTF-8")
     return df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c.lstrip("﻿")) for c in df.columns])
 
 
 def read_json(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """A top-level array of objects; the named keys as strings, null where absent.  Anything but an array is an error."""
+    """A top-level array of objects; the named keys as strings, null where absent, and ``_types``, the JSON types of their values.  Anything but an array is an error."""
     whole = spark.read.option("singleVariantColumn", "v").option("multiLine", True).json(path)
     if whole.where("schema_of_variant(v) NOT LIKE 'ARRAY%'").limit(1).count():
         raise ValueError("JSON source must be an array of objects")
     each = spark.sql("SELECT e.value AS v FROM {whole} w, LATERAL variant_explode(w.v) e", whole=whole)
-    return each.select(*[F.expr(f"try_variant_get(v, '$.{c}', 'string')").alias(c) for c in columns])
+    types = F.to_json(F.create_map(*[x for c in columns for x in (F.lit(c), F.expr(f"schema_of_variant(try_variant_get(v, '$.{c}', 'variant'))"))]))
+    return each.select(*[F.expr(f"try_variant_get(v, '$.{c}', 'string')").alias(c) for c in columns], types.alias("_types"))
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -34,3 +38,10 @@ def read_records(spark: SparkSession, path: str, columns: list[str]) -> DataFram
     if suffix == "json":
         return read_json(spark, path, columns)
     raise ValueError(f"unsupported source suffix: .{suffix}")
+
+
+def load_records(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """Canonical records of a file: reader and mapping in one."""
+    from sievewright.operators.records import map_records
+
+    return map_records(read_records(spark, path, columns))

@@ -142,11 +142,13 @@ def test_curation_of_a_file_by_command(spark, tmp_path):
     accepted = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "out/accepted.jsonl")).collect()]
     assert [r["message"] for r in sorted(accepted, key=lambda r: r["record_index"])] == ["Call <PHONE>\nplease and thank you for the help with this"] * 2
     checks = {r["record_index"]: r["leakage_check"] for r in accepted}
-    assert checks[0]["fields"] == ["answer"] and checks[1]["duplicate_of"] == 0
+    assert checks[0]["issues"] == [{"type": "FUTURE_FIELD", "field": "answer"}] and checks[0]["status"] == "warning" and checks[1]["status"] == "clean"
+    assert checks[1]["grouping"]["exact_duplicate_group_id"] == 0 and checks[0]["grouping"]["exact_duplicate_group_id"] is None and checks[1]["unchecked_fields"] == []
     rejected = {r["record_index"]: r for r in (json.loads(x.value) for x in spark.read.text(str(tmp_path / "out/rejected.jsonl")).collect())}
     assert rejected[2]["reason"] == "EMPTY_MESSAGE" and rejected[3]["errors"] == ["priority:literal_error"] and "text here" not in json.dumps(rejected)
     report = json.loads((tmp_path / "out/data_quality_report.json").read_text())
-    assert report["dataset"] == {"accepted": 2, "records": 4, "rejected": 2} and report["pii"]["entities"] == {"phone": 2} and report["duplicates"]["duplicates"] == 1
+    assert report["dataset"] == {"accepted": 2, "acceptance_rate": 0.5, "records": 4, "rejected": 2} and report["pii"]["entities"] == {"phone": 2} and report["duplicates"]["exact"]["duplicates"] == 1
+    assert report["validation"]["path"] == {"message": 1, "priority": 1} and report["leakage"]["field"] == {"answer": 1} and report["version"]["dataset_version"].startswith("ds_")
     name = json.loads((tmp_path / "out/dataset_manifest.json").read_text())["dataset_version"]
     again = curation.curate_file(spark, str(tmp_path / "t.csv"))
     assert name == again.manifest["dataset_version"] and math.isclose(len(name), 15)

@@ -9,6 +9,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
+from sievewright.plans import more_queries  # noqa: F401  (registers its queries)
 from sievewright.plans import queries as Q
 
 SF = "/root/testdata/sf0.001"
