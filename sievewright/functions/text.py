@@ -48,15 +48,15 @@ def normalize_whitespace(c: Column) -> Column:
     return utrim(F.regexp_replace(c, r"\n{3,}", "\n\n"))
 
 
-def _replace_found(c: Column, pattern: str, shown) -> Column:
-    """The text with every match of the pattern replaced by ``shown(match)``: cut at the matches and joined again."""
+def _where(c: Column, has, f) -> Column:
+    """``f`` of the texts that pass a cheap test, others as they are; the text is bound to a variable and evaluated once."""
+    return F.transform(F.array(c), lambda t: F.when(has(t), f(t)).otherwise(t))[0]
 
-    def replaced(text: Column) -> Column:
-        between, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
-        joined = F.zip_with(between, F.transform(found, shown), lambda x, y: F.concat(x, F.coalesce(y, F.lit(""))))
-        return F.when(text.rlike(pattern), F.array_join(joined, "")).otherwise(text)
 
-    return F.transform(F.array(c), replaced)[0]  # bound to a variable: evaluated once
+def _replace_found(text: Column, pattern: str, shown) -> Column:
+    """The text with every match of the pattern replaced by ``shown(match)``: cut at the matches and joined again."""
+    between, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
+    return F.array_join(F.zip_with(between, F.transform(found, shown), lambda x, y: F.concat(x, F.coalesce(y, F.lit("")))), "")
 
 
 def url_tail(url: Column) -> Column:
@@ -76,23 +76,24 @@ def url_tail(url: Column) -> Column:
 
 
 def mask_urls(c: Column) -> Column:
-    return _replace_found(c, URL_PATTERN, lambda u: F.concat(F.lit(URL), F.substring(u, F.length(u) - url_tail(u) + 1, F.length(u))))
+    has = lambda t: t.rlike("[hH][tT][tT][pP][sS]?://|[wW][wW][wW][.]")
+    return _where(c, has, lambda t: _replace_found(t, URL_PATTERN, lambda u: F.concat(F.lit(URL), F.substring(u, F.length(u) - url_tail(u) + 1, F.length(u)))))
 
 
 def mask_emails(c: Column) -> Column:
-    return F.regexp_replace(c, EMAIL_PATTERN, EMAIL)
+    return _where(c, lambda t: t.contains("@"), lambda t: F.regexp_replace(t, EMAIL_PATTERN, EMAIL))
 
 
 def mask_ipv4(c: Column) -> Column:
-    return F.regexp_replace(c, IPV4_PATTERN, IP)
+    return _where(c, lambda t: t.rlike(r"[0-9]\.[0-9]"), lambda t: F.regexp_replace(t, IPV4_PATTERN, IP))
 
 
 def mask_phones(c: Column) -> Column:
-    return F.regexp_replace(c, PHONE_PATTERN, PHONE)
+    return _where(c, lambda t: t.rlike("[0-9]{3}"), lambda t: F.regexp_replace(t, PHONE_PATTERN, PHONE))
 
 
 def mask_accounts(c: Column) -> Column:
-    return F.regexp_replace(c, ACCOUNT_PATTERN, ACCOUNT)
+    return _where(c, lambda t: t.rlike("-[0-9]{5}"), lambda t: F.regexp_replace(t, ACCOUNT_PATTERN, ACCOUNT))
 
 
 def is_card(digits: Column) -> Column:
@@ -102,7 +103,7 @@ def is_card(digits: Column) -> Column:
 
 def mask_cards(c: Column) -> Column:
     """Only candidates that pass the check are masked."""
-    return _replace_found(c, CARD_PATTERN, lambda x: F.when(is_card(F.regexp_replace(x, "[^0-9]", "")), F.lit(CARD)).otherwise(x))
+    return _where(c, lambda t: t.rlike("[0-9](?:[ -]?[0-9]){12}"), lambda t: _replace_found(t, CARD_PATTERN, lambda x: F.when(is_card(F.regexp_replace(x, "[^0-9]", "")), F.lit(CARD)).otherwise(x)))
 
 
 def mask_pii(c: Column) -> Column:
