@@ -31,11 +31,11 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str, level: int = 3) -> DataFrame:
-    """Write ``df`` as Parquet (zstd of the given level) into the shared folder and return it read back: this cuts lineage, and a lost executor loses nothing."""
+def materialize(df: DataFrame, name: str, level: int = 3, page_bytes: int = 1 << 20) -> DataFrame:
+    """Write ``df`` as Parquet (zstd of the given level, pages of about so many bytes, each compressed by itself) into the shared folder and return it read back: this cuts lineage, and a lost executor loses nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", str(level)).parquet(path)
+    df.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", str(level)).option("parquet.page.size", str(page_bytes)).parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._sievewright_path = path
     return back

@@ -26,8 +26,8 @@ from .common import buffers, materialize, read_table, slices
 
 UNIT = 64
 RATE, OUT_RATE = 8000, 16000
-#: Level of zstd under both stored columns.
-LEVEL = 9
+#: Level of zstd under both stored columns, and bytes of a page.
+LEVEL, PAGE_BYTES = 12, 8 << 20
 #: WAVE format tags (fixed values of the RIFF registry).
 TAGS = {"alaw": 6, "mulaw": 7, "ima": 0x11}
 CODECS = ("mulaw", "alaw", "ima")
@@ -212,7 +212,7 @@ def read_pcm(sound: DataFrame) -> DataFrame:
 
 
 def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = materialize(encode_media(read_table(spark, sf_dir, "documents")), "media", LEVEL)
-    sound = materialize(decode_media(stored), "pcm", LEVEL)
+    stored = materialize(encode_media(read_table(spark, sf_dir, "documents")), "media", LEVEL, PAGE_BYTES)
+    sound = materialize(decode_media(stored), "pcm", LEVEL, PAGE_BYTES)
     # what is said of the PCM is taken from what was stored
     return read_pcm(sound).withColumn("feature", F.concat("feature", F.lit(";pcm16k_crc32="), F.col("pcm16k_crc32").cast("string"))).drop("pcm16k_crc32")

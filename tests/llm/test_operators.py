@@ -434,7 +434,7 @@ def test_toxicity_restores_long_tokens_and_spaced_sentences():
 
 def test_media_query_stores_the_pcm(spark, tmp_path, monkeypatch):
     stored, write = {}, media.materialize
-    monkeypatch.setattr(media, "materialize", lambda df, name, level: stored.setdefault(name, write(df, name, level)))
+    monkeypatch.setattr(media, "materialize", lambda df, name, *how: stored.setdefault(name, write(df, name, *how)))
     spark.createDataFrame([(1, "some text " * 30), (2, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     out = media.op3_media_columns(spark, str(tmp_path))
     pcm = by_id(stored["pcm"])
