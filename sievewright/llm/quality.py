@@ -32,7 +32,7 @@ CHI2_KEEP = 6.626
 CUTOFF = 40.9
 LEAST_ROWS = 60
 #: Steps end when no log determinant moves by more than SETTLED; after MOST_STEPS a warning says that one still does.
-MOST_STEPS, SETTLED = 40, 1e-4
+MOST_STEPS, SETTLED = 12, 0.02
 BINS = 100
 #: Least standard deviations: statistics that are zero for most texts must not make tiny amounts look far.
 FLOORS = (0.30, 0.08, 0.45, 0.45, 0.06)
