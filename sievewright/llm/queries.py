@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .compaction import op11_compaction
 from .dedup import op6_minhash_dedup
 from .language import op2_language_id
 from .lm import op10_lm_scoring
@@ -12,9 +13,10 @@ from .quality import op4_quality_outliers
 from .substrings import op9_suffix_dedup
 from .tokencounts import op1_token_counts
 from .toxicity import op7_toxicity
+from .variants import op13_spelling_variants
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_counts, op2_language_id, op3_media_columns, op4_quality_outliers, op5_packing, op6_minhash_dedup, op7_toxicity, op8_mixing, op9_suffix_dedup, op10_lm_scoring)
+    for f in (op1_token_counts, op2_language_id, op3_media_columns, op4_quality_outliers, op5_packing, op6_minhash_dedup, op7_toxicity, op8_mixing, op9_suffix_dedup, op10_lm_scoring, op11_compaction, op13_spelling_variants)
 }
 ORACLE_SQL: dict[str, str] = {}
