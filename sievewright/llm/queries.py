@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .compaction import op11_compaction
 from .dedup import op6_minhash_dedup
+from .edits import op12_edit_fingerprints
 from .language import op2_language_id
 from .lm import op10_lm_scoring
 from .media import op3_media_columns
@@ -17,6 +18,6 @@ from .variants import op13_spelling_variants
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_counts, op2_language_id, op3_media_columns, op4_quality_outliers, op5_packing, op6_minhash_dedup, op7_toxicity, op8_mixing, op9_suffix_dedup, op10_lm_scoring, op11_compaction, op13_spelling_variants)
+    for f in (op1_token_counts, op2_language_id, op3_media_columns, op4_quality_outliers, op5_packing, op6_minhash_dedup, op7_toxicity, op8_mixing, op9_suffix_dedup, op10_lm_scoring, op11_compaction, op12_edit_fingerprints, op13_spelling_variants)
 }
 ORACLE_SQL: dict[str, str] = {}
