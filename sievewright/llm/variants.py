@@ -72,23 +72,23 @@ def near_words(counts: DataFrame) -> DataFrame:
     whole = counts.select("word", "n", anagram_key(F.col("word")).alias("key"), F.char_length("word").alias("m"))
     letters = F.array_distinct(F.split("word", "", -1))
     less = whole.select("word", "n", "key", "m", F.explode(letters).alias("letter")).where(F.col("letter") != "")
-    less = less.select("word", "n", F.pmod(F.col("key") - _value(F.col("letter")), F.lit(PRIME)).alias("key"), (F.col("m") - 1).alias("m"), "letter")
+    less = less.select("word", "n", F.pmod(F.col("key") - _value(F.col("letter")), F.lit(PRIME)).alias("key"), (F.col("m") - 1).alias("m"))
     half = F.floor((F.col("m") + 1) / 2).cast("int")
-    sides = F.array(F.struct(F.lit(0).alias("side"), F.substring("word", F.lit(1), half).alias("part")), F.struct(F.lit(1).alias("side"), F.expr("right(word, int(floor((m + 1) / 2)))").alias("part")))
-    on = ["key", "m", "side", "part"]
 
-    def sided(df: DataFrame, *more: str) -> DataFrame:
-        return df.select("word", "n", "key", "m", *more, F.explode(sides).alias("s")).select("word", "n", "key", "m", *more, "s.side", "s.part")
-
-    def renamed(df: DataFrame) -> DataFrame:
-        return df.withColumnsRenamed({"word": "near", "n": "near_n", "letter": "other"})
-
-    first = F.col("side") == 0
-    apart = F.substring("word", F.lit(1), half) != F.substring("near", F.lit(1), half)
-    verified = F.levenshtein("word", "near", 1) == 1
-    exchanged = sided(less, "letter").join(renamed(sided(less, "letter")), on).where((F.col("letter") != F.col("other")) & (F.col("word") < F.col("near")))
-    removed = sided(less).join(renamed(sided(whole)), on)
-    pairs = exchanged.select("word", "n", "near", "near_n", "side", "m").unionByName(removed.select("word", "n", "near", "near_n", "side", "m")).where((first | apart) & verified)
+    def dealt(df: DataFrame) -> DataFrame:
+        """(at, word, n): a row for each half; key, length and half in one number, whose last bit is the side.  Different ones that share a number are told apart when letters are compared."""
+        parts = F.array(F.substring("word", F.lit(1), half), F.expr("right(word, int(floor((m + 1) / 2)))"))
+        rows = df.select("word", "n", "key", "m", F.posexplode(parts).alias("side", "part"))
+        return rows.select(F.xxhash64("key", "m", "part").bitwiseAND(F.lit(-2)).bitwiseOR(F.col("side").cast("long")).alias("at"), "word", "n").repartition("at")
+
+    # dealt out once: the same exchange serves both sides of the one join and a side of the other
+    short, full = dealt(less), dealt(whole)
+    other = ["at", F.col("word").alias("near"), F.col("n").alias("near_n")]
+    shared = F.floor(F.char_length("word") / 2).cast("int")  # letters of a half, from the length of the one that has lost a letter
+    first = F.col("at").bitwiseAND(F.lit(1)) == 0
+    apart = F.substring("word", F.lit(1), shared) != F.substring("near", F.lit(1), shared)
+    met = short.join(short.select(*other), "at").where(F.col("word") < F.col("near")).unionByName(short.join(full.select(*other), "at"))
+    pairs = met.where((first | apart) & (F.levenshtein("word", "near", 1) == 1))
     both = F.array(F.struct("word", "n", "near", "near_n"), F.struct(F.col("near").alias("word"), F.col("near_n").alias("n"), F.col("word").alias("near"), F.col("n").alias("near_n")))
     return pairs.select(F.explode(both).alias("p")).select("p.*")
 
