@@ -16,7 +16,7 @@ Near texts are found by bands: digits of several samples are a join key, texts t
 these are verified by all their digits.
 
 Null texts are empty texts, whose fingerprints are equal.  The next text is that of the next row in descending order of id
-(rows without an id last), then of text; after the last comes the first, and a single row follows itself.  Rows that repeat an id are rows
+(rows without an id last), then of a hash of the text; after the last comes the first, and a single row follows itself.  Rows that repeat an id are rows
 of their own.  Texts of any length are walked whole.  Columns other than id and text do not matter.  An empty table gives no rows.
 """
 
@@ -180,8 +180,8 @@ def against_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Rows are sorted by ranges of ids; each task answers its rows but the last and keeps aside the begin and the end of its
     range, and these few are joined by the numbers of their ranges.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    order = [F.desc_nulls_last("id"), F.desc("text")]
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("hash", F.xxhash64("text"))
+    order = [F.desc_nulls_last("id"), F.desc("hash")]  # what is sampled for the ranges is two numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e, part, held, first = Embedding(), TaskContext.get().partitionId(), None, None
@@ -207,7 +207,7 @@ def against_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield aside("last", held)
 
     names = [*[c.split()[0] for c in SCHEMA.split(", ")], "which", "text", "part"]
-    done = materialize(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, f"{SCHEMA}, which string, text string, part long"), "edits")
+    done = materialize(rows.repartitionByRange(*order).sortWithinPartitions(*order, F.desc("text")).drop("hash").mapInArrow(run, f"{SCHEMA}, which string, text string, part long"), "edits")
     kept = done.where("which is not null")
     numbers = sorted(r.part for r in kept.where("which = 'first'").select("part").collect())  # one for each task
     if not numbers:
@@ -244,10 +244,10 @@ def search(fingerprints_: DataFrame, queries: DataFrame, least: float = LEAST) -
     At a likeness of 0.8 a band agrees with a probability of 0.43, all 64 differ with one of 10**-15.
     """
     def banded(df: DataFrame, name: str) -> DataFrame:
-        return df.select("fingerprint").distinct().select(F.col("fingerprint").alias(name), F.explode(bands()).alias("band"))
+        return df.select("fingerprint").distinct().withColumn("band", F.explode(bands())).withColumnRenamed("fingerprint", name)
 
     met = banded(queries, "fingerprint").join(banded(fingerprints_, "near"), "band").where("fingerprint != near")
-    first = F.array_min(F.filter(F.arrays_zip(bands("fingerprint").alias("a"), bands("near").alias("b")), lambda x: x["a"] == x["b"])["a"])
+    first = F.array_min(F.zip_with(bands("fingerprint"), bands("near"), lambda a, b: F.when(a == b, a)))
     return met.where(F.col("band") == first).select("fingerprint", "near", equal_share("fingerprint", "near").alias("likeness")).where(F.col("likeness") >= least)
 
 
