@@ -41,7 +41,8 @@ LOOKALIKES = {
 SEPARATORS = frozenset(" .-_*·~^'\"#/\\,:;")
 COST_LOOKALIKE, COST_SEPARATOR, COST_REPEAT, COST_DOUBLE, COST_TWICE = 0.5, 0.3, 0.4, 1.0, 6.0
 
-SPACED = re.compile(r"(?<!\S)\S(?:[ .\-_*·]{1,2}\S){3,}(?!\S)")
+#: Single characters set apart by one to five marks or blanks.  A mark is no character of a run, so a run can be parted in one way only and is found in one pass.
+SPACED = re.compile(r"(?<!\S)[^\s.\-_*·](?:[ .\-_*·]{1,5}[^\s.\-_*·]){3,}(?!\S)")
 ODD = re.compile(r"(?=.*[^\W\d_])(?:.*[0-9@$!|+(<€£¡*.\-_·~^#])|.*([^\W\d_])\1\1", re.S)
 EDGE = "\"'.,;:!?()[]{}<>%&#*|-_/\\`~"
 
