@@ -41,12 +41,12 @@ def split_order(seed: int, key: str) -> Column:
 def stratified_split(records: DataFrame, label: str, key: str, seed: int = 42, train: float = 0.7, validation: float = 0.15) -> DataFrame:
     """Adds split: within each class, records in hash order; floor(n * train) train, floor(n * validation) validation, rest test.
 
-    Instead of numbering a class's rows in one task, rows are numbered within 4096 hash ranges, whose sizes give the offsets.
+    Records without a label are a class of their own.  Instead of numbering a class's rows in one task, rows are numbered within 4096 hash ranges, whose sizes give the offsets.
     """
     hashed = records.withColumn("_order", split_order(seed, key)).withColumn("_bin", F.substring("_order", 1, 3))
     sizes = hashed.groupBy(label, "_bin").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select(label, "_bin", F.coalesce(F.sum("_n").over(Window.partitionBy(label).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.sum("_n").over(Window.partitionBy(label)).alias("_total"))
-    ranked = hashed.withColumn("_r", F.row_number().over(Window.partitionBy(label, "_bin").orderBy("_order"))).join(offsets, [label, "_bin"])
+    ranked = hashed.withColumn("_r", F.row_number().over(Window.partitionBy(label, "_bin").orderBy("_order"))).join(offsets.withColumnsRenamed({label: "_label", "_bin": "_of"}), F.col(label).eqNullSafe(F.col("_label")) & (F.col("_bin") == F.col("_of")))
     at = F.col("_before") + F.col("_r")
     first, second = F.floor(F.col("_total") * train), F.floor(F.col("_total") * validation)
     return ranked.withColumn("split", F.when(at <= first, "train").when(at <= first + second, "validation").otherwise("test")).select(*records.columns, "split")

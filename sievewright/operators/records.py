@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievewright.functions.text import utrim
+from sievewright.functions.text import replace_found, utrim
 from sievewright.operators.leakage import fields_of, populated
 
 PRIORITIES = ("low", "medium", "high")
@@ -37,11 +37,17 @@ def map_records(source: DataFrame, tags: int = 8, keep_source: bool = False) ->
     return source.select(*kept, *[v.alias(k) for k, v in out.items()], *raw)
 
 
+def whole_digits(c: Column) -> Column:
+    """Digits, signed digits, digits set off by underscores and integral decimals as the shortest decimal text of that number, of any length; else null."""
+    t = F.regexp_replace(utrim(c.cast("string")), r"^([+-]?[0-9]+)\.0+$", "$1")
+    t = F.when(t.rlike(r"^[+-]?[0-9]+(?:_[0-9]+)*$"), F.replace(t, F.lit("_")))
+    t = F.regexp_replace(F.regexp_replace(t, r"^\+", ""), r"^(-?)0+(?=[0-9])", "$1")
+    return F.when(t == "-0", "0").otherwise(t)
+
+
 def whole_number(c: Column) -> Column:
-    """Digits, signed digits, digits set off by underscores and integral decimals to int; else null."""
-    t = F.regexp_replace(utrim(c.cast("string")), r"^([+-]?\d+)\.0+$", "$1")
-    t = F.when(t.rlike(r"^[+-]?\d+(?:_\d+)+$"), F.replace(t, F.lit("_"))).otherwise(t)
-    return F.when(t.rlike(r"^[+-]?\d{1,10}$"), t.try_cast("int"))
+    """The number of :func:`whole_digits` as a decimal; one of over 38 digits is null, though no error."""
+    return whole_digits(c).try_cast("decimal(38,0)")
 
 
 def schema_errors(records: DataFrame) -> DataFrame:
@@ -61,7 +67,7 @@ def schema_errors(records: DataFrame) -> DataFrame:
     version = F.when(kind("source_version") == "BOOLEAN", F.lit("1")).otherwise(F.col("source_version"))
     container = F.coalesce(kind("source_version").rlike("^(ARRAY|OBJECT)"), F.lit(False))
     fraction = version.rlike(r"^[+-]?\d+\.\d*[1-9]\d*$") & F.coalesce(kind("source_version") != "STRING", F.lit(False))
-    checks.append(F.when(version.isNull() | container, F.lit("source_version:int_type")).when(fraction, F.lit("source_version:int_from_float")).when(whole_number(version).isNull(), F.lit("source_version:int_parsing")))
+    checks.append(F.when(version.isNull() | container, F.lit("source_version:int_type")).when(fraction, F.lit("source_version:int_from_float")).when(whole_digits(version).isNull(), F.lit("source_version:int_parsing")))
     return records.withColumn("errors", F.filter(F.array(*checks), lambda x: x.isNotNull()))
 
 
@@ -95,7 +101,40 @@ def rejected_view(routed: DataFrame) -> DataFrame:
 def exact_duplicates(records: DataFrame, key: str = "fingerprint", index: str = "record_index") -> DataFrame:
     """Adds duplicate_of, the first index with the same key; null for the first.
 
-    A map-side minimum per key and a join, so that a key that very many records share is split over tasks.
+    A map-side minimum per key, of which only keys of several records come back to them; where very many records share a
+    key, the adaptive plan splits the join.
+    """
+    first = records.groupBy(key).agg(F.min(index).alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    return records.join(first, key, "left").withColumn("duplicate_of", F.when(F.col("_first") < F.col(index), F.col("_first"))).drop("_first")
+
+
+def _json_text(c: Column) -> Column:
+    """A JSON string in ASCII: other characters as escapes of four lower-case hex digits, by UTF-16 unit; null stays null in JSON."""
+    plain = F.to_json(F.struct(c.alias("v")), {"ignoreNullFields": "false", "writeNonAsciiCharacterAsCodePoint": "true"})
+    value = F.replace(F.substring(plain, F.lit(6), F.length(plain) - 6), F.lit("\x7f"), F.lit("\\u007f"))
+    escapes = r"(?<!\\)(?:\\\\)*\\u[0-9A-F]{4}"
+    return F.transform(F.array(value), lambda v: F.when(v.contains("\\u"), replace_found(v, escapes, F.lower)).otherwise(v))[0]
+
+
+def content_json(records: DataFrame) -> Column:
+    """The eight canonical fields as one JSON text: keys in alphabetical order, a blank after colons and commas, ASCII only."""
+    version = F.coalesce(whole_digits(F.col("source_version")), F.lit("null"))
+    tags = F.concat(F.lit("["), F.array_join(F.transform("tags", _json_text), ", "), F.lit("]"))
+    shown = {c: _json_text(F.col(c).cast("string")) for c in FIELDS if c not in ("source_version", "tags")} | {"source_version": version, "tags": F.coalesce(tags, F.lit("null"))}
+    return F.concat(F.lit("{"), F.concat_ws(", ", *[F.concat(F.lit(f'"{c}": '), shown[c]) for c in sorted(shown)]), F.lit("}"))
+
+
+def record_ids(records: DataFrame, index: str = "record_index", stretch: int = 65536) -> DataFrame:
+    """Adds record_id, a digest of a record's content; the n-th repeat of the same content gets :n.
+
+    Repeats are numbered within stretches of indexes whose sizes give the offsets, so that content that very many records
+    share is no one task.
     """
-    first = records.groupBy(key).agg(F.min(index).alias("_first"))
-    return records.join(first, key).withColumn("duplicate_of", F.when(F.col("_first") < F.col(index), F.col("_first"))).drop("_first")
+    t = records.withColumns({"_digest": F.sha2(content_json(records), 256), "_stretch": F.floor(F.col(index) / stretch)})
+    sizes = t.groupBy("_digest", "_stretch").agg(F.count(F.lit(1)).alias("_here"))
+    before = Window.partitionBy("_digest").orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_digest", "_stretch", F.coalesce(F.sum("_here").over(before), F.lit(0)).alias("_before"))
+    at = F.row_number().over(Window.partitionBy("_digest", "_stretch").orderBy(index)) - 1
+    n = F.col("_at") + F.col("_before")
+    t = t.withColumn("_at", at).join(offsets, ["_digest", "_stretch"])
+    return t.withColumn("record_id", F.concat(F.lit("record:"), "_digest", F.when(n > 0, F.concat(F.lit(":"), n)).otherwise(""))).select(*records.columns, "record_id")

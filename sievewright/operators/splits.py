@@ -30,7 +30,11 @@ def numbered(records: DataFrame, key: str, seed: int, within: list[str] | None =
     before = Window.partitionBy(*by).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*by, "_bin", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     rank = F.row_number().over(Window.partitionBy(*by, "_bin").orderBy("_order", key))
-    return hashed.withColumn("_r", rank).join(offsets, [*by, "_bin"]).select(*records.columns, (F.col("_before") + F.col("_r")).alias("_at"))
+    same = F.col("_bin") == F.col("_of")
+    for c in by:  # records without a value belong together, too
+        same = same & F.col(c).eqNullSafe(F.col(f"_own_{c}"))
+    offsets = offsets.withColumnsRenamed({"_bin": "_of", **{c: f"_own_{c}" for c in by}})
+    return hashed.withColumn("_r", rank).join(offsets, same).select(*records.columns, (F.col("_before") + F.col("_r")).alias("_at"))
 
 
 def random_split(records: DataFrame, key: str, seed: int = 42, train: float = 0.7, validation: float = 0.15) -> DataFrame:
@@ -52,8 +56,8 @@ def checked_split(records: DataFrame, label: str, key: str, seed: int = 42, trai
 
 def halves(records: DataFrame, label: str, key: str, seed: int = 42) -> DataFrame:
     """Adds half: calibration or threshold, within each class by hash order; an odd class gives its last record to the second."""
-    n = records.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    at = numbered(records, key, seed, [label]).join(F.broadcast(n), label)  # one row for each class
+    n = records.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_n"))
+    at = numbered(records, key, seed, [label]).join(F.broadcast(n), F.col(label).eqNullSafe(F.col("_label")))  # one row for each class
     return at.select(*records.columns, F.when(F.col("_at") <= F.floor(F.col("_n") / 2), "calibration").otherwise("threshold").alias("half"))
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sievewright.functions import text as T
@@ -86,6 +86,13 @@ def preprocess(accepted: DataFrame) -> DataFrame:
     return t.withColumns({"pii": T.mask_counts(both("clean"), both("masked")), "fingerprint": T.fingerprint(F.col("subject_masked"), F.col("message_masked"))})
 
 
+def change_counts() -> list:
+    """What normalisation and masking changed, for :func:`preprocess`'s result: counts by step over both fields, to be observed while the rows pass."""
+    by = [T.changes(F.col(c), F.col(f"{c}_clean"), F.col(f"{c}_masked")) for c in ("subject", "message")]
+    both = [F.sum(by[0][k] + by[1][k]).alias({"changed": "fields_changed", "masked": "fields_masked"}.get(k, k)) for k in by[0]]
+    return [F.count(F.lit(1)).alias("records"), F.sum(F.greatest(by[0]["changed"], by[1]["changed"])).alias("records_changed"), *both]
+
+
 def semantic_links(records: DataFrame, config: SemanticConfig, index: str = "record_index") -> DataFrame:
     """index, status and semantic_of: the most similar earlier record among the nearest ones over all that are no exact duplicates, where it reaches the threshold."""
     alone = records.where("duplicate_of is null").select(F.col(index).alias("i"), config.encode(T.semantic_text(F.col("subject_masked"), F.col("message_masked"))).alias("v"))
@@ -165,12 +172,14 @@ def accepted_view(t: DataFrame) -> DataFrame:
 def curate(source: DataFrame, config: CurationConfig = CurationConfig(), sources: list[dict[str, str]] | None = None) -> Curated:
     """Records with a ``record_index`` to accepted and rejected records, report and manifest."""
     t, rejected = annotate(source, config)
-    t = t.persist()
+    seen = Observation("preprocessing")
+    t = t.observe(seen, *change_counts()).persist()  # counted on the pass that fills the cache
     try:
         accepted = accepted_view(t)
         content = M.tree_digest(accepted, "record_index", F.sha2(F.to_json(F.struct(*sorted(c for c in accepted.columns if c != "record_index")), {"ignoreNullFields": "false"}), 256)).first().asDict()
         manifest = M.dataset_manifest(sources or [], M.canonical(config.snapshot()), content, VERSION)
-        found = report(t, rejected, {k: manifest[k] for k in ("dataset_version", "pipeline_version")})
+        changed = {k: v or 0 for k, v in seen.get.items()}
+        found = report(t, rejected, {k: manifest[k] for k in ("dataset_version", "pipeline_version")}, changed)
     finally:
         t.unpersist()
     return Curated(accepted, R.rejected_view(rejected), found, manifest)

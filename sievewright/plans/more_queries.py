@@ -1,128 +1,24 @@
-"""Further registered queries: literal cases of text rules, records, leakage, splits, features, evaluation and tokens, with oracles."""
+"""Further registered queries: records, labels, leakage, splits, features, evaluation and tokens, with oracles."""
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import functions as F
 
-from sievewright.functions import markup as U
 from sievewright.functions import text as T
 from sievewright.operators import audit as A
 from sievewright.operators import classification as C
 from sievewright.operators import evaluation as E
 from sievewright.operators import language as L
 from sievewright.operators import leakage as G
-from sievewright.operators import manifests as D
 from sievewright.operators import records as R
 from sievewright.operators import splits as S
 from sievewright.operators import tokens as K
 from sievewright.plans.queries import _DIST, _LABELLED, _LANG, _NAMES, _PARTS, _PRED, _SOURCE, _SPLIT, _weighted, _weights, labelled, parts, predictions, query, source_records, table
 
 
-def quoted(v) -> str:
-    """A literal in SQL; control characters by their numbers."""
-    if v is None:
-        return "NULL"
-    if isinstance(v, (int, float)):
-        return str(v)
-    pieces = [f"chr({ord(x)})" if len(x) == 1 and ord(x) < 32 else "'" + x.replace("'", "''") + "'" for x in re.split(r"([\x00-\x1f])", v) if x]
-    return " || ".join(pieces) or "''"
-
-
-def values(columns: str, rows: list[tuple]) -> str:
-    return f"SELECT * FROM (VALUES {', '.join('(' + ', '.join(map(quoted, r)) + ')' for r in rows)}) t({columns})"
-
-
-def cases(name: str, column, pairs: list[tuple]):
-    """A query that applies a column function to literal texts; the oracle holds the literal results."""
-
-    def run(spark, d):
-        t = spark.createDataFrame([(i, a) for i, (a, _) in enumerate(pairs)], "id int, text string")
-        return t.select("id", column(F.col("text")).alias("result"))
-
-    run.__name__ = name
-    return query(values("id, result", [(i, b) for i, (_, b) in enumerate(pairs)]))(run)
-
-
-# --- literal cases -----------------------------------------------------------------------------------------
-
-cases("mask_cases", T.mask_pii, [
-    ("call +49 170 1234567 now", "call <PHONE> now"), ("743 555 3824", "<PHONE>"), ("0123 4567890", "<PHONE>"), ("(743) 555-3824", "<PHONE>"), ("(743)555-3824", "(743)555-3824"), ("order 01234567890", "order 01234567890"),
-    ("ip10.0.0.1.", "ip<IP_ADDRESS>."), ("1.2.3.4.5 300.1.1.1", "1.2.3.4.5 300.1.1.1"), ("x4111 1111 1111 1111", "x<PAYMENT_CARD>"), ("4111-1111-1111-1112", "4111-1111-1111-1112"), ("0000 0000 0000 0000", "0000 0000 0000 0000"),
-    ("CUST-12345-X, Acc-99999 and cust-12", "CUST-12345-X, <ACCOUNT_ID> and cust-12"), ("<PHONE> 10.0.0.1", "<PHONE> <IP_ADDRESS>"), (None, None), ("", ""),
-])
-cases("url_cases", T.mask_urls, [
-    ("see http://a.b/x_(y).", "see <URL>."), ("https://a.com,https://b.com", "<URL>,<URL>"), ("(www.a.b/[c])!", "(<URL>)!"), ('"http://a.b"', '"<URL>"'), ("x@www.a.b", "x@www.a.b"), ("http://a.b/)(}", "<URL>}"), ("none", "none"), (None, None),
-])
-cases("email_cases", T.mask_emails, [("a@-b.com", "a@-b.com"), ("ref=j+k@e.co.uk", "ref=<EMAIL>"), ("a@b", "a@b"), ("a@b.co-", "a@b.co-"), ("A.b@C-d.Org!", "<EMAIL>!")])
-cases("markup_cases", T.markup_to_text, [
-    ("<body>x<caption>y</caption></body>", "\nxy\n"), ("a<br/>b", "a\n\nb"), ("<svg><title>t</title></svg>", "t"), ("<EMAIL> <timeout> a < b", "<EMAIL> <timeout> a < b"), ("<q1/>z", "<q1/>z"), ("<p>a &amp; b</p><script>x()</script>", "\na & b\n"),
-    ("café", "café"), ("<style>a<b>", ""), (None, None),
-])
-cases("visible_cases", lambda c: T.utrim(U.visible(c)) == "", [("<script>x</script>", False), ("<b> </b>", True), ("&nbsp;\x01", True), ("<!-- c -->", True), ("<img>", True), (" a ", False), ("", True)])
-cases("normalize_cases", lambda c: T.normalize_native(T.markup_to_text(c)), [
-    ("PAYMENT FAILED! Why?! don't E-102 v2.4.1 /api/payment C++", "PAYMENT FAILED! Why?! don't E-102 v2.4.1 /api/payment C++"), ("a\x00b\r\nc\rd", "ab\nc\nd"), ("wait...  what?? \n\n\n\n end ", "wait. what?\n\nend"),
-    ("Visit https://e.com/r. Mail j@e.com, <b>now</b>", "Visit <URL>. Mail <EMAIL>, now"), ("/o?id=1&ref=j@e.com", "/o?id=1&ref=<EMAIL>"),
-])
-cases("casefold_cases", lambda c: F.regexp_replace(U.casefold(T.utrim(c)), r"(?U)\s+", " "), [("STRASSE", "strasse"), ("Straße", "strasse"), (" A \t B ", "a b"), (None, None)])
-
-_RAW = [
-    # subject, body, type, queue, priority, language, version, tag_1, tag_2, answer; then subject, version, tags, reason, errors
-    (("  ", "hello", "Incident", "IT", "high", "en", " 52 ", "x", "nan", "done"), (None, 52, "x", None, "")),
-    (("Hi", "<script>x</script>", "", "IT", "low", "de", "52.0", " y ", "y", " "), ("Hi", 52, " y |y", None, "")),
-    (("Hi", "<b> </b>", "Change", "IT", "low", "de", "1_000", None, "", None), ("Hi", 1000, "", "EMPTY_MESSAGE", "")),
-    ((None, None, "Change", None, "HIGH", "de", "5.5", "NaN", "z", "a"), (None, None, "z", "SCHEMA_VALIDATION", "message:string_type,queue:string_type,priority:literal_error,source_version:int_parsing")),
-    (("s", "m", "Problem", "Q", "medium", "en", None, "a", "a", ""), ("s", None, "a|a", "SCHEMA_VALIDATION", "source_version:int_type")),
-    (("s", "\x01 ", "Problem", "Q", "medium", "en", "-5", None, None, None), ("s", -5, "", "EMPTY_MESSAGE", "")),
-]
-_RAW_COLUMNS = "subject body type queue priority language version tag_1 tag_2 answer".split()
-
-
-def _raw(spark):
-    return spark.createDataFrame([(i, *a) for i, (a, _) in enumerate(_RAW)], "record_index long, " + ", ".join(f"{c} string" for c in _RAW_COLUMNS))
-
-
-@query(values("record_index, subject, source_version, tags, reason, errors", [(i, *b) for i, (_, b) in enumerate(_RAW)]))
-def record_cases(spark, d):
-    """Mapping, coercion, tags, validation and routing of literal records."""
-    t = R.route(R.map_records(_raw(spark)), shown=U.visible("message"))
-    return t.select("record_index", "subject", R.whole_number(F.col("source_version")).alias("source_version"), F.array_join("tags", "|").alias("tags"), "reason", F.array_join("errors", ",").alias("errors"))
-
-
-@query(values("section, name, events", [("reason", "SCHEMA_VALIDATION", 2), ("reason", "EMPTY_MESSAGE", 2), ("type", "string_type", 2), ("type", "literal_error", 1), ("type", "int_parsing", 1), ("type", "int_type", 1), ("type", "empty_message", 2), ("path", "message", 3), ("path", "queue", 1), ("path", "priority", 1), ("path", "source_version", 2)]))
-def validation_count_cases(spark, d):
-    return R.validation_counts(R.route(R.map_records(_raw(spark)), shown=U.visible("message")))
-
-
-@query(values("record_index, status, issues, targets, identifiers, unchecked", [(0, "warning", "answer", "type", "IT", "ghost"), (1, "clean", "", "", "IT", "ghost"), (2, "clean", "", "type", "IT", "ghost"), (3, "warning", "answer", "type", None, "ghost"), (4, "clean", "", "type", "Q", "ghost"), (5, "clean", "", "type", "Q", "ghost")]))
-def leakage_cases(spark, d):
-    """Forbidden fields, targets, group identifiers and fields that are not there."""
-    t = G.check(_raw(spark), G.LeakageConfig(("answer", "ghost"), ("type",), (), ("queue",)))
-    k = F.col("leakage")
-    return t.select("record_index", k["status"].alias("status"), F.array_join(F.transform(k["issues"], lambda x: x["field"]), ",").alias("issues"), F.array_join(k["targets"]["target_fields"], ",").alias("targets"), F.element_at(k["grouping"]["identifiers"], F.lit("queue")).alias("identifiers"), F.array_join(k["unchecked_fields"], ",").alias("unchecked"))
-
-
-_VALUES = [({"b": [1, 2.5], "a": "é"}, '{"a":"é","b":[1,2.5]}'), ({"x": {"z", "y"}}, '{"x":["y","z"]}'), ([None, True, "é"], '[null,true,"é"]')]
-
-
-@query(values("id, json", [(i, b) for i, (_, b) in enumerate(_VALUES)]).replace("SELECT *", "SELECT id, json, sha256(json) AS digest"))
-def canonical_cases(spark, d):
-    return spark.createDataFrame([(i, D.canonical_json(v), D.digest(v)) for i, (v, _) in enumerate(_VALUES)], "id int, json string, digest string")
-
-
-_POLICY = [("answer", "never", "written after the fact"), ("message", "input", None), ("priority", "target", "may stand in for the target"), ("queue", "target", "may stand in for the target"), ("tags", "metadata", None), ("ticket_type", "target", None)]
-
-
-@query(values("field, use, risk", _POLICY))
-def field_policy(spark, d):
-    return spark.createDataFrame([(r["field"], r["use"], r["risk"]) for r in A.field_policy([f for f, _, _ in _POLICY], "ticket_type")], "field string, use string, risk string")
-
-
-@query("SELECT hourly_rate, round(hourly_rate / (rate * 3600) * 1000, 9) AS per_1000, round(hourly_rate / (rate * 3600) * 1000000, 6) AS per_1000000 FROM (VALUES (2.0E0, 50.0E0), (0.5E0, 1000.0E0)) t(hourly_rate, rate)")
-def serving_cost(spark, d):
-    rows = [E.cost(rate, hourly) for hourly, rate in ((2.0, 50.0), (0.5, 1000.0))]
-    return spark.createDataFrame([(r["hourly_rate"], round(r["per_1000"], 9), round(r["per_1000000"], 6)) for r in rows], "hourly_rate double, per_1000 double, per_1000000 double")
+def quoted(v: str) -> str:
+    """A literal in SQL."""
+    return "'" + v.replace("'", "''") + "'"
 
 
 # --- records, labels, language, leakage ----------------------------------------------------------------------
@@ -133,10 +29,13 @@ def error_details(spark, d):
     return R.error_details(R.route(R.map_records(source_records(spark, d)))).select("record_index", F.col("loc").alias("path"), "type")
 
 
-@query("SELECT doc_id, md5(source || chr(10) || chr(10) || trim(text, chr(32) || chr(9) || chr(10) || chr(13))) AS classified, md5(source || chr(10) || text) AS encoded FROM documents WHERE trim(text, chr(32) || chr(9) || chr(10) || chr(13)) <> '' AND source <> ''")
+_TRIMMED = "trim({}, chr(32) || chr(9) || chr(10) || chr(13))"
+
+
+@query(f"SELECT doc_id, md5(array_to_string(list_filter([s, t], lambda x: x IS NOT NULL AND x <> ''), chr(10) || chr(10))) AS classified, md5(coalesce(source, '') || chr(10) || text) AS encoded FROM (SELECT *, {_TRIMMED.format('source')} AS s, {_TRIMMED.format('text')} AS t FROM documents)")
 def joined_texts(spark, d):
-    """Subject and message as classifiers and as the encoder read them; the source stands for the subject."""
-    t = table(spark, d, "documents").where((T.utrim(F.col("text")) != "") & (F.col("source") != ""))
+    """Subject and message as classifiers and as the encoder read them, blank ones too; the source stands for the subject."""
+    t = table(spark, d, "documents")
     return t.select("doc_id", F.md5(T.joined_text(F.col("source"), F.col("text"))).alias("classified"), F.md5(T.semantic_text(F.col("source"), F.col("text"))).alias("encoded"))
 
 
@@ -180,10 +79,18 @@ def multilabel_distribution(spark, d):
     return A.multilabel_distribution(t, "labels")
 
 
-@query(values("id, state", [(0, "missing"), (1, "missing"), (2, "blank"), (3, "invalid"), (4, "valid")]))
+@query("SELECT doc_id, CASE WHEN len(labels) = 0 THEN 'missing' WHEN len(list_filter(labels, lambda x: trim(x) <> '')) = 0 THEN 'blank' WHEN len(list_filter(labels, lambda x: trim(x) = '')) > 0 THEN 'invalid' ELSE 'valid' END AS state FROM (SELECT doc_id, list_filter([lang, CASE WHEN quality = 0 THEN ' ' END, CASE WHEN toxic = 1 THEN 'Toxic' END], lambda x: x IS NOT NULL) AS labels FROM documents LEFT JOIN labels USING (doc_id))")
 def label_list_states(spark, d):
-    t = spark.createDataFrame([(0, None), (1, []), (2, [" ", None]), (3, ["a", ""]), (4, ["a", "b"])], "id int, labels array<string>")
-    return t.select("id", A.label_state(F.col("labels"), many=True).alias("state"))
+    """Lists of the language, a blank for poor quality, and toxicity."""
+    t = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left")
+    labels = F.array_compact(F.array("lang", F.when(F.col("quality") == 0, " "), F.when(F.col("toxic") == 1, "Toxic")))
+    return t.select("doc_id", A.label_state(labels, many=True).alias("state"))
+
+
+@query("SELECT doc_id, md5(CASE WHEN source IS NULL OR source = '' THEN '' ELSE source || chr(10) END || text) AS read_md5, length(text) AS n FROM documents")
+def language_texts(spark, d):
+    """What language detection reads; the source stands for the subject."""
+    return table(spark, d, "documents").select("doc_id", F.md5(T.language_text(F.col("source"), F.col("text"))).alias("read_md5"), F.length("text").cast("long").alias("n"))
 
 
 # --- splits --------------------------------------------------------------------------------------------------

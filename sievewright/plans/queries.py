@@ -184,16 +184,31 @@ def exact_dup_summary(spark, d):
     return t.agg(F.count(F.lit(1)).alias("evaluated"), F.count("duplicate_of").alias("duplicates"), F.countDistinct("duplicate_of").alias("originals"))
 
 
-@query(f"SELECT doc_id, fingerprint || CASE WHEN r = 1 THEN '' ELSE ':' || (r - 1) END AS record_id FROM (SELECT *, row_number() OVER (PARTITION BY fingerprint ORDER BY doc_id) AS r FROM ({_FP}))")
+_CHAR = "CASE WHEN c = '\"' THEN '\\\"' WHEN c = '\\' THEN '\\\\' WHEN c = chr(8) THEN '\\b' WHEN c = chr(9) THEN '\\t' WHEN c = chr(10) THEN '\\n' WHEN c = chr(12) THEN '\\f' WHEN c = chr(13) THEN '\\r' WHEN unicode(c) BETWEEN 32 AND 126 THEN c WHEN unicode(c) < 65536 THEN format('\\u{:04x}', unicode(c)) ELSE format('\\u{:04x}\\u{:04x}', 55296 + (unicode(c) - 65536) // 1024, 56320 + (unicode(c) - 65536) % 1024) END"
+
+
+def _json(x: str) -> str:
+    return f"coalesce('\"' || array_to_string(list_transform(string_split({x}, ''), lambda c: {_CHAR}), '') || '\"', 'null')"
+
+
+_CONTENT = f"SELECT record_index, sha256('{{\"language\": ' || {_json('language')} || ', \"message\": ' || {_json('body')} || ', \"priority\": ' || {_json('priority')} || ', \"queue\": ' || {_json('queue')} || ', \"source_version\": ' || version || ', \"subject\": null, \"tags\": [], \"ticket_type\": ' || {_json('type')} || '}}') AS digest FROM ({_SOURCE})"
+
+
+@query(f"SELECT record_index AS doc_id, 'record:' || digest || CASE WHEN r = 1 THEN '' ELSE ':' || (r - 1) END AS record_id FROM (SELECT *, row_number() OVER (PARTITION BY digest ORDER BY record_index) AS r FROM ({_CONTENT}))")
 def record_ids(spark, d):
-    """Content digests; the n-th repeat gets the suffix :n, numbered within ranges of indexes so that a hot text is no one task."""
-    t = fingerprinted(spark, d).withColumn("range", F.expr("record_index div 65536"))
-    sizes = t.groupBy("fingerprint", "range").agg(F.count(F.lit(1)).alias("here"))
-    before = Window.partitionBy("fingerprint").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("fingerprint", "range", F.coalesce(F.sum("here").over(before), F.lit(0)).alias("before"))
-    at = F.row_number().over(Window.partitionBy("fingerprint", "range").orderBy("record_index")) - 1
-    t = t.withColumn("at", at).join(offsets, ["fingerprint", "range"]).withColumn("n", F.col("at") + F.col("before"))
-    return t.select(F.col("record_index").alias("doc_id"), F.concat("fingerprint", F.when(F.col("n") > 0, F.concat(F.lit(":"), F.col("n"))).otherwise("")).alias("record_id"))
+    """Digests of the eight fields' JSON; the n-th repeat gets the suffix :n."""
+    return R.record_ids(R.map_records(source_records(spark, d))).select(F.col("record_index").alias("doc_id"), "record_id")
+
+
+_PIECES = "SELECT doc_id, text, regexp_replace(regexp_replace(regexp_replace(text, '!+', '!', 'g'), '[?]+', '?', 'g'), '[.]+', '.', 'g') AS t FROM documents"
+
+
+@query(f"SELECT count(*) AS records, count(*) FILTER (t <> text) AS changed, CAST(sum(length(text) - length(t)) AS BIGINT) AS characters_removed FROM ({_PIECES})")
+def punctuation_changes(spark, d):
+    """What one step of normalisation changed, by the counters that curation observes."""
+    t = table(spark, d, "documents").select("text", T.collapse_punctuation(F.col("text")).alias("clean"))
+    c = T.changes(F.col("text"), F.col("clean"), F.col("clean"))
+    return t.agg(F.count(F.lit(1)).alias("records"), F.sum(c["changed"]).alias("changed"), F.sum(c["characters_removed"]).alias("characters_removed"))
 
 
 @query("SELECT lang, count(*) AS records, count(*) - count(DISTINCT text) AS duplicates, CAST(sum(length(text)) AS BIGINT) AS characters FROM documents GROUP BY lang")
