@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sievewright.functions import text as T
+from sievewright.functions.languages import character_backend
 from sievewright.functions.markup import visible
 from sievewright.operators import language as L
 from sievewright.operators import leakage as G
@@ -53,7 +54,7 @@ class SemanticConfig:
 class CurationConfig:
     leakage: G.LeakageConfig = G.LeakageConfig()
     detect_language: bool = True
-    language_backend: Callable[[Column], Column] = L.stop_word_backend
+    language_backend: Callable[[Column], Column] = character_backend
     semantic: SemanticConfig | None = None
     columns: tuple[str, ...] = tuple(SOURCE_COLUMNS)
 
