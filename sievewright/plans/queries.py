@@ -620,7 +620,8 @@ def _fitted(spark, d, name: str):
     balance = E.balanced_weights({r.label: r["count"] for r in p.rows["train"].groupBy("label").count().collect()}, p.classes)
     model = M.fit(p.rows["train"], p.terms, W.LOSSES[name], class_weight=balance)
     parts_ = [M.predict(p.rows[s], model, "doc_id").withColumn("split", F.lit(s)) for s in ("validation", "test")]
-    W.release(p)  # what is cached served the fit
+    for frame in (p.weights["train"], p.rows["train"]):  # these served the fit; the result reads the others
+        frame.unpersist()
     return parts_[0].unionByName(parts_[1])
 
 

@@ -127,9 +127,12 @@ def test_baseline_is_stored_and_predicts_the_same(prepared, tmp_path):
 
 def test_distributed_fit_equals_local(prepared, monkeypatch):
     local = M.fit(prepared.rows["train"], prepared.terms, M.LOGISTIC)
-    monkeypatch.setattr(M, "MOST_LOCAL", 0)
-    far = M.fit(prepared.rows["train"], prepared.terms, M.LOGISTIC, tolerance=1e-3)
-    assert np.abs(local.coefficients - far.coefficients).max() < 0.01
+    for first, block in ((0, 250_000), (1, 300), (16, 100)):  # from nothing, from a part of the rows, from several blocks
+        monkeypatch.setattr(M, "FIRST_BLOCKS", first)
+        monkeypatch.setattr(M, "BLOCK_WEIGHTS", block)
+        monkeypatch.setattr(M, "STRETCH", 37 + block)
+        far = M.fit(prepared.rows["train"], prepared.terms, M.LOGISTIC, tolerance=1e-3)
+        assert np.abs(local.coefficients - far.coefficients).max() < 0.01
     monkeypatch.setattr(M, "MOST_COEFFICIENTS", 10)
     with pytest.raises(ValueError, match="min_df"):
         M.fit(prepared.rows["train"], prepared.terms, M.LOGISTIC)
