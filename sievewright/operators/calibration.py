@@ -116,3 +116,10 @@ def choose_calibration(before: dict[str, float], after: dict[str, float]) -> boo
 def decide(p: Column, threshold: float) -> Column:
     """accepted if the likeliest class has the threshold's probability or more, else needs_review."""
     return F.when(F.array_max(p) >= threshold, "accepted").otherwise("needs_review")
+
+
+def decide_by_policy(p: Column, policy: dict) -> Column:
+    """:func:`decide` with the threshold of a stored policy (status and threshold, as threshold selection gives them); refuses one that has selected none."""
+    if policy.get("status") != "selected" or policy.get("threshold") is None:
+        raise ValueError(f"no threshold is selected: {policy.get('status')}")
+    return decide(p, float(policy["threshold"]))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sievewright.functions import markup as U
 from sievewright.functions import text as T
 from sievewright.operators import audit as A
+from sievewright.operators import calibration as P
 from sievewright.operators import classification as C
 from sievewright.operators import evaluation as E
 from sievewright.operators import leakage as G
@@ -157,3 +158,12 @@ def test_curation_counts_what_normalisation_changed(spark):
     source = spark.createDataFrame([(i, s, b, "Incident", "IT", "high", "en", "1") for i, (s, b) in enumerate(rows)], "record_index long, subject string, body string, type string, queue string, priority string, language string, version string")
     got = curation.curate(source).report["preprocessing"]
     assert got == {"records": 4, "records_changed": 2, "fields_changed": 3, "urls": 1, "emails": 2, "fields_masked": 1, "characters_removed": sum(len(a) for a in ("Hi!!", rows[0][1], rows[2][1])) - sum(len(a) for a in ("Hi!", "see <URL> now", "mail <EMAIL> or <EMAIL>."))}
+
+
+def test_decisions_wait_for_a_selected_threshold(spark):
+    t = spark.createDataFrame([(0, [0.7, 0.3]), (1, [0.4, 0.6])], "id int, p array<double>")
+    got = t.select("id", P.decide_by_policy(F.col("p"), {"status": "selected", "threshold": 0.65}).alias("d")).orderBy("id").collect()
+    assert [r.d for r in got] == ["accepted", "needs_review"]
+    for policy in ({"status": "pending", "threshold": None}, {"status": "unreachable", "threshold": None}, {"status": "pending", "threshold": 0.5}, {"status": "selected", "threshold": None}, {}):
+        with pytest.raises(ValueError, match="no threshold"):
+            P.decide_by_policy(F.col("p"), policy)
