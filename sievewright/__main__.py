@@ -166,19 +166,17 @@ def run_calibration(spark, records, given) -> None:
 
 
 def run_benchmark(spark, records, given) -> None:
-    from pathlib import Path
-
     from sievewright.operators import evaluation
     from sievewright.plans import experiments
-    from sievewright.sources import artifacts
+    from sievewright.sources import artifacts, storage
 
-    models = {n: artifacts.read_model(f"{given.out}/{n}") for n in MODELS if Path(f"{given.out}/{n}/model.json").exists()}
+    models = {n: artifacts.read_model(f"{given.out}/{n}") for n in MODELS if storage.exists(f"{given.out}/{n}/model.json")}
     if given.step == "check" or not models:
         if not models:
             raise FileNotFoundError(f"no stored models under {given.out}; run train first")
         return
     texts = [r[0] or "" for r in records.select(given.text).limit(given.records).collect()]
-    features = artifacts.read_document(f"{given.out}/scorer.json") if Path(f"{given.out}/scorer.json").exists() else {}
+    features = artifacts.read_document(f"{given.out}/scorer.json") if storage.exists(f"{given.out}/scorer.json") else {}
     measured = {n: evaluation.measure(experiments.local_scorer(m, features.get("idf", {})), texts) for n, m in models.items()}
     sizes = {n: evaluation.stored_bytes([f"{given.out}/{n}/model.npz", f"{given.out}/{n}/model.json"])["total_bytes"] for n in models}
     rows = [{"model": n, **m, "bytes": sizes[n], **{k: v for k, v in (evaluation.cost(m["records_per_second"], given.hourly_rate) or {}).items() if k == "per_1000"}} for n, ms in measured.items() for m in ms]

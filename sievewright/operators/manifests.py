@@ -5,18 +5,18 @@ from __future__ import annotations
 import hashlib
 import json
 import math
-import os
-import tempfile
 import unicodedata
 from dataclasses import fields, is_dataclass
 from datetime import UTC, date, datetime
 from datetime import time as clock_time
 from enum import Enum
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievewright.sources import storage
+from sievewright.sources.storage import write_text
+
 #: Records under one inner digest, at each of LEVELS levels: 1024 ** 4 records and more.
 FAN, LEVELS = 1024, 4
 
@@ -83,13 +83,9 @@ def named(prefix: str, value) -> str:
     return f"{prefix}_{digest(value)[:12]}"
 
 
-def file_digest(path: str, block: int = 1 << 20) -> dict[str, str]:
-    """Base name and SHA-256 of a file's bytes, read in blocks."""
-    h = hashlib.sha256()
-    with open(path, "rb") as f:
-        while part := f.read(block):
-            h.update(part)
-    return {"name": Path(path).name, "sha256": h.hexdigest()}
+def file_digest(path: str) -> dict[str, str]:
+    """Base name and SHA-256 of a file's bytes, wherever it lies."""
+    return {"name": path.rstrip("/").rpartition("/")[2], "sha256": storage.sha256(path)}
 
 
 def tree_digest(records: DataFrame, index: str, record_digest: Column) -> DataFrame:
@@ -145,20 +141,5 @@ def sequential_digest(records: DataFrame, index: str, text: Column, tag: bytes =
 
 
 def write_json(value, path: str) -> None:
-    """Pretty and sorted, under a temporary name first, so that readers see the old file or the new one."""
-    text = json.dumps(canonical(value), sort_keys=True, indent=2, ensure_ascii=False, allow_nan=False) + "\n"
-    write_text(text, path)
-
-
-def write_text(text: str, path: str) -> None:
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    fd, temporary = tempfile.mkstemp(dir=Path(path).parent, prefix=f".{Path(path).name}.")
-    try:
-        with os.fdopen(fd, "w", encoding="utf-8") as f:
-            f.write(text)
-            f.flush()
-            os.fsync(f.fileno())
-        os.replace(temporary, path)
-    except BaseException:
-        Path(temporary).unlink(missing_ok=True)
-        raise
+    """Pretty and sorted; readers see the old file or the new one."""
+    write_text(json.dumps(canonical(value), sort_keys=True, indent=2, ensure_ascii=False, allow_nan=False) + "\n", path)

@@ -80,15 +80,17 @@ def length_analysis(tokens: DataFrame, length: str = "n_tokens") -> DataFrame:
 def write_dataset(folder: str, parts: dict[str, DataFrame], labels: LabelMapping, max_length: int, tokenizer: str, split_version: str) -> dict:
     """Token tables, label mapping and policy; read back, counted, and named by what they hold."""
     from sievewright.operators import manifests
+    from sievewright.sources import storage
 
     sizes = {}
-    for name, frame in parts.items():
-        frame.write.mode("overwrite").parquet(f"{folder}/{name}")
-        back = frame.sparkSession.read.parquet(f"{folder}/{name}")
-        sizes[name] = back.count()
-        if sizes[name] != frame.count() or back.where(F.size("input_ids") > max_length).limit(1).count():
-            raise ValueError(f"{name} read back differs from what was written")
-    made_of = {"split_version": split_version, "tokenizer": tokenizer, "max_length": max_length, "truncation": True, "padding": "dynamic", "labels": labels.order, "sizes": sizes}
-    manifest = {"dataset_version": manifests.named("tokens", made_of), **made_of}
-    manifests.write_json(manifest, f"{folder}/token_manifest.json")
+    with storage.together(folder) as staged:
+        for name, frame in parts.items():
+            frame.write.parquet(f"{staged}/{name}")
+            back = frame.sparkSession.read.parquet(f"{staged}/{name}")
+            sizes[name] = back.count()
+            if sizes[name] != frame.count() or back.where(F.size("input_ids") > max_length).limit(1).count():
+                raise ValueError(f"{name} read back differs from what was written")
+        made_of = {"split_version": split_version, "tokenizer": tokenizer, "max_length": max_length, "truncation": True, "padding": "dynamic", "labels": labels.order, "sizes": sizes}
+        manifest = {"dataset_version": manifests.named("tokens", made_of), **made_of}
+        manifests.write_json(manifest, f"{staged}/token_manifest.json")
     return manifest

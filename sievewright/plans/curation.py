@@ -21,6 +21,7 @@ from sievewright.operators import leakage as G
 from sievewright.operators import manifests as M
 from sievewright.operators import neighbours as N
 from sievewright.operators import records as R
+from sievewright.sources import storage
 from sievewright.sources.files import read_records
 from sievewright.sources.sinks import json_lines
 
@@ -200,8 +201,9 @@ def curate_file(spark: SparkSession, path: str, config: CurationConfig = Curatio
 
 
 def write(result: Curated, folder: str) -> None:
-    """accepted and rejected as JSON lines (folders), manifest and report as JSON files; other files in the folder stay."""
-    json_lines(result.accepted).write.mode("overwrite").text(f"{folder}/accepted.jsonl")
-    json_lines(result.rejected).write.mode("overwrite").text(f"{folder}/rejected.jsonl")
-    M.write_json(result.manifest, f"{folder}/dataset_manifest.json")
-    M.write_json(result.report, f"{folder}/data_quality_report.json")
+    """accepted and rejected as JSON lines (folders), manifest and report as JSON files, all four put in place together; other files in the folder stay."""
+    with storage.together(folder) as staged:
+        json_lines(result.accepted).write.text(f"{staged}/accepted.jsonl")
+        json_lines(result.rejected).write.text(f"{staged}/rejected.jsonl")
+        M.write_json(result.manifest, f"{staged}/dataset_manifest.json")
+        M.write_json(result.report, f"{staged}/data_quality_report.json")

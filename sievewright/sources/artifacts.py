@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import io
 import json
-from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievewright.operators import manifests
+from sievewright.sources import storage
 
 ACCEPTED = "record_index long, subject string, message string, ticket_type string, queue string, priority string, language string, source_version int, tags array<string>"
 CLASSIFIED = "record_id string, text string, label string"
@@ -64,7 +65,7 @@ def read_predictions(spark: SparkSession, path: str, fallback: str | None = None
 def read_document(path: str, required: tuple[str, ...] = ()) -> dict:
     """A JSON object that has the required keys."""
     try:
-        value = json.loads(Path(path).read_text(encoding="utf-8"))
+        value = json.loads(storage.read_text(path))
     except json.JSONDecodeError as e:
         raise ArtifactError(f"{path}: no JSON, line {e.lineno}") from e
     if not isinstance(value, dict) or (lacks := [k for k in required if k not in value]):
@@ -81,16 +82,18 @@ def read_quality_report(path: str) -> dict:
 
 
 def write_split(split: DataFrame, folder: str, key: str, label: str, seed: int, ratios: dict[str, float], dataset_version: str) -> dict:
-    """The parts by folder and their manifest, with a digest of each part's ids; read back and checked."""
-    split.write.mode("overwrite").partitionBy("split").parquet(f"{folder}/parts")
-    manifest = manifests.split_manifest(split, label, seed, ratios, dataset_version, key)
-    manifests.write_json(manifest, f"{folder}/split_manifest.json")
-    read_split(split.sparkSession, folder, key, label)
+    """The parts by folder and their manifest, with a digest of each part's ids; read back and checked, and only then put in place of what was there."""
+    with storage.together(folder) as staged:
+        split.write.partitionBy("split").parquet(f"{staged}/parts")
+        manifest = manifests.split_manifest(split, label, seed, ratios, dataset_version, key)
+        manifests.write_json(manifest, f"{staged}/split_manifest.json")
+        read_split(split.sparkSession, staged, key, label)
     return manifest
 
 
 def read_split(spark: SparkSession, folder: str, key: str, label: str) -> DataFrame:
     """A frozen split: its parts must have the sizes, classes and ids that the manifest tells."""
+    storage.recover(folder)
     manifest = read_document(f"{folder}/split_manifest.json", ("split_version", "seed", "ratios", "sizes", "classes", "ids", "dataset_version"))
     back = spark.read.parquet(f"{folder}/parts")
     now = manifests.split_manifest(back, label, manifest["seed"], manifest["ratios"], manifest["dataset_version"], key)
@@ -101,21 +104,23 @@ def read_split(spark: SparkSession, folder: str, key: str, label: str) -> DataFr
 
 def write_model(model, folder: str) -> dict:
     """Coefficients as numbers, names and settings as JSON; the name follows from the content."""
-    path = Path(folder)
-    path.mkdir(parents=True, exist_ok=True)
-    np.savez_compressed(path / "model.npz", coefficients=model.coefficients, intercepts=model.intercepts)
+    numbers = io.BytesIO()
+    np.savez_compressed(numbers, coefficients=model.coefficients, intercepts=model.intercepts)
     names = sorted(model.terms, key=model.terms.get)
     made_of = {"loss": model.loss, "classes": model.classes, "terms": names, "sums": [round(float(x), 9) for x in model.coefficients.sum(1)]}
     document = {"model_version": manifests.named("model", made_of), **made_of}
-    manifests.write_json(document, f"{folder}/model.json")
+    with storage.together(folder) as staged:
+        storage.write_bytes(numbers.getvalue(), f"{staged}/model.npz")
+        manifests.write_json(document, f"{staged}/model.json")
     return document
 
 
 def read_model(folder: str, loss: str | None = None):
     from sievewright.operators.linear import LinearModel
 
+    storage.recover(folder)
     d = read_document(f"{folder}/model.json", ("model_version", "loss", "classes", "terms"))
-    with np.load(Path(folder) / "model.npz") as z:
+    with np.load(io.BytesIO(storage.read_bytes(f"{folder}/model.npz"))) as z:
         coefficients, intercepts = z["coefficients"], z["intercepts"]
     if (loss and d["loss"] != loss) or coefficients.shape != (len(d["classes"]), len(d["terms"])) or not np.isfinite(coefficients).all():
         raise ArtifactError(f"{folder}: not a fitted {loss or 'linear'} model")
