@@ -22,7 +22,7 @@ from sievewright.operators import manifests as M
 from sievewright.operators import neighbours as N
 from sievewright.operators import records as R
 from sievewright.sources import storage
-from sievewright.sources.files import read_records
+from sievewright.sources.files import numbered
 from sievewright.sources.sinks import json_lines
 
 VERSION = "1"
@@ -190,10 +190,7 @@ def curate(source: DataFrame, config: CurationConfig = CurationConfig(), sources
 def curate_file(spark: SparkSession, path: str, config: CurationConfig = CurationConfig()) -> Curated:
     """A CSV or JSON file; rows are numbered in the order of the file."""
     try:
-        source = read_records(spark, path, list(config.columns))
-        numbered = source.withColumn("_at", F.monotonically_increasing_id())
-        # a file without splits (quoted newlines, one array) is one partition: the numbers have no gap
-        return curate(numbered.withColumnRenamed("_at", "record_index"), config, [M.file_digest(path)])
+        return curate(numbered(spark, path, list(config.columns)), config, [M.file_digest(path)])
     except (OSError, ValueError, CurationError):
         raise
     except Exception as e:
