@@ -64,7 +64,8 @@ def check(records: DataFrame, config: LeakageConfig = LeakageConfig(), index: st
     """Adds ``leakage``: status, issues, targets, grouping and unchecked fields.
 
     exact, semantic: columns with the index of an earlier record that this one repeats; a link that is not to an earlier
-    one, or a group identifier that is not a scalar, makes the check fail (and say nothing else).  Proxies count only where
+    one, or a group identifier that is not a scalar, makes the check fail (and say nothing else).  Identifiers are variants,
+    so that numbers, texts and truth values stay what they are.  Proxies count only where
     there are targets.  Unchecked are configured fields that the records do not have as columns, not those that are null.
     fields: what is looked at, by default every column.
     """
@@ -74,8 +75,8 @@ def check(records: DataFrame, config: LeakageConfig = LeakageConfig(), index: st
     scalar = (StringType, NumericType, BooleanType)
     groups = [c for c in config.groups if c in fields]
     odd = [c for c in groups if not isinstance(fields[c][1], scalar)]
-    pairs = [x for c in groups if c not in odd for x in (F.lit(c), F.when(populated(*fields[c]), fields[c][0].cast("string")))]
-    identifiers = F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull()) if pairs else F.create_map().cast("map<string,string>")
+    pairs = [x for c in groups if c not in odd for x in (F.lit(c), F.when(populated(*fields[c]), fields[c][0]).cast("variant"))]
+    identifiers = F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull()) if pairs else F.create_map().cast("map<string,variant>")
     link = lambda c: F.col(c).cast("long") if c else F.lit(None).cast("long")
     unchecked = sorted(set(config.forbidden + config.targets + config.groups + proxies) - set(fields))
     failed = ~(_link_ok(link(exact), F.col(index)) & _link_ok(link(semantic), F.col(index)))

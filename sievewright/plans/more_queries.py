@@ -54,7 +54,19 @@ def leakage_checks(spark, d):
     t = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left")
     t = G.check(t, G.LeakageConfig(("quality", "answer"), ("toxic",), (), ("lang",)), index="doc_id")
     k = F.col("leakage")
-    return t.select("doc_id", k["status"].alias("status"), F.array_join(k["targets"]["target_fields"], ",").alias("targets"), F.coalesce(F.element_at(k["grouping"]["identifiers"], F.lit("lang")), F.lit("")).alias("lang_id"), F.array_join(k["unchecked_fields"], ",").alias("unchecked"))
+    return t.select("doc_id", k["status"].alias("status"), F.array_join(k["targets"]["target_fields"], ",").alias("targets"), F.coalesce(F.try_variant_get(F.element_at(k["grouping"]["identifiers"], F.lit("lang")), "$", "string"), F.lit("")).alias("lang_id"), F.array_join(k["unchecked_fields"], ",").alias("unchecked"))
+
+
+_KINDS = "SELECT doc_id, doc_id % 7 AS seven, CAST(doc_id % 7 AS VARCHAR) AS named, n_chars > 500 AS long, CASE WHEN doc_id % 3 <> 0 THEN lang END AS lang FROM documents"
+
+
+@query(f"SELECT doc_id, '{{' || CASE WHEN lang IS NOT NULL THEN '\"lang\":\"' || lang || '\",' ELSE '' END || CASE WHEN long IS NOT NULL THEN '\"long\":' || long || ',' ELSE '' END || '\"named\":\"' || named || '\",\"seven\":' || seven || '}}' AS identifiers FROM ({_KINDS})")
+def leakage_identifiers(spark, d):
+    """Group identifiers keep their kinds: a number is not the text of its digits, and a truth value is neither."""
+    seven, t = F.col("doc_id") % 7, table(spark, d, "documents")
+    t = t.select("doc_id", seven.alias("seven"), seven.cast("string").alias("named"), (F.col("n_chars") > 500).alias("long"), F.when(F.col("doc_id") % 3 != 0, F.col("lang")).alias("lang"))
+    t = G.check(t, G.LeakageConfig((), (), (), ("seven", "named", "long", "lang")), index="doc_id")
+    return t.select("doc_id", F.to_json("leakage.grouping.identifiers").alias("identifiers"))
 
 
 @query("SELECT CASE WHEN first < doc_id THEN first END AS group_id, count(*) AS records FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS first FROM documents) GROUP BY 1")
