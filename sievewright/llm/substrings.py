@@ -255,21 +255,16 @@ def single_windows(rows: DataFrame) -> DataFrame:
 def repeated_runs(texts: DataFrame, hot_rows: int = HOT_ROWS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """doc_id, start, n of the windows that repeat earlier ones, written; the tables on the way are deleted."""
     table = materialize(run_table(texts), "runs")
-    by = Window.partitionBy("anchor")
-    ordered = by.orderBy("run", "doc_id", "start")
-    seen = table.where("not later").select("anchor", "run", "doc_id", "start", "meta")
-    seen = seen.withColumns({"before": F.lag("run").over(ordered), "lo": F.min("run").over(by), "hi": F.max("run").over(by), "all": F.count(F.lit(1)).over(by)}).where("`all` > 1")
-    seen = seen.withColumn("lead", F.first(F.struct("doc_id", "start")).over(Window.partitionBy("anchor", "run").orderBy("doc_id", "start")))
-    seen = seen.withColumn("first", F.expr("before is null or before <> run")).where("not first or lo <> hi")
-    seen = seen.withColumn("rows", F.count_if("first").over(by))  # different runs of the anchor
-    found = materialize(
-        seen.select("anchor", "doc_id", "start", "meta", "rows", "first", F.expr("lead.doc_id <> doc_id or lead.start <> start").alias("later"))
-        .unionByName(table.where("later").select("anchor", "doc_id", "start", "meta", F.lit(0).cast("long").alias("rows"), F.lit(False).alias("first"), "later")),
-        "found",
-    )
-    drop_materialized(table)
-    whole = found.where("later").select("doc_id", "start", F.expr("cast(shiftright(meta, 8) as long)").alias("n"))
-    open_ = found.where("first").groupBy("doc_id", F.expr(f"start div {APART} * {APART}").alias("base")).agg(F.collect_list(F.struct("anchor", "start", "meta", "rows")).alias("runs"))
+    seen = table.where("not later")
+    # every different run with its earliest place, added up before the shuffle; then the different runs of every anchor
+    different = materialize(seen.groupBy("anchor", "run").agg(F.min(F.struct("doc_id", "start", "meta")).alias("lead"), F.count(F.lit(1)).alias("c")), "different")
+    mixed = different.groupBy("anchor").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    found = materialize(different.join(mixed, "anchor").select("anchor", "lead.doc_id", "lead.start", "lead.meta", "rows"), "found")
+    again = seen.join(different.where("c > 1").select("anchor", "run", "lead"), ["anchor", "run"]).where("lead.doc_id <> doc_id or lead.start <> start")
+    n = F.expr("cast(shiftright(meta, 8) as long)").alias("n")
+    whole = materialize(again.select("doc_id", "start", n).unionByName(table.where("later").select("doc_id", "start", n)), "whole")
+    drop_materialized(table, different)
+    open_ = found.groupBy("doc_id", F.expr(f"start div {APART} * {APART}").alias("base")).agg(F.collect_list(F.struct("anchor", "start", "meta", "rows")).alias("runs"))
     gathered = materialize(gather(texts.where("doc_id is not null").join(open_, ["doc_id", "base"]).select("doc_id", "text", "base", "runs")), "gathered")
     cold = gathered.where(F.col("rows") <= hot_rows).repartition("anchor").sortWithinPartitions("anchor")
     settled = sort_buckets(cold, bucket_rows)
@@ -277,7 +272,7 @@ def repeated_runs(texts: DataFrame, hot_rows: int = HOT_ROWS, bucket_rows: int =
     leads = hot.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "start")).alias("lead"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
     late = hot.join(leads, ["h1", "h2"]).where("lead.doc_id <> doc_id or lead.start <> start").select("doc_id", "start", F.lit(1).cast("long").alias("n"))
     out = materialize(whole.unionByName(settled).unionByName(late), "repeats")
-    drop_materialized(found, gathered)
+    drop_materialized(found, gathered, whole)
     return out
 
 

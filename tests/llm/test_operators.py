@@ -308,11 +308,12 @@ def test_repeated_substrings(docs, texts, empty, hot):
                 mark[p + 100] -= 1
             seen.add(w)
         gone = np.cumsum(mark[:-1]) > 0
-        want[i] = int(gone.sum()), hashlib.sha256(np.frombuffer(b, np.uint8)[~gone].tobytes()).hexdigest()
+        spans = sum(bool(g) and not h for g, h in zip(gone, [False, *gone[:-1]]))
+        want[i] = int(gone.sum()), spans, hashlib.sha256(np.frombuffer(b, np.uint8)[~gone].tobytes()).hexdigest()
     out = substrings.remove_repeats(docs, hot_rows=hot)
     assert out.columns == [*docs.columns, "cut"]
     rows = out.collect()
-    assert {r.doc_id: (r.cut.n_removed, r.cut.kept_sha256) for r in rows} == want
+    assert {r.doc_id: (r.cut.n_removed, r.cut.n_spans, r.cut.kept_sha256) for r in rows} == want
     given = dict(texts)
     assert all(r.text == given[r.doc_id] and (r.cut.kept is None) == (r.cut.n_removed == 0) for r in rows)
     assert substrings.remove_repeats(empty).count() == 0
