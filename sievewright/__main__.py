@@ -89,11 +89,21 @@ def run_audit(spark, records, given) -> None:
 
 def run_split(spark, records, given) -> None:
     from sievewright.operators import splits
+    from sievewright.plans import lineage
     from sievewright.sources import artifacts
 
     split = splits.checked_split(records, given.label, given.key, given.seed)
     splits.validate(records, split, given.key, given.label)
-    artifacts.write_split(split, given.out, given.key, given.label, given.seed, {"train": 0.7, "validation": 0.15}, "unversioned")
+    artifacts.write_split(split, given.out, given.key, given.label, given.seed, {"train": 0.7, "validation": 0.15}, lineage.dataset_version(records, [given.key, given.text, given.label]))
+
+
+def _split_versions(records, split, given, label: str) -> dict[str, str]:
+    """Versions of the records and of their split, as the artifacts made of them name their parents."""
+    from sievewright.operators import manifests
+    from sievewright.plans import lineage
+
+    made_of = lineage.dataset_version(records, [given.key, given.text, given.label])
+    return lineage.of_split(manifests.split_manifest(split, label, given.seed, {"train": 0.7, "validation": 0.15}, made_of, given.key))
 
 
 def _prepared(records, given):
@@ -106,7 +116,7 @@ def run_features(spark, records, given) -> None:
     from sievewright.operators import features
 
     p = _prepared(records, given)
-    features.write_features(given.out, p.vocabulary, p.weights, {"ngrams": [1, 2], "min_df": 2, "seed": given.seed})
+    features.write_features(given.out, p.vocabulary, p.weights, {"ngrams": [1, 2], "min_df": 2, "seed": given.seed}, _split_versions(records, p.split, given, "label"))
     features.read_features(spark, given.out, tuple(p.weights))
 
 
@@ -115,7 +125,8 @@ def run_train(spark, records, given) -> None:
     from sievewright.plans import experiments
 
     p = _prepared(records, given)
-    results = [experiments.run_baseline(p, n, given.out) for n in MODELS]
+    parents = _split_versions(records, p.split, given, "label")
+    results = [experiments.run_baseline(p, n, given.out, parents=parents) for n in MODELS]
     manifests.write_json({"idf": {r.term: r.idf for r in p.vocabulary.collect()}}, f"{given.out}/scorer.json")  # the size of a model
     _write(given.out, "baseline", "Baseline models", {r["name"]: r["metrics"]["validation"] | {"train_seconds": r["train_seconds"]} for r in results} | {"selected": experiments.select_model(results)})
 
@@ -200,9 +211,10 @@ def run_tokenize(spark, records, given) -> None:
     t = tokens.tokenize(records, labels, max_length=given.max_length, key=given.key, text=given.text, label=given.label)
     tokens.check_alignment(records, t, labels, given.max_length, given.key, given.label)
     if given.step == "run":
-        split = splits.checked_split(records, given.label, given.key, given.seed).select(given.key, "split")
+        whole = splits.checked_split(records, given.label, given.key, given.seed)
+        split = whole.select(given.key, "split")
         parts = {s: t.join(split.where(f"split = '{s}'").select(given.key), given.key) for s in splits.PARTS}
-        tokens.write_dataset(given.out, parts, labels, given.max_length, "words", "unversioned")
+        tokens.write_dataset(given.out, parts, labels, given.max_length, "words", _split_versions(records, whole, given, given.label)["split_version"])
 
 
 if __name__ == "__main__":

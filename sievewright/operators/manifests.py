@@ -121,12 +121,20 @@ def id_digests(rows: DataFrame, key: str, part: str) -> dict[str, str]:
     return {str(r.p): r.h for r in t.collect()}
 
 
-def split_manifest(split: DataFrame, label: str, seed: int, ratios: dict[str, float], dataset_version: str, key: str) -> dict:
-    """Sizes, class counts and a digest of each part's ids; the ids themselves stay in the table."""
+def order_digests(split: DataFrame, key: str, order: str) -> dict[str, str]:
+    """For each part a digest of its ids in the order of a column of whole numbers: a tree, so that no task holds a part."""
+    parts = sorted(r[0] for r in split.select("split").distinct().collect())
+    return {p: tree_digest(split.where(F.col("split") == p), order, F.sha2(F.col(key).cast("string"), 256)).first().sha256 for p in parts}
+
+
+def split_manifest(split: DataFrame, label: str, seed: int, ratios: dict[str, float], dataset_version: str, key: str, order: str | None = None) -> dict:
+    """Sizes, class counts and a digest of each part's ids; the ids themselves stay in the table.  order: a column by which they also have an order, kept in a further digest."""
     counts = split.groupBy("split", label).count().collect()
     parts = sorted({r["split"] for r in counts})
     per = {p: {str(r[label]): r["count"] for r in counts if r["split"] == p} for p in parts}
     made_of = {"dataset_version": dataset_version, "seed": seed, "ratios": ratios, "sizes": {p: sum(v.values()) for p, v in per.items()}, "classes": per, "ids": id_digests(split, key, "split")}
+    if order:
+        made_of |= {"order_column": order, "order": order_digests(split, key, order)}
     return canonical({"split_version": named("split", made_of), **made_of})
 
 

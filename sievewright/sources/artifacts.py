@@ -81,33 +81,33 @@ def read_quality_report(path: str) -> dict:
     return read_document(path, ("dataset", "validation", "preprocessing", "pii", "duplicates", "language", "leakage", "version"))
 
 
-def write_split(split: DataFrame, folder: str, key: str, label: str, seed: int, ratios: dict[str, float], dataset_version: str) -> dict:
-    """The parts by folder and their manifest, with a digest of each part's ids; read back and checked, and only then put in place of what was there."""
+def write_split(split: DataFrame, folder: str, key: str, label: str, seed: int, ratios: dict[str, float], dataset_version: str, order: str | None = None) -> dict:
+    """The parts by folder and their manifest, with a digest of each part's ids, and of their order where a column tells it; read back and checked, and only then put in place of what was there."""
     with storage.together(folder) as staged:
         split.write.partitionBy("split").parquet(f"{staged}/parts")
-        manifest = manifests.split_manifest(split, label, seed, ratios, dataset_version, key)
+        manifest = manifests.split_manifest(split, label, seed, ratios, dataset_version, key, order)
         manifests.write_json(manifest, f"{staged}/split_manifest.json")
         read_split(split.sparkSession, staged, key, label)
     return manifest
 
 
 def read_split(spark: SparkSession, folder: str, key: str, label: str) -> DataFrame:
-    """A frozen split: its parts must have the sizes, classes and ids that the manifest tells."""
+    """A frozen split: its parts must have the sizes, classes, ids and order that the manifest tells."""
     storage.recover(folder)
     manifest = read_document(f"{folder}/split_manifest.json", ("split_version", "seed", "ratios", "sizes", "classes", "ids", "dataset_version"))
     back = spark.read.parquet(f"{folder}/parts")
-    now = manifests.split_manifest(back, label, manifest["seed"], manifest["ratios"], manifest["dataset_version"], key)
+    now = manifests.split_manifest(back, label, manifest["seed"], manifest["ratios"], manifest["dataset_version"], key, manifest.get("order_column"))
     if now != manifest:
         raise ArtifactError(f"{folder}: the parts differ from their manifest in {[k for k in now if now[k] != manifest.get(k)]}")
     return back
 
 
-def write_model(model, folder: str) -> dict:
-    """Coefficients as numbers, names and settings as JSON; the name follows from the content."""
+def write_model(model, folder: str, parents: dict[str, str] | None = None) -> dict:
+    """Coefficients as numbers, names, settings and the versions of what it was trained on as JSON; the name follows from the content."""
     numbers = io.BytesIO()
     np.savez_compressed(numbers, coefficients=model.coefficients, intercepts=model.intercepts)
     names = sorted(model.terms, key=model.terms.get)
-    made_of = {"loss": model.loss, "classes": model.classes, "terms": names, "sums": [round(float(x), 9) for x in model.coefficients.sum(1)]}
+    made_of = {"loss": model.loss, "classes": model.classes, "terms": names, "sums": [round(float(x), 9) for x in model.coefficients.sum(1)], **({"parents": parents} if parents else {})}
     document = {"model_version": manifests.named("model", made_of), **made_of}
     with storage.together(folder) as staged:
         storage.write_bytes(numbers.getvalue(), f"{staged}/model.npz")
