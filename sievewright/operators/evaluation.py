@@ -126,12 +126,19 @@ def confidence_summary(rows: DataFrame, pair: tuple[str, str] | None = None, hig
     """One row for all and one for each actual class: records, mean confidence of all, right and wrong ones, sure errors, and mix-ups of the pair of classes."""
     ok = F.col("actual") == F.col("predicted")
     mixed = F.col("actual").isin(*pair) & F.col("predicted").isin(*pair) & ~ok if pair else F.lit(False)
-    each = rows.select(F.explode(F.array(F.lit("all"), F.col("actual"))).alias("label"), "confidence", ok.alias("ok"), mixed.alias("mixed"))
-    mean = lambda c: F.round(F.avg(c), 6)
-    return each.groupBy("label").agg(
-        F.count(F.lit(1)).alias("records"), mean("confidence").alias("mean"), mean(F.when(F.col("ok"), F.col("confidence"))).alias("mean_right"), mean(F.when(~F.col("ok"), F.col("confidence"))).alias("mean_wrong"),
-        F.count_if(~F.col("ok") & (F.col("confidence") >= high)).alias("sure_errors"), F.count_if("mixed").alias("mixed_up"),
-    )
+    sums = {
+        "records": F.count(F.lit(1)), "n": F.count("confidence"), "s": F.sum("confidence"), "n_right": F.count(F.when(ok, F.col("confidence"))), "s_right": F.sum(F.when(ok, F.col("confidence"))),
+        "n_wrong": F.count(F.when(~ok, F.col("confidence"))), "s_wrong": F.sum(F.when(~ok, F.col("confidence"))), "sure_errors": F.count_if(~ok & (F.col("confidence") >= high)), "mixed_up": F.count_if(mixed),
+    }
+    t = with_all(rows.groupBy("actual").agg(*[v.alias(k) for k, v in sums.items()]), "actual", list(sums))
+    mean = lambda k: F.round(F.try_divide(f"s{k}", f"n{k}"), 6).alias(f"mean{k}")
+    return t.select(F.col("actual").alias("label"), "records", mean(""), mean("_right"), mean("_wrong"), "sure_errors", "mixed_up")
+
+
+def with_all(sums: DataFrame, level: str, names: list[str]) -> DataFrame:
+    """Sums by a level, and their total under the name all: only rows that are already added up are taken twice."""
+    t = sums.rollup(level).agg(F.grouping(level).alias("_total"), *[F.sum(n).alias(n) for n in names])
+    return t.select(F.when(F.col("_total") == 1, F.lit("all")).otherwise(F.col(level)).alias(level), *names)
 
 
 def threshold_by_class(rows: DataFrame, thresholds: list[float]) -> DataFrame:
@@ -139,10 +146,14 @@ def threshold_by_class(rows: DataFrame, thresholds: list[float]) -> DataFrame:
     if len(set(thresholds)) != len(thresholds) or sorted(thresholds) != list(thresholds) or any(not 0 <= t <= 1 for t in thresholds):
         raise ValueError("thresholds must be different, rising, and within 0 and 1")
     grid = sorted({0.0, *thresholds})
-    each = rows.select(F.explode(F.array(*[F.lit(t) for t in grid])).alias("threshold"), F.array(F.lit("all"), F.col("actual")).alias("labels"), "confidence", (F.col("actual") == F.col("predicted")).alias("ok"))
-    each = each.withColumn("label", F.explode("labels"))
-    took = F.col("confidence") >= F.col("threshold")
-    return each.groupBy("threshold", "label").agg(F.count(F.lit(1)).alias("records"), F.count_if(took).alias("accepted"), F.round(F.count_if(took) / F.count(F.lit(1)), 6).alias("coverage"), F.count_if(took & ~F.col("ok")).alias("accepted_errors"))
+    ok = F.col("actual") == F.col("predicted")
+    sums = {"records": F.count(F.lit(1))}
+    for i, t in enumerate(grid):
+        took = F.col("confidence") >= t
+        sums |= {f"a{i}": F.count_if(took), f"e{i}": F.count_if(took & ~ok)}
+    t = with_all(rows.groupBy("actual").agg(*[v.alias(k) for k, v in sums.items()]), "actual", list(sums))
+    each = F.explode(F.array(*[F.struct(F.lit(x).alias("threshold"), F.col(f"a{i}").alias("accepted"), F.col(f"e{i}").alias("accepted_errors")) for i, x in enumerate(grid)])).alias("x")
+    return t.select(F.col("actual").alias("label"), "records", each).select("x.threshold", "label", "records", "x.accepted", F.round(F.col("x.accepted") / F.col("records"), 6).alias("coverage"), "x.accepted_errors")
 
 
 def feature_overlap(a: list[tuple], b: list[tuple]) -> dict[tuple[str, str], dict[str, list[str]]]:
