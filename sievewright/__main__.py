@@ -45,6 +45,7 @@ def parser() -> argparse.ArgumentParser:
             c.add_argument("--records", type=int, default=64)
         if name == "tokenize":
             c.add_argument("--max-length", type=int, default=256)
+            c.add_argument("--vocabulary", help="WordPiece vocabulary: a tokeniser's JSON file, or a text file with a piece a line")
     return top
 
 
@@ -204,17 +205,22 @@ def run_compare(spark, records, given) -> None:
 
 
 def run_tokenize(spark, records, given) -> None:
-    from sievewright.operators import splits, tokens
+    from sievewright.operators import splits, subwords, tokens
 
     records = records.where(f"`{given.label}` is not null")
     labels = tokens.LabelMapping(sorted(r[0] for r in records.select(given.label).distinct().collect()))
-    t = tokens.tokenize(records, labels, max_length=given.max_length, key=given.key, text=given.text, label=given.label)
+    options = {"max_length": given.max_length, "key": given.key, "text": given.text, "label": given.label}
+    if given.vocabulary:
+        pieces = (subwords.read_json if given.vocabulary.endswith(".json") else subwords.read_lines)(spark, given.vocabulary)
+        t = subwords.tokenize(records, labels, pieces, *subwords.special_ids(pieces), **options)
+    else:
+        t = tokens.tokenize(records, labels, **options)
     tokens.check_alignment(records, t, labels, given.max_length, given.key, given.label)
     if given.step == "run":
         whole = splits.checked_split(records, given.label, given.key, given.seed)
         split = whole.select(given.key, "split")
         parts = {s: t.join(split.where(f"split = '{s}'").select(given.key), given.key) for s in splits.PARTS}
-        tokens.write_dataset(given.out, parts, labels, given.max_length, "words", _split_versions(records, whole, given, given.label)["split_version"])
+        tokens.write_dataset(given.out, parts, labels, given.max_length, given.vocabulary or "words", _split_versions(records, whole, given, given.label)["split_version"])
 
 
 if __name__ == "__main__":

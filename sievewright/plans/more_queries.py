@@ -13,6 +13,7 @@ from sievewright.operators import language as L
 from sievewright.operators import leakage as G
 from sievewright.operators import records as R
 from sievewright.operators import splits as S
+from sievewright.operators import subwords as W
 from sievewright.operators import tokens as K
 from sievewright.plans.queries import _DIST, _LABELLED, _LANG, _NAMES, _PARTS, _PRED, _SOURCE, _SPLIT, _weighted, _weights, labelled, parts, predictions, query, source_records, table
 
@@ -292,3 +293,25 @@ def tokenized_records(spark, d):
 @query(f"SELECT count(*) AS records, CAST(min(n) AS INTEGER) AS least, round(avg(n), 6) AS mean, {', '.join(f'quantile_cont(n, {p}) AS p{int(100 * p)}' for p in (0.5, 0.75, 0.9, 0.95, 0.99))}, CAST(max(n) AS INTEGER) AS most FROM ({_TOK}) JOIN (SELECT doc_id, label FROM ({_LABELLED})) USING (doc_id) WHERE label IS NOT NULL")
 def token_length_analysis(spark, d):
     return K.length_analysis(_tokens(spark, d))
+
+
+#: Letters and digits, as begins and as continuations, and some common parts of words.
+_PIECES = [*"abcdefghijklmnopqrstuvwxyz0123456789.,:;!?-", *(f"##{x}" for x in "abcdefghijklmnopqrstuvwxyz0123456789"), *"the and con pre com in re un der die das que los les".split(), *(f"##{x}" for x in "ing ed er tion en es ent al os ment ly st ch in on".split())]
+_START, _END, _UNKNOWN = 1, 2, 0
+_VOCAB = ", ".join(f"({quoted(p.removeprefix('##'))}, {str(p.startswith('##')).lower()}, {i + 3})" for i, p in enumerate(_PIECES))
+_SUBWORDS = rf"""WITH RECURSIVE vocab(piece, continues, id) AS (VALUES {_VOCAB}),
+ docs AS (SELECT doc_id, label, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+|[^\p{{Z}}\p{{C}}\p{{L}}\p{{N}}]') AS ws FROM ({_LABELLED}) WHERE label IS NOT NULL),
+ occ AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos FROM docs),
+ walk(word, place, ids) AS (SELECT DISTINCT word, CAST(1 AS BIGINT), CAST([] AS INTEGER[]) FROM occ WHERE length(word) <= 100
+  UNION ALL SELECT word, place + len, list_append(ids, id) FROM (SELECT w.word, w.place, w.ids, v.id, length(v.piece) AS len, row_number() OVER (PARTITION BY w.word ORDER BY length(v.piece) DESC) AS r FROM walk w JOIN vocab v ON substr(w.word, w.place, length(v.piece)) = v.piece AND v.continues = (w.place > 1)) WHERE r = 1),
+ cuts AS (SELECT word, ids FROM walk WHERE place = length(word) + 1),
+ texts AS (SELECT doc_id, flatten(list(coalesce(ids, [{_UNKNOWN}]) ORDER BY pos)) AS ids FROM occ LEFT JOIN cuts USING (word) GROUP BY doc_id)
+ SELECT doc_id, label, CAST(coalesce(len(ids), 0) + 2 AS INTEGER) AS n_tokens, array_to_string(list_concat(list_concat([{_START}], coalesce(ids, [])[1:126]), [{_END}]), ',') AS ids FROM docs LEFT JOIN texts USING (doc_id)"""
+
+
+@query(f"SELECT doc_id, CASE label {' '.join(f'WHEN {quoted(c)} THEN {i}' for i, c in enumerate(_NAMES))} END AS label, n_tokens, ids FROM ({_SUBWORDS})")
+def subword_records(spark, d):
+    """Records as subword ids of a small vocabulary, by greedy longest match."""
+    pieces = W.from_pieces(spark, {p: i + 3 for i, p in enumerate(_PIECES)})
+    t = W.tokenize(labelled(spark, d).where("label is not null"), K.LabelMapping(_NAMES), pieces, _UNKNOWN, _START, _END, 128, "doc_id")
+    return t.select("doc_id", "label", "n_tokens", F.array_join("input_ids", ",").alias("ids"))
