@@ -102,7 +102,8 @@ def tokenize(
         raise ValueError("max_length leaves no room for start and end")
     cut_at = lambda w: F.when(F.length(w) <= LONGEST_WORD, w)  # noqa: E731  (a longer word is unknown, so it is not shuffled)
     rows = records.select(F.col(key).alias("key"), F.col(label).alias("label"), F.transform(words(F.col(text)), cut_at).alias("words"))
-    occurring = rows.select("key", F.posexplode("words").alias("pos", "word"))
+    # outer, so that no filter is derived that would search each text twice
+    occurring = rows.select("key", F.posexplode_outer("words").alias("pos", "word")).where("pos is not null")
     counted = occurring.where("word is not null").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     cut_words = cut(counted, vocabulary, unknown)
     often = cut_words.orderBy(F.desc("n"), "word").limit(common)
