@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sievewright.functions.markup import casefold
 from sievewright.functions.text import ACCOUNT, CARD, EMAIL, IP, PHONE, URL, utrim, word_count
@@ -88,28 +89,30 @@ def duplicate_groups(records: DataFrame, key: str, text: str, label: str, groups
 
 
 def audit(records: DataFrame, label: str, text: str) -> dict:
-    """Counts, distribution, warnings (codes in order) and readiness."""
-    t = records.select(F.col(label).cast("string").alias("label"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("state", label_state(F.col("label")))
+    """Counts, distribution, warnings (codes in order) and readiness.  The label may be a list: then classes are its members, conflicts differ as sets, and the task is multilabel."""
+    many = isinstance(records.schema[label].dataType, T.ArrayType)
+    t = records.select(F.col(label).cast("array<string>" if many else "string").alias("label"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("state", label_state(F.col("label"), many))
     kept = t.where("state = 'valid'")
     empty = utrim(F.col("text")) == ""
     counts = t.agg(
-        F.count(F.lit(1)).alias("records"), *[F.count_if(F.col("state") == s).alias(s) for s in ("missing", "blank", "valid")],
+        F.count(F.lit(1)).alias("records"), *[F.count_if(F.col("state") == s).alias(s) for s in ("missing", "blank", "invalid", "valid")],
         F.count_if(empty).alias("empty"), F.count_if(~empty & (word_count(F.col("text")) < SHORT_WORDS)).alias("short"), F.count_if(~empty & F.col("text").rlike(PLACEHOLDERS)).alias("placeholder_only"),
     ).first().asDict()
-    distribution = class_distribution(kept, "label")
+    distribution = multilabel_distribution(t, "label") if many else class_distribution(kept, "label")
     classes = [r.asDict() for r in distribution.orderBy(F.desc("records"), "label").collect()]
     severity = imbalance(distribution).first()
-    names = kept.select("label").distinct()
+    names = kept.select(F.explode("label").alias("label") if many else F.col("label")).distinct()
+    key = F.to_json(F.array_sort(F.array_distinct("label"))) if many else F.col("label")
     alike = names.groupBy(F.regexp_replace(casefold(utrim(F.col("label"))), r"(?U)\s+", " ")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").count()
-    conflicting = kept.groupBy(F.sha2("text", 256)).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").count()
+    conflicting = kept.groupBy(F.sha2("text", 256)).agg(F.min(key).alias("lo"), F.max(key).alias("hi")).where("lo <> hi").count()
     rare = [c["label"] for c in classes if c["records"] < RARE]
     found = {
-        "missing_labels": counts["missing"], "blank_labels": counts["blank"], "labels_alike": alike, "rare_classes": len(rare), "imbalance": int(severity.severity in ("moderate", "severe")),
+        "missing_labels": counts["missing"], "blank_labels": counts["blank"], "invalid_labels": counts["invalid"], "labels_alike": alike, "rare_classes": len(rare), "imbalance": int(severity.severity in ("moderate", "severe")),
         "empty_inputs": counts["empty"], "short_inputs": counts["short"], "placeholder_only_inputs": counts["placeholder_only"], "conflicting_labels": conflicting,
     }
     warnings = sorted(k for k, v in found.items() if v)
     readiness = "NOT_READY" if len(classes) < 2 else "READY_WITH_WARNINGS" if warnings else "READY"
-    kind = "binary" if len(classes) == 2 else "multiclass" if len(classes) > 2 else "not_supervised"
+    kind = "multilabel" if many and classes else "binary" if len(classes) == 2 else "multiclass" if len(classes) > 2 else "not_supervised"
     return {"counts": counts, "task_type": kind, "classes": classes, "imbalance": {"ratio": severity.ratio, "severity": severity.severity}, "rare_classes": rare, "warnings": warnings, "readiness": readiness}
 
 

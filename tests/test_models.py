@@ -152,3 +152,35 @@ def test_curation_of_a_file_by_command(spark, tmp_path):
     name = json.loads((tmp_path / "out/dataset_manifest.json").read_text())["dataset_version"]
     again = curation.curate_file(spark, str(tmp_path / "t.csv"))
     assert name == again.manifest["dataset_version"] and math.isclose(len(name), 15)
+
+
+def test_audit_of_lists(spark):
+    rows = [(["a", "b"], "one two three"), (["b", "a", "a"], "one two three"), (["a"], "one two three"), (["a", " "], "four five six"), ([""], "x y z"), ([], "x y z"), (None, "x y z"), (["A"], "seven eight nine")]
+    got = audit.audit(spark.createDataFrame(rows, "label array<string>, text string"), "label", "text")
+    assert [got["counts"][s] for s in ("missing", "blank", "invalid", "valid")] == [2, 1, 1, 4] and got["task_type"] == "multilabel"
+    assert {c["label"]: (c["records"], c["share"]) for c in got["classes"]} == {"a": (3, 0.75), "b": (2, 0.5), "A": (1, 0.25)}
+    assert {"invalid_labels", "blank_labels", "labels_alike", "conflicting_labels", "missing_labels"} <= set(got["warnings"])
+    same = audit.audit(spark.createDataFrame(rows[:2], "label array<string>, text string"), "label", "text")
+    assert "conflicting_labels" not in same["warnings"]
+    none = audit.audit(spark.createDataFrame([], "label array<string>, text string"), "label", "text")
+    assert (none["task_type"], none["readiness"]) == ("not_supervised", "NOT_READY")
+
+
+def test_two_classes_mirror(spark, rows):
+    x, y = rows
+    y = np.minimum(y, 1)
+    weights = spark.createDataFrame([(i, f"t{j}", float(x[i, j])) for i in range(60) for j in range(5) if x[i, j]], "id long, term string, weight double")
+    labels = spark.createDataFrame([(i, f"c{y[i]}") for i in range(60)], "id long, label string")
+    terms = linear.number_terms(weights)
+    data = linear.sparse_rows(weights, labels, "id", "label", terms)
+    model = linear.fit(data, terms, linear.SQUARED_HINGE, class_weight={"c0": 1.5}, tolerance=1e-6)
+    sample, sign = np.where(y == 0, 1.5, 1.0), np.where(y == 1, 1, -1)
+
+    def objective(w):
+        return (sample * np.maximum(0, 1 - sign * (x @ w[:5] + w[5])) ** 2).sum() + (w**2).sum() / 2
+
+    at = np.append(model.coefficients[1], model.intercepts[1])
+    numeric = [(objective(at + 1e-5 * e) - objective(at - 1e-5 * e)) / 2e-5 for e in np.eye(6)]
+    assert np.abs(numeric).max() < 1e-4
+    got = linear.predict(data, model, "id").collect()
+    assert len(got) == 60 and all(r.scores[0] == -r.scores[1] and r.predicted == ("c1" if r.scores[1] > 0 else "c0") for r in got)
