@@ -184,3 +184,15 @@ def test_two_classes_mirror(spark, rows):
     assert np.abs(numeric).max() < 1e-4
     got = linear.predict(data, model, "id").collect()
     assert len(got) == 60 and all(r.scores[0] == -r.scores[1] and r.predicted == ("c1" if r.scores[1] > 0 else "c0") for r in got)
+
+
+def test_newton_solves_problems_apart_in_few_products():
+    curve = np.array([np.linspace(1, 5000, 40), np.linspace(1, 2, 40)])  # one steep problem, one flat
+    want, products = np.arange(80.0).reshape(2, 40) / 80, [0]
+
+    def product(_, v):
+        products[0] += 1
+        return curve * v
+
+    x = linear.newton(lambda x: ((curve * (x - want) ** 2).sum(1) / 2, curve * (x - want)), product, np.zeros((2, 40)), 1e-8, 20)
+    assert np.abs(x - want).max() < 1e-8 and products[0] <= 200
