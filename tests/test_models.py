@@ -196,3 +196,18 @@ def test_newton_solves_problems_apart_in_few_products():
 
     x = linear.newton(lambda x: ((curve * (x - want) ** 2).sum(1) / 2, curve * (x - want)), product, np.zeros((2, 40)), 1e-8, 20)
     assert np.abs(x - want).max() < 1e-8 and products[0] <= 200
+
+
+def test_neighbours_over_many_groups_equal_brute_force(spark):
+    from sievewright.operators import neighbours
+
+    random = np.random.default_rng(5)
+    v = random.normal(size=(230, 8)).round(1)
+    v[100:130] = v[:30]  # equal vectors: ties
+    v[7] = 0
+    u = v / np.where((n := np.linalg.norm(v, axis=1)) > 0, n, np.nan)[:, None]
+    s = np.round(u @ u.T, 9)
+    want = {(i, j) for i in range(230) if i != 7 for j in sorted((j for j in range(230) if j not in (i, 7)), key=lambda j: (-s[i, j], j))[:4]}
+    frame = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(v)], "id long, v array<double>")
+    found = neighbours.nearest(frame, "id", "v", 4, block=16, group=40)
+    assert {(r.i, r.j) for r in found.collect()} == want
