@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import html
 import unicodedata
+from collections.abc import Iterator
 from html.parser import HTMLParser
 from itertools import accumulate
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -73,10 +76,27 @@ def visible_text(text: str) -> str:
     return "".join(c for c in "".join(pieces) if unicodedata.category(c) != "Cc")
 
 
+#: Bytes of texts that are Python strings at once.
+PART = 1 << 20
+
+
+def by_size(batch, column: int | None = None) -> Iterator:
+    """A batch (or an array, without ``column``) in parts whose texts hold PART bytes or little more, so that few of them are Python strings at once."""
+    texts = batch if column is None else batch.column(column)
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    begin = 0
+    while begin < len(texts):
+        before = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, before + PART, "right")))
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
 def _udf(f):
-    @F.pandas_udf(StringType())
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(f, na_action="ignore")
+    @F.arrow_udf(StringType())
+    def run(texts: pa.Array) -> pa.Array:
+        parts = [pa.array([None if x is None else f(x) for x in part.to_pylist()], pa.string()) for part in by_size(texts)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
     return run
 

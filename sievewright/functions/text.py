@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sievewright.functions.markup import markup_to_text, nfc  # noqa: F401  (text functions under one roof)
+from sievewright.functions.markup import by_size, markup_to_text, nfc  # noqa: F401  (text functions under one roof)
 
 #: Masks that stand for removed values (fixed values).
 EMAIL, PHONE, CARD, IP, ACCOUNT, URL = "<EMAIL>", "<PHONE>", "<PAYMENT_CARD>", "<IP_ADDRESS>", "<ACCOUNT_ID>", "<URL>"
