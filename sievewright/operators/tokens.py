@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sievewright.functions.text import by_size
+
 #: A tokeniser: texts to lists of ids.
 Encode = Callable[[list[str]], list[list[int]]]
 
@@ -50,13 +53,12 @@ def tokenize(records: DataFrame, labels: LabelMapping, encode: Encode = words_as
     kind = records.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids = encode([t or "" for t in b.column(1).to_pylist()])
-            cut = [x[:max_length] for x in ids]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(cut, pa.list_(pa.int32())), pa.array([[1] * len(x) for x in cut], pa.list_(pa.int32())), pa.array([labels.encode(x) for x in b.column(2).to_pylist()], pa.int32()), pa.array([len(x) for x in ids], pa.int32())],
-                [key, "input_ids", "attention_mask", "label", "n_tokens"],
-            )
+        for b in (part for batch in batches for part in by_size(batch, 1)):
+            whole = encode([t or "" for t in b.column(1).to_pylist()])
+            n_tokens = pa.array([len(x) for x in whole], pa.int32())
+            cut = pa.array([x[:max_length] for x in whole], pa.list_(pa.int32()))
+            mask = pa.ListArray.from_arrays(cut.offsets, pa.array(np.ones(len(cut.values), np.int32)))
+            yield pa.RecordBatch.from_arrays([b.column(0), cut, mask, pa.array([labels.encode(x) for x in b.column(2).to_pylist()], pa.int32()), n_tokens], [key, "input_ids", "attention_mask", "label", "n_tokens"])
 
     return records.select(key, text, label).mapInArrow(run, f"{key} {kind}, input_ids array<int>, attention_mask array<int>, label int, n_tokens int")
 

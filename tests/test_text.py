@@ -80,3 +80,18 @@ def test_csv_equals_json(spark, tmp_path):
 def test_json_lines_keep_nulls_and_order(spark):
     df = spark.createDataFrame([("é", None, 1)], "b string, a string, c int")
     assert sinks.json_lines(df).first()[0] == '{"a":null,"b":"é","c":1}'
+
+
+def test_long_texts_pass_python_in_parts(spark):
+    """A tokeniser and markup meet few long texts at once, whatever a batch holds."""
+    import pyarrow as pa
+
+    from sievewright.functions.markup import PART, by_size
+    from sievewright.operators import tokens
+
+    texts = pa.array(["x" * 300_000, None, "", "y" * (3 * PART), *["z" * 400_000] * 5])
+    parts = list(by_size(texts))
+    assert pa.concat_arrays(parts).equals(texts) and all(len(p) == 1 or sum(len(x or "") for x in p.to_pylist()) <= PART for p in parts)
+    rows = spark.range(40, numPartitions=1).selectExpr("id AS record_id", "repeat('x', 200000) AS text", "'a' AS label")
+    got = tokens.tokenize(rows, tokens.LabelMapping(["a", "b"]), lambda texts: [[len(texts)]] * len(texts))
+    assert got.selectExpr("max(input_ids[0])", "count(*)").first() == (5, 40)
