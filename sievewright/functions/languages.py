@@ -13,11 +13,13 @@ import math
 import unicodedata
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from sievewright.functions.markup import by_size
+
 #: Scripts, as the names of Unicode classes, and the language each stands for; Latin is decided by trigrams (fixed values).
 SCRIPTS = {"Hebrew": "he", "Arabic": "ar", "Devanagari": "hi", "Thai": "th", "Hangul": "ko", "Cyrillic": "ru", "Han": "zh", "Latin": None}
 #: Kana stand for Japanese from this share of the letters that are kana or Han on.
@@ -92,42 +94,63 @@ def tables() -> tuple[np.ndarray, np.ndarray]:
     return _tables[0], _tables[1]
 
 
-@F.pandas_udf(StructType([StructField("language", StringType()), StructField("confidence", DoubleType())]))
-def _latin(texts: pd.Series) -> pd.DataFrame:
+@F.arrow_udf(StructType([StructField("language", StringType()), StructField("confidence", DoubleType())]))
+def _decided(texts: pa.Array, chosen: pa.Array) -> pa.Array:
+    """Language and confidence: the chosen script's, or of a Latin text (others are null here) the trigrams' with the script's share."""
     code, like = tables()
-    names, sure = [], []
-    for text in texts:
-        numbers = _trigrams(_letters(text, code)) if text else np.zeros(0, np.int64)
-        if not len(numbers):
-            names.append(None)
-            sure.append(None)
-            continue
-        found, n = np.unique(numbers, return_counts=True)
-        score = TEMPER * (n @ like[found].astype(float))
-        best = int(score.argmax())
-        names.append(LATIN[best])
-        sure.append(float(1 / np.exp(score - score[best]).sum()))
-    return pd.DataFrame({"language": names, "confidence": sure})
+    names, shares = chosen.field("language").to_pylist(), chosen.field("share").to_pylist()
+    valid = chosen.is_valid().to_pylist()
+    names, sure = [n if ok else None for n, ok in zip(names, valid)], [s if ok else None for s, ok in zip(shares, valid)]
+    i = -1
+    for part in by_size(texts):
+        for text in part.to_pylist():
+            i += 1
+            if names[i] is not None or sure[i] is None:
+                continue
+            numbers = _trigrams(_letters(text, code)) if text else np.zeros(0, np.int64)
+            if not len(numbers):
+                sure[i] = None
+                continue
+            score = TEMPER * like[numbers].sum(0, dtype=float)
+            best = int(score.argmax())
+            names[i] = LATIN[best]
+            sure[i] *= float(1 / np.exp(score - score[best]).sum())
+    return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(sure, pa.float64())], ["language", "confidence"])
+
+
+#: What holds every code point of the other scripts and of kana, and no common mark or letter of the Latin one.
+FOREIGN = r"[\u0370-\u1FFF\u2C00-\uFFFF\x{10000}-\x{10FFFF}]"
 
 
 def script_counts(text: Column) -> dict[str, Column]:
     """Letters of each script, and of kana."""
-    counted = {s: F.regexp_count(text, F.lit(rf"\p{{Is{s}}}")) for s in SCRIPTS}
+    counted = {s: F.regexp_count(text, F.lit(rf"\p{{Is{s}}}")) for s in SCRIPTS if s != "Latin"}
+    # runs, not letters, are found, as there are far fewer of them
+    counted["Latin"] = F.length(text) - F.length(F.regexp_replace(text, r"\p{IsLatin}+", ""))
     return counted | {"Kana": F.regexp_count(text, F.lit(r"[\p{IsHiragana}\p{IsKatakana}]"))}
 
 
 def character_backend(text: Column) -> Column:
     """Language and confidence, for :func:`sievewright.operators.language.detect`; null where no letter of a known script stands."""
     n = script_counts(text)
-    east = n["Han"] + n["Kana"]
-    rows = [F.struct(n[s].alias("n"), F.lit(-i).alias("order"), F.lit(code).alias("code")) for i, (s, code) in enumerate(SCRIPTS.items()) if s != "Han"]
-    rows.append(F.struct(east.alias("n"), F.lit(-len(SCRIPTS)).alias("order"), F.when(n["Kana"] >= KANA_SHARE * F.greatest(east, F.lit(1)), "ja").otherwise("zh").alias("code")))
+    others = [s for s in n if s != "Latin"]
+    # a text is searched for each script only where it can hold another than Latin
+    foreign = F.when(~text.rlike(FOREIGN), F.struct(*[F.lit(0).alias(s) for s in others])).otherwise(F.struct(*[n[s].alias(s) for s in others]))
+
+    def rows(n: Column) -> Column:
+        count = {"Latin": n["Latin"]} | {s: n["foreign"][s] for s in others}
+        east = count["Han"] + count["Kana"]
+        found = [F.struct(count[s].alias("n"), F.lit(-i).alias("order"), F.lit(code).alias("code")) for i, (s, code) in enumerate(SCRIPTS.items()) if s != "Han"]
+        found.append(F.struct(east.alias("n"), F.lit(-len(SCRIPTS)).alias("order"), F.when(count["Kana"] >= KANA_SHARE * F.greatest(east, F.lit(1)), "ja").otherwise("zh").alias("code")))
+        return F.array(*found)
 
     def choose(scripts: Column) -> Column:
         best, total = F.array_max(scripts), F.aggregate(scripts, F.lit(0), lambda a, x: a + x["n"])
         return F.when(total > 0, F.struct(best["code"].alias("language"), (best["n"] / total).alias("share")))
 
-    chosen = F.transform(F.array(F.array(*rows)), choose)[0]
-    latin = _latin(F.when(chosen["language"].isNull(), text))
-    one = F.struct(F.coalesce(chosen["language"], latin["language"]).alias("language"), F.round(chosen["share"] * F.when(chosen["language"].isNull(), latin["confidence"]).otherwise(1.0), 9).alias("confidence"))
-    return F.when(chosen.isNotNull() & one["language"].isNotNull(), one)
+    counts = F.array(F.struct(n["Latin"].alias("Latin"), foreign.alias("foreign")))
+    # bound to variables, and carried through the function: the text is counted once
+    decided = F.transform(F.transform(counts, rows), choose)[0]
+    one = F.transform(F.array(decided), lambda c: F.struct(F.when(c.isNotNull() & c["language"].isNull(), text).alias("text"), c.alias("chosen")))[0]
+    p = _decided(one["text"], one["chosen"])
+    return F.when(p["language"].isNotNull(), F.struct(p["language"].alias("language"), F.round(p["confidence"], 9).alias("confidence")))

@@ -39,7 +39,7 @@ def detect(records: DataFrame, text: str | Column, backend=stop_word_backend) ->
     backend: text column to a struct of language and confidence; null, or what is no valid prediction, is a failure.
     """
     c = F.col(text) if isinstance(text, str) else text
-    t = records.withColumn("_text", c).withColumn("_letters", F.length(F.regexp_replace(F.coalesce(F.col("_text"), F.lit("")), r"[^\p{L}]", "")))
+    t = records.withColumn("_text", c).withColumn("_letters", F.length(F.regexp_replace(F.coalesce(F.col("_text"), F.lit("")), r"[^\p{L}]+", "")))
     t = t.withColumn("_p", valid_prediction(backend(F.col("_text"))))
     short, none = F.col("_letters") < LEAST_LETTERS, F.col("_p").isNull()
     status = F.when(short, "uncertain").when(none, "failed").when(F.col("_p.confidence") < LEAST_CONFIDENCE, "uncertain").otherwise("detected")

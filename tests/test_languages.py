@@ -58,3 +58,13 @@ def test_documents(spark):
     got = L.detect(t, "text", N.character_backend).where("status = 'detected'")
     n = got.count()
     assert n > 0.95 * t.count() and got.where("language_detected = lang").count() >= 0.99 * n
+
+
+def test_texts_are_counted_once(spark):
+    """Each script is searched for in one place of the plan, and letters of other scripts count among Latin ones."""
+    frame = spark.createDataFrame([(1, "Привет, мир"), (2, "Это the мир"), (3, "日本語のテキスト"), (4, "12 ’ – 3"), (5, None), (6, "ǅ the und 한국어 한국어"), (7, "")], "id int, text string")
+    got = L.detect(frame, "text", N.character_backend)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("IsHebrew") <= 2
+    # Cyrillic by the share of its letters, six of nine
+    assert [(r.id, r.language_detected, r.status) for r in got.orderBy("id").collect()[:5]] == [(1, "ru", "detected"), (2, None, "uncertain"), (3, "ja", "detected"), (4, None, "uncertain"), (5, None, "uncertain")]
