@@ -75,7 +75,9 @@ def cut(distinct: DataFrame, vocabulary: DataFrame, unknown: int, longest_word:
     parts = starts.select("*", ends.alias("length")).withColumn("piece", F.when(fits, F.substring("word", F.col("at"), F.col("length")))).withColumn("continues", F.col("at") > 1)
     known = F.broadcast(vocabulary) if one.n <= BROADCAST_PIECES else vocabulary
     piece = F.when(F.col("id").isNotNull(), F.struct("at", (-F.length("piece")).alias("minus"), "id"))
-    found = parts.join(known, ["piece", "continues"], "left").groupBy(*distinct.columns).agg(F.sort_array(F.collect_list(piece)).alias("found"))
+    # most parts are no pieces; a word's first character stays in any case, so that no word is lost
+    met = parts.join(known, ["piece", "continues"], "left").where("id is not null or (at = 1 and length = 1)")
+    found = met.groupBy(*distinct.columns).agg(F.sort_array(F.collect_list(piece)).alias("found"))
     begin = F.struct(F.lit(1).alias("next"), F.array().cast("array<int>").alias("ids"))
 
     def step(state: Column, piece: Column) -> Column:
@@ -107,11 +109,17 @@ def tokenize(
     counted = occurring.where("word is not null").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     cut_words = cut(counted, vocabulary, unknown)
     often = cut_words.orderBy(F.desc("n"), "word").limit(common)
-    met = occurring.join(F.broadcast(often.select("word", "ids")), "word", "left")  # ``common`` rows at most
-    apart = met.where("word is not null and ids is null").drop("ids").join(cut_words.select("word", "ids"), "word")
-    pieces = met.where("word is null or ids is not null").withColumn("ids", F.coalesce("ids", F.array(F.lit(unknown)))).unionByName(apart)
-    near = F.when(F.col("pos") < max_length, F.struct("pos", "ids"))  # each word gives an id, so later ones are beyond the cut
-    whole = pieces.groupBy("key").agg(F.sort_array(F.collect_list(near)).alias("near"), F.sum(F.size("ids")).alias("n"))
+
+    def met(part: Column) -> DataFrame:
+        """key, pos and ids of the words of a part of each text."""
+        found = rows.select("key", F.posexplode_outer(part).alias("pos", "word")).where("pos is not null").join(F.broadcast(often.select("word", "ids")), "word", "left")  # ``common`` rows at most
+        apart = found.where("word is not null and ids is null").drop("ids").join(cut_words.select("word", "ids"), "word")
+        return found.where("word is null or ids is not null").withColumn("ids", F.coalesce("ids", F.array(F.lit(unknown)))).unionByName(apart)
+
+    # each word gives an id, so words from max_length on are beyond the cut: they are summed by hash, and only those before are collected, which sorts them
+    near = met(F.slice("words", 1, max_length)).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("pos", "ids"))).alias("near"), F.sum(F.size("ids")).alias("n_near"))
+    far = met(F.slice("words", F.lit(max_length + 1), F.greatest(F.size("words"), F.lit(0)))).groupBy("key").agg(F.sum(F.size("ids")).alias("n_far"))
+    whole = near.join(far, "key", "left").select("key", "near", (F.col("n_near") + F.coalesce("n_far", F.lit(0))).alias("n"))
     heads = rows.groupBy("key").agg(F.first("label").alias("label"), F.count(F.lit(1)).alias("rows"))
     empty = F.array().cast("array<int>")
     before, after = (F.array(F.lit(x)) if x is not None else empty for x in (start, end))

@@ -81,3 +81,11 @@ def test_command(tmp_path, spark):
     assert main(["tokenize", "run", f"{tmp_path}/in", f"{tmp_path}/out", "--vocabulary", f"{tmp_path}/vocab.txt"]) == 0
     kept = [r for part in ("train", "validation", "test") for r in spark.read.parquet(f"{tmp_path}/out/{part}").collect()]
     assert len(kept) == 20 and {tuple(r.input_ids) for r in kept if r.record_id % 2 == 0} == {(1, IDS["rest"], 2)}
+
+
+def test_words_beyond_the_cut_are_not_collected(spark):
+    """Collecting sorts rows beyond memory: a text's words after max_length are summed by hash alone."""
+    t = W.tokenize(spark.createDataFrame(TEXTS, KIND), LABELS, W.from_pieces(spark, IDS), 0, 1, 2, 40, common=2)
+    plan = t._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list(CASE WHEN (pos" not in plan
+    assert {r.record_id: r.n_tokens for r in t.collect()} == {i: n for (i, _, _), (_, n) in zip(TEXTS, by_library([x[1] for x in TEXTS], 38))}
