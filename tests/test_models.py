@@ -211,3 +211,39 @@ def test_neighbours_over_many_groups_equal_brute_force(spark):
     frame = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(v)], "id long, v array<double>")
     found = neighbours.nearest(frame, "id", "v", 4, block=16, group=40)
     assert {(r.i, r.j) for r in found.collect()} == want
+
+
+@pytest.mark.parametrize("loss", [linear.LOGISTIC, linear.SQUARED_HINGE])
+def test_fit_of_terms_equals_fit_and_holds_no_vocabulary(spark, rows, loss, monkeypatch):
+    x, y = rows
+    weights = spark.createDataFrame([(i, f"t{j}", float(x[i, j])) for i in range(60) for j in range(5) if x[i, j] and i != 7], "id long, term string, weight double")
+    labels = spark.createDataFrame([(i, f"c{y[i]}") for i in range(60)] + [(60, None)], "id long, label string")  # row 7 has no weight
+    terms = linear.number_terms(weights)
+    want = linear.fit(linear.sparse_rows(weights, labels, "id", "label", terms), terms, loss, class_weight={"c1": 1.5}, tolerance=1e-7)
+    products, plain = [], linear.multiply
+    monkeypatch.setattr(linear, "multiply", lambda blocks, v: products.append(1) or plain(blocks, v))
+    monkeypatch.setattr(linear, "MOST_COEFFICIENTS", 1)
+    monkeypatch.setattr(linear, "BLOCK_WEIGHTS", 7)  # terms stay whole
+    got = linear.fit_terms(weights, labels, "id", loss=loss, class_weight={"c1": 1.5}, tolerance=1e-7)
+    table = {r.term: r.coefficients for r in got.coefficients.collect()}
+    assert got.classes == want.classes and table.keys() == terms.keys() and len(products) < 60
+    assert np.abs(np.array([table[t] for t in sorted(terms, key=terms.get)]).T - want.coefficients).max() < 1e-6
+    assert np.abs(got.intercepts - want.intercepts).max() < 1e-6
+    found = {r.id: r for r in linear.predict_terms(weights, labels, got, "id").collect()}
+    x = np.where(np.arange(60)[:, None] == 7, 0, x)
+    z = x @ want.coefficients.T + want.intercepts
+    scores = linear.softmax(z) if loss == linear.LOGISTIC else z
+    assert len(found) == 61 and np.abs(np.array([found[i].scores for i in range(60)]) - scores).max() < 1e-5
+    assert all(found[i].predicted == f"c{z[i].argmax()}" for i in range(60))
+
+
+@pytest.mark.parametrize("name", ["logistic_regression", "linear_svm"])
+def test_model_queries_hold_no_vocabulary_on_the_driver(spark, name, monkeypatch):
+    from sievewright.plans import queries
+
+    monkeypatch.setattr(linear, "MOST_COEFFICIENTS", 100)
+    d = "/root/testdata/sf0.01"
+    got = queries.QUERIES[name](spark, d).collect()
+    held = queries.parts(spark, d).where("split <> 'train'")
+    assert sorted((r.doc_id, r.split, r.label) for r in got) == sorted((r.doc_id, r.split, r.label) for r in held.collect())
+    assert sum(r.label == r.predicted for r in got) > len(got) / 4
